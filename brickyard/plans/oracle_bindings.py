@@ -100,3 +100,7 @@ def with_(*names: str) -> str:
 def register(name: str, deps: list[str], sql: str) -> None:
     """Add a derived relation (used by later modules for shared CTEs)."""
     _b(name, deps, sql)
+
+AS_OF_SALE = "(SELECT CAST(MAX(o_orderdate) AS DATE) FROM orders)"
+AS_OF_ASSET = "(SELECT CAST(MAX(l_shipdate) AS DATE) FROM lineitem)"
+AS_OF_CRIME = "(SELECT CAST(MAX(ts) AS DATE) FROM events)"

@@ -180,3 +180,19 @@ def request(spark: SparkSession, d: str) -> DataFrame:
         F.element_at(types, (k % len(REQUEST_PROPERTY_TYPES) + 1).cast("int")).alias("property_type"),
         (12 + 2 * (k % 50)).cast("long").alias("floor_area_sqm"),
     )
+
+
+def sale_as_of(spark: SparkSession, d: str) -> dt.date:
+    """Latest sale date of the feed (single-column scan of orders)."""
+    o = read(spark, d, "orders", ["o_orderdate"])
+    return o.agg(F.max(F.col("o_orderdate").cast("date")).alias("m")).first()["m"]
+
+
+def asset_as_of(spark: SparkSession, d: str) -> dt.date:
+    li = read(spark, d, "lineitem", ["l_shipdate"])
+    return li.agg(F.max(F.col("l_shipdate").cast("date")).alias("m")).first()["m"]
+
+
+def crime_as_of(spark: SparkSession, d: str) -> dt.date:
+    e = read(spark, d, "events", ["ts"])
+    return e.agg(F.max(F.col("ts").cast("date")).alias("m")).first()["m"]
