@@ -18,9 +18,13 @@ def cents(col: Column) -> Column:
     return F.round(col.cast("decimal(14,2)") * 100, 0).cast("long")
 
 
-def half_up(num: Column, den: Column, scale: int) -> Column:
-    """HALF_UP(num / den) at ``scale`` decimals as double; NULL when den = 0."""
-    q = F.round(num.cast(_DEC) / den.cast(_DEC), scale)
+def half_up(num: Column, den: Column, scale: int, wide: bool = False) -> Column:
+    """HALF_UP(num / den) at ``scale`` decimals as double; NULL when den = 0.
+
+    ``wide`` admits 38-digit operands (the quotient is then exact to 6 dp).
+    """
+    dec = "decimal(38,0)" if wide else _DEC
+    q = F.round(num.cast(dec) / den.cast(dec), scale)
     return F.when(den != 0, q.cast("double"))
 
 
@@ -45,3 +49,9 @@ def stddev_exact(n: Column, s1: Column, s2: Column, unit: float = 1.0) -> Column
     den = n.cast("decimal(38,0)") * (n - 1).cast("decimal(38,0)")
     var = num.cast("double") / den.cast("double")
     return F.when(n > 1, F.sqrt(var) / F.lit(float(unit)))
+
+
+def half_up_dec(num: Column, den: Column, scale: int) -> Column:
+    """HALF_UP(num / den) at ``scale`` decimals kept as an exact decimal."""
+    q = F.round(num.cast(_DEC) / den.cast(_DEC), scale).cast(f"decimal(30,{scale})")
+    return F.when(den != 0, q)

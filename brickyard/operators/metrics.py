@@ -129,9 +129,14 @@ def outcode_metrics(sales: DataFrame, hpi: DataFrame, rental: DataFrame, crime:
 
 
 def with_quartiles(m: DataFrame) -> DataFrame:
-    """NTILE(4) by yield and by growth, ASC NULLS LAST, outcode as the final tie-break."""
-    m = ntile(m, 4, [F.col("avg_yield_pct").asc_nulls_last(), F.col("outcode")], "yield_quartile")
-    return ntile(m, 4, [F.col("yoy_price_growth_pct").asc_nulls_last(), F.col("outcode")], "growth_quartile")
+    """NTILE(4) by yield and by growth, ASC NULLS LAST, outcode as the final tie-break.
+
+    One row per outcode: a bounded domain, so the single-partition window is fine.
+    """
+    m = ntile(m, 4, [F.col("avg_yield_pct").asc_nulls_last(), F.col("outcode")], "yield_quartile",
+              bounded=True)
+    return ntile(m, 4, [F.col("yoy_price_growth_pct").asc_nulls_last(), F.col("outcode")], "growth_quartile",
+                 bounded=True)
 
 
 def quadrant_of(yq: F.Column, gq: F.Column) -> F.Column:
@@ -148,7 +153,8 @@ def with_quadrant(m: DataFrame) -> DataFrame:
 def risk_quartile(crime: DataFrame, loc: DataFrame, as_of: dt.date) -> DataFrame:
     """outcode, avg_crime_rate, NTILE(4) ORDER BY avg_crime_rate DESC (W2; unused by the score, Q-4)."""
     a = avg_crime_rate(crime, loc, as_of)
-    return ntile(a, 4, [F.col("avg_crime_rate").desc_nulls_first(), F.col("outcode")], "risk_quartile")
+    return ntile(a, 4, [F.col("avg_crime_rate").desc_nulls_first(), F.col("outcode")], "risk_quartile",
+                 bounded=True)
 
 
 def compare(metrics: DataFrame, outcodes: list[str]) -> DataFrame:

@@ -14,27 +14,43 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+BUCKETS = 64  # value buckets per key for the cumulative-count pass
 
 
-def cumulative_counts(hist: DataFrame, keys: list[str], order: list[Column | str], count_col: str) -> DataFrame:
+def cumulative_counts(hist: DataFrame, keys: list[str], order: list[Column | str], count_col: str,
+                      bucket_value: Column | None = None, nulls_first: bool = False) -> DataFrame:
     """Add ``_cum`` (inclusive running total of ``count_col`` within ``keys`` in ``order``) and ``_n``.
 
-    ``order`` must make rows unique within a key for deterministic ties.
+    Rows are cut into ``BUCKETS`` ordered value ranges per key from that key's
+    min/max of ``bucket_value`` (a numeric expression that is non-decreasing
+    in ``order``; default the first order column).  Subtotals per (key, bucket)
+    give each bucket's offset; the running sum inside a bucket is a window over
+    (key, bucket), so a hot key is spread over many tasks.  Every step is
+    deterministic (no sampling), so recomputation after a lost executor
+    yields the same ranks.  ``order`` must be unique within a key.
     """
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    r = hist.repartitionByRange(_parts(hist), *[F.col(k) for k in keys], *order_cols) \
-            .withColumn("_pid", F.spark_partition_id())
-    sub = r.groupBy("_pid", *keys).agg(F.sum(count_col).alias("_sub"))
+    bv = bucket_value if bucket_value is not None else F.col(order[0]) if isinstance(order[0], str) else None
+    if bv is None:
+        raise ValueError("bucket_value is required when the first order item is an expression")
+    h = hist.withColumn("_bv", bv.cast("double"))
+    stats = h.groupBy(*keys).agg(F.min("_bv").alias("_mn"), F.max("_bv").alias("_mx")) if keys else \
+        h.agg(F.min("_bv").alias("_mn"), F.max("_bv").alias("_mx"))
+    h = h.join(stats, keys) if keys else h.crossJoin(F.broadcast(stats))
+    span = F.col("_mx") - F.col("_mn")
+    b = F.least(F.lit(BUCKETS - 1), F.floor(F.when(span > 0, (F.col("_bv") - F.col("_mn")) * BUCKETS / span)
+                                             .otherwise(F.lit(0.0)))).cast("int")
+    b = F.when(F.col("_bv").isNull(), F.lit(-1 if nulls_first else BUCKETS)).otherwise(b)
+    h = h.withColumn("_b", b).drop("_bv", "_mn", "_mx")
+    sub = h.groupBy(*keys, "_b").agg(F.sum(count_col).alias("_sub"))
     wk = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    off = (sub.withColumn("_off", F.coalesce(F.sum("_sub").over(wk.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    off = (sub.withColumn("_off", F.coalesce(F.sum("_sub").over(wk.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .withColumn("_n", F.sum("_sub").over(wk))
               .drop("_sub"))
-    local = r.withColumn("_lc", F.sum(count_col).over(
-        Window.partitionBy("_pid", *keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)))
-    j = local.join(off, ["_pid", *keys])
-    return j.withColumn("_cum", F.col("_off") + F.col("_lc")).drop("_off", "_lc", "_pid")
+    local = h.withColumn("_lc", F.sum(count_col).over(
+        Window.partitionBy(*keys, "_b").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)))
+    j = local.join(off, [*keys, "_b"])
+    return j.withColumn("_cum", F.col("_off") + F.col("_lc")).drop("_off", "_lc", "_b")
 
 
 def percentile_cont(df: DataFrame, keys: list[str], value: str, probs: dict[str, str]) -> DataFrame:
@@ -67,7 +83,8 @@ def percentile_cont(df: DataFrame, keys: list[str], value: str, probs: dict[str,
         F.max(F.when(F.col("hi") == 0, F.col("_v"))).alias("_lo"),
         F.max(F.when(F.col("hi") == 1, F.col("_v"))).alias("_hi"),
         F.max("_frac").alias("_frac"))
-    val = (F.col("_lo") + F.col("_frac") * (F.col("_hi") - F.col("_lo"))).cast("double")
+    frac = F.col("_frac").cast("decimal(7,6)")
+    val = (F.col("_lo") + frac * (F.col("_hi") - F.col("_lo"))).cast("double")
     per = per.select(*keys, "pname", val.alias("_val"))
     out = per.groupBy(*keys).agg(*[F.max(F.when(F.col("pname") == n, F.col("_val"))).alias(n) for n in probs])
     return out
@@ -90,19 +107,23 @@ def nearest_rank(df: DataFrame, keys: list[str], value: str, probs: dict[str, st
 
 
 def ntile(df: DataFrame, n: int, order: list[Column], name: str, partition: list[str] | None = None,
-          small_rows: int = 200_000) -> DataFrame:
+          bounded: bool = False, bucket_value: Column | None = None, nulls_first: bool = False) -> DataFrame:
     """``NTILE(n) OVER ([PARTITION BY partition] ORDER BY order)`` as a long column ``name``.
 
-    ``order`` must be a total order (end it with a unique key).  Inputs proven
-    to have at most ``small_rows`` rows (bounded ``limit().count()``) use the
-    plain window; larger ones rank in two phases over range partitions and
-    apply the NTILE bucket formula, so no single task sees the whole input.
+    ``order`` must be a total order (end it with a unique key).  ``bounded=True``
+    is for inputs whose row count is bounded by a fixed domain (one row per
+    outcode: a few thousand at most), where the plain window is cheapest.
+    Otherwise ranks come from the two-phase bucketed cumulative count and the
+    NTILE bucket formula, so no single task sees the whole input;
+    ``bucket_value`` is the numeric value of the first order item
+    (negated for descending order).
     """
     partition = partition or []
-    if df.limit(small_rows + 1).count() <= small_rows:
+    if bounded:
         w = Window.partitionBy(*partition).orderBy(*order) if partition else Window.orderBy(*order)
         return df.withColumn(name, F.ntile(n).over(w).cast("long"))
-    ranked = cumulative_counts(df.withColumn("_one", F.lit(1)), partition, order, "_one").drop("_one")
+    ranked = cumulative_counts(df.withColumn("_one", F.lit(1)), partition, order, "_one",
+                               bucket_value=bucket_value, nulls_first=nulls_first).drop("_one")
     return ranked.withColumn(name, ntile_of(F.col("_cum"), F.col("_n"), n)).drop("_cum", "_n")
 
 
@@ -113,3 +134,19 @@ def ntile_of(rank: Column, total: Column, n: int) -> Column:
     big = rem * (q + 1)
     return F.when(rank <= big, F.floor((rank - 1) / (q + 1)) + 1) \
             .otherwise(rem + F.floor((rank - 1 - big) / F.greatest(q, F.lit(1))) + 1).cast("long")
+
+
+def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, name: str = "rank",
+          salt_buckets: int = 32, salt_cols: list[str] | None = None) -> DataFrame:
+    """First ``k`` rows per key in ``order`` with their 1-based position ``name``.
+
+    Two stages so that a hot key never lands in one task: each (key, salt)
+    slice keeps its own top ``k``, then at most ``k · salt_buckets`` candidates
+    per key are ranked.  The salt hashes ``salt_cols`` (default: all columns).
+    """
+    cols = salt_cols or df.columns
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salt_buckets)))
+    w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
+    cand = salted.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_r1", "_salt")
+    w2 = Window.partitionBy(*keys).orderBy(*order)
+    return cand.withColumn(name, F.row_number().over(w2).cast("long")).where(F.col(name) <= k)
