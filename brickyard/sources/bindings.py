@@ -182,17 +182,81 @@ def request(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+_AS_OF: dict[tuple[str, str], dt.date] = {}
+
+
+def _latest(spark: SparkSession, d: str, table: str, col: str) -> dt.date:
+    """MAX(date) of one column: a single-column scan, memoised per folder and session."""
+    key = (f"{id(spark)}:{d}", f"{table}.{col}")
+    if key not in _AS_OF:
+        t = read(spark, d, table, [col])
+        _AS_OF[key] = t.agg(F.max(F.col(col).cast("date")).alias("m")).first()["m"]
+    return _AS_OF[key]
+
+
 def sale_as_of(spark: SparkSession, d: str) -> dt.date:
-    """Latest sale date of the feed (single-column scan of orders)."""
-    o = read(spark, d, "orders", ["o_orderdate"])
-    return o.agg(F.max(F.col("o_orderdate").cast("date")).alias("m")).first()["m"]
+    """Latest sale date of the feed (the ``as_of`` of sale-based queries)."""
+    return _latest(spark, d, "orders", "o_orderdate")
 
 
 def asset_as_of(spark: SparkSession, d: str) -> dt.date:
-    li = read(spark, d, "lineitem", ["l_shipdate"])
-    return li.agg(F.max(F.col("l_shipdate").cast("date")).alias("m")).first()["m"]
+    return _latest(spark, d, "lineitem", "l_shipdate")
 
 
 def crime_as_of(spark: SparkSession, d: str) -> dt.date:
-    e = read(spark, d, "events", ["ts"])
-    return e.agg(F.max(F.col("ts").cast("date")).alias("m")).first()["m"]
+    return _latest(spark, d, "events", "ts")
+
+
+# Outcode prefixes for generated postcodes, the 20 London
+# prefixes followed by three outside London.
+RAW_PREFIXES = ["E", "EC", "N", "NW", "SE", "SW", "W", "WC", "BR", "CR", "DA", "EN", "HA", "IG", "KT",
+                "RM", "SM", "TW", "UB", "WD", "M", "B", "LS"]
+
+
+def _raw_postcode_expr(k: F.Column) -> F.Column:
+    prefixes = F.array(*[F.lit(p) for p in RAW_PREFIXES])
+    pre = F.element_at(prefixes, (k % len(RAW_PREFIXES) + 1).cast("int"))
+    letters = F.concat(F.substring(F.lit("ABCDEFGHJKLMNPQRSTUWXYZ"), (k % 23 + 1).cast("int"), 1),
+                       F.substring(F.lit("ABDEFGHJLNPQRSTUWXYZ"), ((k / 23).cast("long") % 20 + 1).cast("int"), 1))
+    return F.concat(pre, (k % 10).cast("string"), F.lit(" "), ((k / 10).cast("long") % 10).cast("string"), letters)
+
+
+def raw_postcode(spark: SparkSession, d: str) -> DataFrame:
+    """Postcode-directory rows as text: pcds, doterm, oseast1m, osnrth1m, lsoa11."""
+    c = read(spark, d, "customer", ["c_custkey"])
+    k = F.col("c_custkey")
+    return c.select(
+        k.alias("pc_id"),
+        _raw_postcode_expr(k).alias("pcds"),
+        F.when(k % 11 == 0, F.lit("202001")).otherwise(F.lit("")).alias("doterm"),
+        F.when(k % 13 == 0, F.lit("")).otherwise((500000 + (k % 1000) * 10).cast("string")).alias("oseast1m"),
+        F.when(k % 13 == 0, F.lit("")).otherwise((170000 + (k % 997) * 10).cast("string")).alias("osnrth1m"),
+        F.concat(F.lit("E0100"), F.lpad((k % 500).cast("string"), 4, "0")).alias("lsoa11"),
+    )
+
+
+def raw_sale(spark: SparkSession, d: str) -> DataFrame:
+    """Price-paid rows as untyped text with injected faults (see FIXTURES B)."""
+    o = read(spark, d, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
+    k, ck = F.col("o_orderkey"), F.col("o_custkey")
+    pc = _raw_postcode_expr(ck)
+    postcode = (F.when(k % 83 == 0, F.lit("  "))
+                 .when(k % 7 == 0, F.concat(F.lit("ZZ"), (k % 10).cast("string"), F.lit(" 1AA")))
+                 .when(k % 5 == 0, F.concat(F.lit(" "), F.lower(pc), F.lit(" ")))
+                 .otherwise(pc))
+    return o.select(
+        k.alias("sale_id"),
+        F.concat(F.lit("T"), k.cast("string")).alias("txn_uid"),
+        F.when(k % 97 == 0, F.lit("0")).when(k % 89 == 0, F.lit("abc"))
+         .otherwise(F.col("o_totalprice").cast("decimal(12,2)").cast("string")).alias("sale_price"),
+        F.when(k % 79 == 0, F.lit("2999-01-01")).when(k % 73 == 0, F.lit("bad"))
+         .otherwise(F.date_format(F.col("o_orderdate"), "yyyy-MM-dd")).alias("sale_date"),
+        postcode.alias("postcode"),
+        F.substring(F.lit("DSTFOX"), (k % 6 + 1).cast("int"), 1).alias("property_type"),
+        F.when(k % 3 == 0, F.lit("F")).when(k % 3 == 1, F.lit("L")).otherwise(F.lit("U")).alias("tenure"),
+        (ck % 50 + 1).cast("string").alias("paon"),
+        F.when(k % 4 == 0, F.concat(F.lit("FLAT "), (k % 9 + 1).cast("string"))).otherwise(F.lit("")).alias("saon"),
+        F.concat(F.lit("STREET "), (ck % 7).cast("string")).alias("street"),
+        F.lit("LONDON").alias("town"),
+        F.when(k % 2 == 0, F.lit("A")).otherwise(F.lit("B")).alias("ppd_category"),
+    )
