@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_clean, q_decision, q_metrics, q_series  # noqa: F401
+from . import q_clean, q_decision, q_merge, q_metrics, q_series  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
