@@ -9,6 +9,7 @@ from . import q_clean  # noqa: F401
 from . import q_merge  # noqa: F401
 from . import q_report  # noqa: F401
 from . import q_sources  # noqa: F401
+from . import q_stream_text  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
