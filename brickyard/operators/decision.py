@@ -162,11 +162,18 @@ def comparable_pairs(assets: DataFrame, requests: DataFrame, as_of: dt.date, mon
 
 
 def comparables_stats(assets: DataFrame, requests: DataFrame, as_of: dt.date) -> DataFrame:
+    """p25 / median / p75 price, median £/sqft and count per request, both metrics in one ranked pass."""
     pairs = comparable_pairs(assets, requests, as_of)
-    q = percentile_cont(pairs, COMP_KEY, "sale_price", QUARTILE_PROBS)
-    g = percentile_cont(pairs, COMP_KEY, "gbp_per_sqft", {"median_gbp_per_sqft": "0.5"})
-    c = pairs.groupBy(*COMP_KEY).agg(F.count(F.lit(1)).alias("comparable_count"))
-    st = c.join(q, COMP_KEY, "left").join(g, COMP_KEY, "left")
+    stacked = pairs.select(*COMP_KEY, F.explode(F.array(
+        F.struct(F.lit("price").alias("_m"), F.col("sale_price").cast("decimal(30,6)").alias("_x")),
+        F.struct(F.lit("gbp").alias("_m"), F.col("gbp_per_sqft").cast("decimal(30,6)").alias("_x")),
+    )).alias("s")).select(*COMP_KEY, F.col("s._m").alias("_m"), F.col("s._x").alias("_x"))
+    q = percentile_cont(stacked, [*COMP_KEY, "_m"], "_x", QUARTILE_PROBS, count_as="_cnt")
+    price, gbp = F.col("_m") == "price", F.col("_m") == "gbp"
+    st = q.groupBy(*COMP_KEY).agg(
+        *[F.max(F.when(price, F.col(n))).alias(n) for n in QUARTILE_PROBS],
+        F.max(F.when(gbp, F.col("median"))).alias("median_gbp_per_sqft"),
+        F.max(F.when(price, F.col("_cnt"))).alias("comparable_count"))
     r = requests.select("request_id", *COMP_KEY).join(st, COMP_KEY, "left")
     return r.select("request_id", "p25", "median", "p75", "median_gbp_per_sqft",
                     F.coalesce("comparable_count", F.lit(0)).alias("comparable_count"))

@@ -53,7 +53,8 @@ def cumulative_counts(hist: DataFrame, keys: list[str], order: list[Column | str
     return j.withColumn("_cum", F.col("_off") + F.col("_lc")).drop("_off", "_lc", "_b")
 
 
-def percentile_cont(df: DataFrame, keys: list[str], value: str, probs: dict[str, str]) -> DataFrame:
+def percentile_cont(df: DataFrame, keys: list[str], value: str, probs: dict[str, str],
+                    count_as: str | None = None) -> DataFrame:
     """Exact PERCENTILE_CONT for each ``name -> p`` (p given as a decimal string).
 
     ``value`` must be an exact (integer or decimal) column; NULLs are ignored.
@@ -86,8 +87,11 @@ def percentile_cont(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     frac = F.col("_frac").cast("decimal(7,6)")
     val = (F.col("_lo") + frac * (F.col("_hi") - F.col("_lo"))).cast("double")
     per = per.select(*keys, "pname", val.alias("_val"))
-    out = per.groupBy(*keys).agg(*[F.max(F.when(F.col("pname") == n, F.col("_val"))).alias(n) for n in probs])
-    return out
+    extra = [F.max(F.when(F.col("pname") == n, F.col("_val"))).alias(n) for n in probs]
+    if count_as:
+        per = per.join(totals, keys) if keys else per.crossJoin(totals)
+        extra.append(F.max("_n").alias(count_as))
+    return per.groupBy(*keys).agg(*extra)
 
 
 def nearest_rank(df: DataFrame, keys: list[str], value: str, probs: dict[str, str]) -> DataFrame:

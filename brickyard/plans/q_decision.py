@@ -6,7 +6,7 @@ from ..operators import decision as D
 from ..operators import metrics as M
 from ..sources import bindings as b
 from .oracle_bindings import AS_OF_ASSET, AS_OF_CRIME, AS_OF_SALE, register, with_
-from .q_metrics import CRIME12, RECENT, metrics_frame
+from .q_metrics import CRIME12, RECENT, metrics_table
 from .registry import ORACLE, query
 from .sqlfrag import HU, STDDEV
 
@@ -57,7 +57,7 @@ FROM (SELECT r.*, COALESCE(p.rate_tenths, 50) AS rate_tenths, r.asking_price * (
 def _frames(spark, d):
     as_of, cas = b.sale_as_of(spark, d), b.crime_as_of(spark, d)
     grv = M.growth_risk_volatility(b.hpi_index(spark, d), b.crime_stat(spark, d), b.location(spark, d), as_of, cas)
-    return D.composite_score(b.request(spark, d), metrics_frame(spark, d), b.mortgage_product(spark, d), grv)
+    return D.composite_score(b.request(spark, d), metrics_table(spark, d), b.mortgage_product(spark, d), grv)
 
 
 @query("composite_score", with_("score") + "SELECT * FROM score")
@@ -208,7 +208,7 @@ FROM (SELECT cq, ROUND(PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY CAST(t.sale_p
       JOIN {RECENT} t ON t.outcode = c.outcode GROUP BY cq) hi
 WHERE lo.cq = 1 AND hi.cq = 4""")
 def q_low_crime_premium(spark, d):
-    return D.low_crime_premium(metrics_frame(spark, d), b.sale(spark, d), b.sale_as_of(spark, d))
+    return D.low_crime_premium(metrics_table(spark, d), b.sale(spark, d), b.sale_as_of(spark, d))
 
 
 register("pf", ["sale"], f"""

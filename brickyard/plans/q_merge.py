@@ -177,7 +177,18 @@ def valid_raw(spark, d):
     return raw.join(ok, "sale_id", "left_semi"), lon
 
 
+_PROPS: dict[tuple[int, str], object] = {}
+
+
 def properties(spark, d):
+    """Property table with dense ids; the id assignment is checkpointed once per session and folder."""
+    key = (id(spark), d)
+    if key not in _PROPS:
+        _PROPS[key] = _properties(spark, d)
+    return _PROPS[key]
+
+
+def _properties(spark, d):
     vr, _ = valid_raw(spark, d)
     first = C.dedupe_properties(vr)
     p = first.join(vr, "sale_id").select(

@@ -102,13 +102,20 @@ def q_crime_rate_index(spark, d):
 
 @query("outcode_metrics", with_("outcode_metrics") + "SELECT * FROM outcode_metrics")
 def q_outcode_metrics(spark, d):
-    return metrics_frame(spark, d)
+    """K8: compute and materialise the snapshot (refresh), then serve it."""
+    return metrics_table(spark, d)
+
+
+def metrics_table(spark, d):
+    """Readers of the metrics table use the refreshed snapshot (K8), like the reference's view."""
+    from .refresh import metrics_snapshot
+    return metrics_snapshot(spark, d)
 
 
 @query("quartiles", with_("outcode_metrics") +
        "SELECT outcode, avg_yield_pct, yoy_price_growth_pct, yield_quartile, growth_quartile FROM outcode_metrics")
 def q_quartiles(spark, d):
-    return metrics_frame(spark, d).select("outcode", "avg_yield_pct", "yoy_price_growth_pct",
+    return metrics_table(spark, d).select("outcode", "avg_yield_pct", "yoy_price_growth_pct",
                                           "yield_quartile", "growth_quartile")
 
 
@@ -116,7 +123,7 @@ def q_quartiles(spark, d):
        "SELECT outcode, avg_yield_pct, yoy_price_growth_pct, yield_quartile, growth_quartile, quadrant "
        "FROM outcode_metrics ORDER BY outcode")
 def q_quadrant(spark, d):
-    return metrics_frame(spark, d).select("outcode", "avg_yield_pct", "yoy_price_growth_pct",
+    return metrics_table(spark, d).select("outcode", "avg_yield_pct", "yoy_price_growth_pct",
                                           "yield_quartile", "growth_quartile", "quadrant").orderBy("outcode")
 
 
@@ -137,7 +144,7 @@ SELECT outcode, median_sale_price_12m AS median_price_12m, avg_yield_pct, yoy_pr
        crime_rate_index, quadrant
 FROM outcode_metrics WHERE outcode = ANY([{_ups}]) ORDER BY outcode""")
 def q_compare_snapshot(spark, d):
-    return M.compare(metrics_frame(spark, d), COMPARE_OUTCODES)
+    return M.compare(metrics_table(spark, d), COMPARE_OUTCODES)
 
 
 _req = " UNION ALL ".join(f"SELECT '{o}' AS outcode" for o in COMPARE_REQUESTED)
@@ -148,7 +155,7 @@ SELECT r.outcode, m.outcode IS NOT NULL AS found, COALESCE(m.quadrant, 'No data
 FROM (SELECT DISTINCT upper(outcode) AS outcode FROM ({_req})) r LEFT JOIN outcode_metrics m ON m.outcode = r.outcode""")
 def q_compare_snapshot_left(spark, d):
     req = spark.createDataFrame([(o,) for o in COMPARE_REQUESTED], "outcode string")
-    return M.compare_left(metrics_frame(spark, d), req)
+    return M.compare_left(metrics_table(spark, d), req)
 
 
 @query("growth_risk_volatility", with_("hpi_index", "crime_stat", "location", "request") + f"""

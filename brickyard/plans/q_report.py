@@ -11,7 +11,7 @@ from ..operators import series
 from ..sources import bindings as b
 from ..sources.tables import read
 from .oracle_bindings import register, with_
-from .q_metrics import metrics_frame
+from .q_metrics import metrics_table
 from .registry import ORACLE, query
 
 register("crime_group", ["crime_stat", "location"], ORACLE["crime_by_group"][ORACLE["crime_by_group"].index("SELECT l.borough"):]
@@ -29,7 +29,7 @@ SELECT outcode,
 FROM outcode_metrics, (SELECT min(yoy_price_growth_pct) AS x0, max(yoy_price_growth_pct) AS x1,
                               min(avg_yield_pct) AS y0, max(avg_yield_pct) AS y1 FROM outcode_metrics)""")
 def q_minmax_scale(spark, d):
-    return T.minmax_scale(metrics_frame(spark, d), "yoy_price_growth_pct", "avg_yield_pct", "outcode")
+    return T.minmax_scale(metrics_table(spark, d), "yoy_price_growth_pct", "avg_yield_pct", "outcode")
 
 
 @query("relative_rate", with_("crime_group") + """

@@ -16,8 +16,22 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 _checked_small: dict[str, bool] = {}
 
 
+_scans: dict[tuple[int, str], DataFrame] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one landed table, projected to ``columns``.
+
+    The unprojected scan (file listing + footer schema) is memoised per session
+    and path; each call still gets its own projection, so pruning and
+    pushdown apply per query.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _scans.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _scans[key] = df
     return df.select(*columns) if columns else df
 
 
