@@ -18,7 +18,8 @@ BUCKETS = 64  # value buckets per key for the cumulative-count pass
 
 
 def cumulative_counts(hist: DataFrame, keys: list[str], order: list[Column | str], count_col: str,
-                      bucket_value: Column | None = None, nulls_first: bool = False) -> DataFrame:
+                      bucket_value: Column | None = None, nulls_first: bool = False,
+                      with_totals: bool = False):
     """Add ``_cum`` (inclusive running total of ``count_col`` within ``keys`` in ``order``) and ``_n``.
 
     Rows are cut into ``BUCKETS`` ordered value ranges per key from that key's
@@ -50,7 +51,10 @@ def cumulative_counts(hist: DataFrame, keys: list[str], order: list[Column | str
     local = h.withColumn("_lc", F.sum(count_col).over(
         Window.partitionBy(*keys, "_b").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)))
     j = local.join(off, [*keys, "_b"])
-    return j.withColumn("_cum", F.col("_off") + F.col("_lc")).drop("_off", "_lc", "_b")
+    ranked = j.withColumn("_cum", F.col("_off") + F.col("_lc")).drop("_off", "_lc", "_b")
+    if with_totals:
+        return ranked, off.select(*keys, "_n").distinct()
+    return ranked
 
 
 def percentile_cont(df: DataFrame, keys: list[str], value: str, probs: dict[str, str],
@@ -59,47 +63,43 @@ def percentile_cont(df: DataFrame, keys: list[str], value: str, probs: dict[str,
 
     ``value`` must be an exact (integer or decimal) column; NULLs are ignored.
     Linear interpolation v_lo + frac·(v_hi − v_lo) is done in decimal, so the
-    double result is the correctly rounded exact value.
+    double result is the correctly rounded exact value.  ``count_as`` also
+    returns the number of non-NULL values per key.
     """
     v = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     hist = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = cumulative_counts(hist, keys, ["_v"], "_c")
-    totals = ranked.select(*keys, "_n").distinct() if keys else ranked.select("_n").limit(1)
-    tgt = totals.select(*keys, "_n", F.explode(F.array(*[
+    ranked, totals = cumulative_counts(hist, keys, ["_v"], "_c", with_totals=True)
+    tgt = totals.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(name).alias("pname"), F.lit(p).cast("decimal(10,6)").alias("p")) for name, p in probs.items()
-    ])).alias("t"))
+    ])).alias("t"), "_n")
     h = (F.col("_n") - 1).cast("decimal(20,0)") * F.col("t.p")
-    tgt = tgt.select(*keys, F.col("t.pname").alias("pname"), F.floor(h).cast("long").alias("_fl"),
-                     (h - F.floor(h)).alias("_frac"))
-    ranks = tgt.select(*keys, "pname", "_frac", F.explode(F.array(
-        F.struct(F.lit(0).alias("hi"), (F.col("_fl") + 1).alias("rk")),
-        F.struct(F.lit(1).alias("hi"), F.when(F.col("_frac") > 0, F.col("_fl") + 2).otherwise(F.col("_fl") + 1).alias("rk")),
+    fl = F.floor(h).cast("long")
+    frac = (h - F.floor(h)).cast("decimal(7,6)")
+    ranks = tgt.select(*keys, F.col("t.pname").alias("pname"), frac.alias("_frac"), F.explode(F.array(
+        F.struct(F.lit(0).alias("hi"), (fl + 1).alias("rk")),
+        F.struct(F.lit(1).alias("hi"), F.when(frac > 0, fl + 2).otherwise(fl + 1).alias("rk")),
     )).alias("r")).select(*keys, "pname", "_frac", F.col("r.hi").alias("hi"), F.col("r.rk").alias("rk"))
     cond = (F.col("rk") > F.col("_cum") - F.col("_c")) & (F.col("rk") <= F.col("_cum"))
-    if keys:
-        hit = ranked.join(ranks, keys).where(cond)
-    else:
-        hit = ranked.crossJoin(F.broadcast(ranks)).where(cond)
-    per = hit.groupBy(*keys, "pname").agg(
-        F.max(F.when(F.col("hi") == 0, F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("hi") == 1, F.col("_v"))).alias("_hi"),
-        F.max("_frac").alias("_frac"))
-    frac = F.col("_frac").cast("decimal(7,6)")
-    val = (F.col("_lo") + frac * (F.col("_hi") - F.col("_lo"))).cast("double")
-    per = per.select(*keys, "pname", val.alias("_val"))
-    extra = [F.max(F.when(F.col("pname") == n, F.col("_val"))).alias(n) for n in probs]
+    hit = ranked.join(ranks, keys).where(cond) if keys else ranked.crossJoin(F.broadcast(ranks)).where(cond)
+    aggs, outs = [], []
+    for i, n in enumerate(probs):
+        is_n = F.col("pname") == n
+        aggs += [F.max(F.when(is_n & (F.col("hi") == 0), F.col("_v"))).alias(f"_lo{i}"),
+                 F.max(F.when(is_n & (F.col("hi") == 1), F.col("_v"))).alias(f"_hi{i}"),
+                 F.max(F.when(is_n, F.col("_frac"))).alias(f"_f{i}")]
+        lo, hi_, f = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_f{i}")
+        outs.append((lo + f * (hi_ - lo)).cast("double").alias(n))
     if count_as:
-        per = per.join(totals, keys) if keys else per.crossJoin(totals)
-        extra.append(F.max("_n").alias(count_as))
-    return per.groupBy(*keys).agg(*extra)
+        aggs.append(F.max("_n").alias("_cnt_"))
+        outs.append(F.col("_cnt_").alias(count_as))
+    return hit.groupBy(*keys).agg(*aggs).select(*keys, *outs)
 
 
 def nearest_rank(df: DataFrame, keys: list[str], value: str, probs: dict[str, str]) -> DataFrame:
     """Nearest-rank quantile sorted[floor(n·q)] (0-based, clamped to n−1) per key."""
     v = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     hist = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = cumulative_counts(hist, keys, ["_v"], "_c")
-    totals = ranked.select(*keys, "_n").distinct()
+    ranked, totals = cumulative_counts(hist, keys, ["_v"], "_c", with_totals=True)
     tgt = totals.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(n).alias("pname"), F.lit(p).cast("decimal(10,6)").alias("p")) for n, p in probs.items()
     ])).alias("t"), "_n")
