@@ -51,9 +51,11 @@ DQ_CHECKS = [
 
 
 def dq_table(values: DataFrame) -> DataFrame:
-    """values: one row, one column per metric → (dimension, metric, value, threshold, pass)."""
-    stack = ", ".join(f"'{d}', '{m}', CAST(`{m}` AS BIGINT), CAST({t} AS BIGINT), '{op}'" for d, m, t, op in DQ_CHECKS)
-    rows = values.selectExpr(f"stack({len(DQ_CHECKS)}, {stack}) as (dimension, metric, value, threshold, op)")
+    """values: (metric, value) rows, one per metric → (dimension, metric, value, threshold, pass)."""
+    checks = values.sparkSession.createDataFrame(
+        [(d, m, t, op) for d, m, t, op in DQ_CHECKS], "dimension string, metric string, threshold long, op string")
+    rows = checks.join(values.select("metric", F.col("value").cast("long").alias("value")), "metric", "left") \
+                 .withColumn("value", F.coalesce("value", F.lit(0).cast("long")))
     ok = (F.when(F.col("op") == "gte", F.col("value") >= F.col("threshold"))
            .when(F.col("op") == "eq", F.col("value") == F.col("threshold"))
            .otherwise(F.col("value") <= F.col("threshold")))

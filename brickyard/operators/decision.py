@@ -216,9 +216,11 @@ def low_crime_premium(metrics: DataFrame, sales: DataFrame, as_of: dt.date) -> D
     s = recent_sales(sales, as_of).select("outcode", "sale_price")
     j = s.join(cq.where(F.col("crime_quartile").isin(1, 4)).select("outcode", "crime_quartile"), "outcode")
     med = percentile_cont(j, ["crime_quartile"], "sale_price", {"median": "0.5"})
-    lo = med.where(F.col("crime_quartile") == 1).select(F.col("median").alias("low_crime_median"))
-    hi = med.where(F.col("crime_quartile") == 4).select(F.col("median").alias("high_crime_median"))
-    x = lo.crossJoin(hi)
+    x = med.agg(F.max(F.when(F.col("crime_quartile") == 1, F.col("median"))).alias("low_crime_median"),
+                F.max(F.when(F.col("crime_quartile") == 4, F.col("median"))).alias("high_crime_median"),
+                F.max(F.when(F.col("crime_quartile") == 1, 1)).alias("_has_lo"),
+                F.max(F.when(F.col("crime_quartile") == 4, 1)).alias("_has_hi")) \
+           .where(F.col("_has_lo").isNotNull() & F.col("_has_hi").isNotNull())
     le4 = F.round(F.col("low_crime_median") * 10000).cast("long")
     he4 = F.round(F.col("high_crime_median") * 10000).cast("long")
     return x.select("low_crime_median", "high_crime_median",
@@ -235,9 +237,9 @@ def period_findings(sales: DataFrame, as_of: dt.date) -> DataFrame:
             F.sum(F.when(recent, c.cast("decimal(38,0)") * c)).alias("_r2"),
             F.sum(F.when(prior, c)).alias("_p1"), F.count(F.when(prior, c)).alias("_pn")]
     per = s.groupBy("outcode").agg(*aggs)
-    tot = per.agg(F.sum("_r1").alias("_g1"), F.sum("_rn").alias("_gn"), F.sum("_p1").alias("_h1"),
-                  F.sum("_pn").alias("_hn"))
-    x = per.crossJoin(F.broadcast(tot))
+    t = per.agg(F.sum("_r1").alias("g1"), F.sum("_rn").alias("gn"), F.sum("_p1").alias("h1"),
+                F.sum("_pn").alias("hn")).first()
+    x = per.select("*", *[F.lit(t[c]).cast("long").alias(f"_{c}") for c in ("g1", "gn", "h1", "hn")])
     return x.select(
         "outcode",
         half_up(F.col("_r1"), F.col("_rn") * 100, 6).alias("oc_avg"),

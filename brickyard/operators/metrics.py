@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import months_back, trailing
 from ..functions.exact import half_up, ratio, stddev_exact
+from ..sources.tables import scalar
 from .ranking import ntile, percentile_cont
 
 QUARTILE_PROBS = {"p25": "0.25", "median": "0.5", "p75": "0.75"}
@@ -46,12 +47,15 @@ def price_volatility(sales: DataFrame, as_of: dt.date) -> DataFrame:
 
 def price_growth(hpi: DataFrame) -> DataFrame:
     """outcode, yoy and 3-year growth: latest month vs exactly −12 / −36 months (J3 as one pass)."""
-    last = hpi.agg(F.max("reference_month").alias("_m0"))
-    x = hpi.crossJoin(F.broadcast(last))
-    g = x.groupBy("outcode").agg(
-        F.max(F.when(F.col("reference_month") == F.col("_m0"), F.col("avg_cents"))).alias("_a0"),
-        F.max(F.when(F.col("reference_month") == F.add_months("_m0", -12), F.col("avg_cents"))).alias("_a12"),
-        F.max(F.when(F.col("reference_month") == F.add_months("_m0", -36), F.col("avg_cents"))).alias("_a36"))
+    m0 = scalar(hpi.agg(F.max("reference_month").alias("m")), "m")
+    if m0 is None:
+        return hpi.select("outcode", F.lit(None).cast("double").alias("yoy_price_growth_pct"),
+                          F.lit(None).cast("double").alias("three_year_price_growth_pct")).limit(0)
+    m = F.col("reference_month")
+    g = hpi.where(m.isin(m0, months_back(m0, 12), months_back(m0, 36))).groupBy("outcode").agg(
+        F.max(F.when(m == F.lit(m0), F.col("avg_cents"))).alias("_a0"),
+        F.max(F.when(m == F.lit(months_back(m0, 12)), F.col("avg_cents"))).alias("_a12"),
+        F.max(F.when(m == F.lit(months_back(m0, 36)), F.col("avg_cents"))).alias("_a36"))
     g = g.where(F.col("_a0").isNotNull())
     return g.select(
         "outcode",
@@ -107,14 +111,14 @@ def outcode_metrics(sales: DataFrame, hpi: DataFrame, rental: DataFrame, crime:
     recent = recent_sales(sales, as_of)
     med = percentile_cont(recent, ["outcode"], "sale_price", {"median": "0.5"})
     mom = price_moments(recent, ["outcode"])
-    rent = latest_value(rental).where(F.col("region") == RENT_REGION).select("index_centi")
+    # the latest rent level of the chosen region: a one-row aggregate used as a literal
+    rent = scalar(latest_value(rental.where(F.col("region") == RENT_REGION)).select("index_centi"), "index_centi")
     med_e4 = F.round(F.col("median") * 10000).cast("long")
     sd = stddev_exact(F.col("_n"), F.col("_s1"), F.col("_s2"), 100.0)
     avg = ratio(F.col("_s1"), F.col("_n") * 100)
     base = (med.join(mom, "outcode")
-               .join(F.broadcast(rent.limit(1)), how="left")
                .select("outcode", F.col("median").alias("median_sale_price_12m"),
-                       F.when(F.col("median") > 0, half_up(F.col("index_centi") * 120000, med_e4, 6)).alias("_y"),
+                       F.when(F.col("median") > 0, half_up(F.lit(rent).cast("long") * 120000, med_e4, 6)).alias("_y"),
                        F.when(avg != 0, sd / avg).alias("_v")))
     growth = price_growth(hpi)
     cri = crime_rate_index(crime, loc, crime_as_of)

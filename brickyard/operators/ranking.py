@@ -30,21 +30,24 @@ def cumulative_counts(hist: DataFrame, keys: list[str], order: list[Column | str
     deterministic (no sampling), so recomputation after a lost executor
     yields the same ranks.  ``order`` must be unique within a key.
     """
+    if not keys:  # a global rank is one group; bucketing below still splits it over many tasks
+        r = cumulative_counts(hist.withColumn("_all", F.lit(0)), ["_all"], order, count_col, bucket_value,
+                              nulls_first, with_totals)
+        return (r[0].drop("_all"), r[1].drop("_all")) if with_totals else r.drop("_all")
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     bv = bucket_value if bucket_value is not None else F.col(order[0]) if isinstance(order[0], str) else None
     if bv is None:
         raise ValueError("bucket_value is required when the first order item is an expression")
     h = hist.withColumn("_bv", bv.cast("double"))
-    stats = h.groupBy(*keys).agg(F.min("_bv").alias("_mn"), F.max("_bv").alias("_mx")) if keys else \
-        h.agg(F.min("_bv").alias("_mn"), F.max("_bv").alias("_mx"))
-    h = h.join(stats, keys) if keys else h.crossJoin(F.broadcast(stats))
+    stats = h.groupBy(*keys).agg(F.min("_bv").alias("_mn"), F.max("_bv").alias("_mx"))
+    h = h.join(stats, keys)
     span = F.col("_mx") - F.col("_mn")
     b = F.least(F.lit(BUCKETS - 1), F.floor(F.when(span > 0, (F.col("_bv") - F.col("_mn")) * BUCKETS / span)
                                              .otherwise(F.lit(0.0)))).cast("int")
     b = F.when(F.col("_bv").isNull(), F.lit(-1 if nulls_first else BUCKETS)).otherwise(b)
     h = h.withColumn("_b", b).drop("_bv", "_mn", "_mx")
     sub = h.groupBy(*keys, "_b").agg(F.sum(count_col).alias("_sub"))
-    wk = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    wk = Window.partitionBy(*keys)
     off = (sub.withColumn("_off", F.coalesce(F.sum("_sub").over(wk.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .withColumn("_n", F.sum("_sub").over(wk))
               .drop("_sub"))
@@ -66,6 +69,8 @@ def percentile_cont(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     double result is the correctly rounded exact value.  ``count_as`` also
     returns the number of non-NULL values per key.
     """
+    if not keys:
+        return percentile_cont(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, count_as).drop("_all")
     v = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     hist = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     ranked, totals = cumulative_counts(hist, keys, ["_v"], "_c", with_totals=True)
@@ -80,7 +85,7 @@ def percentile_cont(df: DataFrame, keys: list[str], value: str, probs: dict[str,
         F.struct(F.lit(1).alias("hi"), F.when(frac > 0, fl + 2).otherwise(fl + 1).alias("rk")),
     )).alias("r")).select(*keys, "pname", "_frac", F.col("r.hi").alias("hi"), F.col("r.rk").alias("rk"))
     cond = (F.col("rk") > F.col("_cum") - F.col("_c")) & (F.col("rk") <= F.col("_cum"))
-    hit = ranked.join(ranks, keys).where(cond) if keys else ranked.crossJoin(F.broadcast(ranks)).where(cond)
+    hit = ranked.join(ranks, keys).where(cond)
     aggs, outs = [], []
     for i, n in enumerate(probs):
         is_n = F.col("pname") == n
@@ -97,6 +102,8 @@ def percentile_cont(df: DataFrame, keys: list[str], value: str, probs: dict[str,
 
 def nearest_rank(df: DataFrame, keys: list[str], value: str, probs: dict[str, str]) -> DataFrame:
     """Nearest-rank quantile sorted[floor(n·q)] (0-based, clamped to n−1) per key."""
+    if not keys:
+        return nearest_rank(df.withColumn("_all", F.lit(0)), ["_all"], value, probs).drop("_all")
     v = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     hist = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     ranked, totals = cumulative_counts(hist, keys, ["_v"], "_c", with_totals=True)
@@ -106,7 +113,7 @@ def nearest_rank(df: DataFrame, keys: list[str], value: str, probs: dict[str, st
     rk = F.least(F.floor(F.col("_n").cast("decimal(20,0)") * F.col("t.p")).cast("long"), F.col("_n") - 1) + 1
     tgt = tgt.select(*keys, F.col("t.pname").alias("pname"), rk.alias("rk"))
     cond = (F.col("rk") > F.col("_cum") - F.col("_c")) & (F.col("rk") <= F.col("_cum"))
-    hit = ranked.drop("_n").join(tgt, keys).where(cond) if keys else ranked.crossJoin(F.broadcast(tgt)).where(cond)
+    hit = ranked.drop("_n").join(tgt, keys).where(cond)
     return hit.groupBy(*keys).agg(*[F.max(F.when(F.col("pname") == n, F.col("_v"))).alias(n) for n in probs])
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.finance import js_round
+from ..functions.dates import months_back
+from ..sources.tables import scalar
 from .ranking import top_k
 
 GAP_MONTHS = 36
@@ -19,21 +21,20 @@ INDEX_BASE, INDEX_STEP = 100.0, 0.25  # fixed values: generated index 100 + (36
 
 def minmax_scale(df: DataFrame, x: str, y: str, key: str) -> DataFrame:
     """x → ((v−min)/range)·80+10, y → 90−((v−min)/range)·80, a zero range counts as 1."""
-    ext = df.agg(F.min(x).alias("_x0"), F.max(x).alias("_x1"), F.min(y).alias("_y0"), F.max(y).alias("_y1"))
-    j = df.crossJoin(F.broadcast(ext))
-    xr = F.when((F.col("_x1") - F.col("_x0")) != 0, F.col("_x1") - F.col("_x0")).otherwise(F.lit(1.0))
-    yr = F.when((F.col("_y1") - F.col("_y0")) != 0, F.col("_y1") - F.col("_y0")).otherwise(F.lit(1.0))
-    return j.select(key, F.round((F.col(x) - F.col("_x0")) / xr * 80 + 10, 6).alias("x_pct"),
-                    F.round(90 - (F.col(y) - F.col("_y0")) / yr * 80, 6).alias("y_pct"))
+    e = df.agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1")).first()
+    x0, y0 = F.lit(e["x0"]).cast("double"), F.lit(e["y0"]).cast("double")
+    xr = F.lit((e["x1"] - e["x0"]) or 1.0) if e["x0"] is not None else F.lit(1.0)
+    yr = F.lit((e["y1"] - e["y0"]) or 1.0) if e["y0"] is not None else F.lit(1.0)
+    return df.select(key, F.round((F.col(x) - x0) / xr * 80 + 10, 6).alias("x_pct"),
+                     F.round(90 - (F.col(y) - y0) / yr * 80, 6).alias("y_pct"))
 
 
 def relative_rate(df: DataFrame, key: str, rate: str) -> DataFrame:
     """Share of the maximum rate (bar floor 2 %) and a green→red hue."""
-    mx = df.agg(F.max(rate).alias("_mx"))
-    j = df.crossJoin(F.broadcast(mx))
-    pct = F.when(F.col("_mx") > 0, F.col(rate) / F.col("_mx") * 100).otherwise(F.lit(0.0))
-    return j.select(key, rate, F.round(F.greatest(pct, F.lit(2.0)), 6).alias("pct"),
-                    js_round((1 - F.col(rate) / F.col("_mx")) * 120).alias("hue"))
+    mx = F.lit(scalar(df.agg(F.max(rate).alias("m")), "m")).cast("double")
+    pct = F.when(mx > 0, F.col(rate) / mx * 100).otherwise(F.lit(0.0))
+    return df.select(key, rate, F.round(F.greatest(pct, F.lit(2.0)), 6).alias("pct"),
+                     js_round((1 - F.col(rate) / mx) * 120).alias("hue"))
 
 
 def top_bottom_k(df: DataFrame, key: str, rate: str, k: int = 5) -> DataFrame:
@@ -80,11 +81,10 @@ def gap_fill(hpi: DataFrame, months: int = GAP_MONTHS) -> DataFrame:
     Generated price: latest known price · (1 − 0.25 %)^m, Math.round; index
     100 + (36 − m)·0.25.  The reference's random noise is not reproduced.
     """
-    m0 = hpi.agg(F.max("reference_month").alias("_m0"))
+    m0 = scalar(hpi.agg(F.max("reference_month").alias("m")), "m")
     base = hpi.groupBy("outcode").agg(F.max_by("average_price", "reference_month").alias("_base"))
-    grid = (base.crossJoin(F.broadcast(m0))
-                .select("outcode", "_base", "_m0", F.explode(F.sequence(F.lit(0), F.lit(months - 1))).alias("m"))
-                .withColumn("reference_month", F.add_months("_m0", -F.col("m"))))
+    grid = (base.select("outcode", "_base", F.explode(F.sequence(F.lit(0), F.lit(months - 1))).alias("m"))
+                .withColumn("reference_month", F.add_months(F.lit(m0), -F.col("m"))))
     missing = grid.join(hpi.select("outcode", "reference_month"), ["outcode", "reference_month"], "left_anti")
     gen = missing.select("outcode", "reference_month",
                          js_round(F.col("_base") * F.pow(F.lit(1 - GAP_MONTHLY_GROWTH), F.col("m").cast("double")))

@@ -389,7 +389,8 @@ def q_dq_checks(spark, d):
     t = vr.select(F.trim("sale_price").try_cast("decimal(12,2)").alias("p"), F.col("sale_date").try_cast("date").alias("dt"))
 
     def cnt(df, name, pred=None):
-        return (df.where(pred) if pred is not None else df).agg(F.count(F.lit(1)).alias(name))
+        return (df.where(pred) if pred is not None else df).agg(F.count(F.lit(1)).alias("value")) \
+            .select(F.lit(name).alias("metric"), "value")
 
     parts = [cnt(loc, "location_count"), cnt(props, "property_count"), cnt(txn, "transaction_count"),
              cnt(b.rental_index(spark, d), "rental_index_count"), cnt(b.hpi_index(spark, d), "hpi_index_count"),
@@ -400,5 +401,5 @@ def q_dq_checks(spark, d):
              cnt(b.crime_stat(spark, d), "negative_crime_counts", F.col("count") < 0)]
     v = parts[0]
     for p in parts[1:]:
-        v = v.crossJoin(p)
+        v = v.unionByName(p)
     return K.dq_table(v)

@@ -8,7 +8,7 @@ from ..operators import clean as C
 from ..operators import textjobs as X
 from ..sources import bindings as b
 from ..sources.readers import CSV_WRITE, PPD_COLUMNS, to_csv_line
-from ..sources.tables import read
+from ..sources.tables import read, scalar
 from ..streaming import intake as S
 from .oracle_bindings import with_
 from .q_clean import _NPC
@@ -55,7 +55,7 @@ def ref_docs(spark, d):
     """Reference lists as whole text documents (50 parts each), mixing book/DOI/web/plain lines."""
     p = read(spark, d, "part", ["p_partkey", "p_name", "p_size"])
     pages = read(spark, d, "pages", ["page_id", "url"])
-    npages = pages.agg(F.count(F.lit(1)).alias("_np"))
+    npages = scalar(pages.agg(F.count(F.lit(1)).alias("n")), "n")
     k = F.col("p_partkey")
     surname = F.initcap(F.split("p_name", " ").getItem(0))
     initial = F.upper(F.substring(F.split("p_name", " ").getItem(1), 1, 1))
@@ -63,7 +63,7 @@ def ref_docs(spark, d):
                     F.col("p_name"), F.lit("'."))
     isbn = F.concat(F.lit("978-0-"), F.lpad((k % 100000).cast("string"), 5, "0"), F.lit("-"),
                     F.lpad((k % 1000).cast("string"), 3, "0"), F.lit("-"), (k % 10).cast("string"))
-    x = p.crossJoin(F.broadcast(npages)).withColumn("_pg", k % F.col("_np"))
+    x = p.withColumn("_pg", k % F.lit(npages))
     x = x.join(pages, x._pg == pages.page_id, "left")
     line = (F.when(k % 4 == 0, F.concat(head, F.lit(" London: Press. ISBN: "), isbn))
              .when(k % 4 == 1, F.concat(head, F.lit(" Journal of Parts, 12(3). doi:10.5555/"), k.cast("string"), F.lit(",")))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exact import cents, half_up_int
-from .tables import dim, read
+from .tables import dim, read, scalar
 
 # The property-type domain used for requests (the p_type values of
 # the part table, alphabetical) and the mortgage types of the reference schema.
@@ -93,8 +93,8 @@ def hpi_index(spark: SparkSession, d: str) -> DataFrame:
     s = sale(spark, d).select("outcode", F.trunc("sale_date", "MM").alias("reference_month"), "price_cents")
     monthly = s.groupBy("outcode", "reference_month").agg(
         F.sum("price_cents").alias("_s"), F.count(F.lit(1)).alias("_n"))
-    last = monthly.agg(F.max("reference_month").alias("_last"))
-    complete = monthly.join(F.broadcast(last), F.col("reference_month") < F.col("_last")).drop("_last")
+    last = scalar(s.agg(F.max("reference_month").alias("m")), "m", memo=(id(spark), d, "hpi_last_month"))
+    complete = monthly.where(F.col("reference_month") < F.lit(last))
     w = Window.partitionBy("outcode").orderBy("reference_month")
     x = (complete.withColumn("avg_cents", half_up_int(F.col("_s"), F.col("_n")))
          .withColumn("_first", F.first("avg_cents").over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -164,18 +164,19 @@ def request(spark: SparkSession, d: str) -> DataFrame:
     """One investor request per customer (composite score / comparables)."""
     c = read(spark, d, "customer", ["c_custkey", "c_nationkey"])
     n = dim(spark, d, "nation", ["n_nationkey", "n_name"], 1000)
-    nsup = read(spark, d, "supplier", ["s_suppkey"]).agg(F.count(F.lit(1)).alias("_nsup"))
+    nsup = scalar(read(spark, d, "supplier", ["s_suppkey"]).agg(F.count(F.lit(1)).alias("n")), "n",
+                  memo=(id(spark), d, "supplier_count"))
     k = F.col("c_custkey")
     asking = (50000 + 100 * k).cast("long")
     types = F.array(*[F.lit(t) for t in REQUEST_PROPERTY_TYPES])
-    x = c.join(n, c.c_nationkey == n.n_nationkey).crossJoin(F.broadcast(nsup))
+    x = c.join(n, c.c_nationkey == n.n_nationkey)
     return x.select(
         k.alias("request_id"),
         F.col("n_name").alias("outcode"),
         asking.alias("asking_price"),
         half_up_int(asking * (4 + k % 5) * 100, F.lit(1200)).alias("rent_cents"),
         (5 + k % 46).cast("long").alias("deposit_pct"),
-        (k % F.col("_nsup")).alias("mortgage_product_id"),
+        (k % F.lit(nsup)).alias("mortgage_product_id"),
         (k % 5 + 1).cast("long").alias("bedrooms"),
         F.element_at(types, (k % len(REQUEST_PROPERTY_TYPES) + 1).cast("int")).alias("property_type"),
         (12 + 2 * (k % 50)).cast("long").alias("floor_area_sqm"),

@@ -82,10 +82,11 @@ def read_wide_index(lines: DataFrame, header_marker: str, keep: str) -> DataFram
     cells = F.transform(F.split(F.col("line"), ","), lambda c: F.trim(F.regexp_replace(c, '"', "")))
     x = lines.select("line_no", cells.alias("cells"))
     hdr = x.where(F.exists("cells", lambda c: F.lower(c).rlike(header_marker)))
-    first = hdr.agg(F.min("line_no").alias("_h"))
-    header = hdr.join(F.broadcast(first), F.col("line_no") == F.col("_h")).select(
-        F.col("_h"), F.posexplode("cells").alias("pos", "region")).where(F.col("pos") > 0)
-    data = (x.crossJoin(F.broadcast(first)).where((F.col("line_no") > F.col("_h")) & F.element_at("cells", 1).rlike(r"^\d{4}"))
+    first = hdr.agg(F.min("line_no").alias("h")).first()["h"]
+    if first is None:
+        return lines.sparkSession.createDataFrame([], "region string, reference_month date, index_value double")
+    header = hdr.where(F.col("line_no") == first).select(F.posexplode("cells").alias("pos", "region")).where(F.col("pos") > 0)
+    data = (x.where((F.col("line_no") > first) & F.element_at("cells", 1).rlike(r"^\d{4}"))
              .select(parse_month(F.element_at("cells", 1)).alias("reference_month"), F.posexplode("cells").alias("pos", "v"))
              .where((F.col("pos") > 0) & F.col("reference_month").isNotNull()))
     j = data.join(F.broadcast(header.select("pos", "region")), "pos")

@@ -56,6 +56,23 @@ def dim(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None =
     return small_dim(df, f"{sf_dir}/{name}:{','.join(columns or [])}", max_rows)
 
 
+_scalars: dict[tuple, object] = {}
+
+
+def scalar(df: DataFrame, col: str, memo: tuple | None = None):
+    """Value of a one-row aggregate (a global ``agg``), fetched to the driver as a plan literal.
+
+    Only ever used on aggregates without grouping, so exactly one row and one
+    value cross to the driver; ``memo`` caches it per session for fixed inputs.
+    """
+    if memo is not None and memo in _scalars:
+        return _scalars[memo]
+    v = df.select(col).first()[0]
+    if memo is not None:
+        _scalars[memo] = v
+    return v
+
+
 def max_date(df: DataFrame, col: str):
     """Scalar MAX(date) of a relation: the ``as_of`` anchor (one-column scan)."""
     return df.agg(F.max(col).alias("m")).first()["m"]
