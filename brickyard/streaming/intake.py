@@ -87,5 +87,5 @@ def stream_crime_counts(spark: SparkSession, events_dir: str, schema: str, store
          .trigger(availableNow=True).start())
     q.awaitTermination()
     snap = spark.read.schema(snap_schema).parquet(store)
-    last = snap.agg(F.max("version").alias("v"))
-    return snap.join(F.broadcast(last), F.col("version") == F.col("v")).drop("version", "v")
+    last = snap.agg(F.max("version").alias("v")).first()["v"]
+    return snap.where(F.col("version") == F.lit(last)).drop("version")
