@@ -26,7 +26,7 @@ def get_spark(app: str = "brickyard", cpus: int | str | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("BRICKYARD_TZ", "UTC"))
         .config("spark.driver.memory", os.environ.get("BRICKYARD_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )

@@ -69,11 +69,16 @@ def stream_crime_counts(spark: SparkSession, events_dir: str, schema: str, store
     """
     snap_schema = "lsoa_code BIGINT, reference_period DATE, category STRING, count BIGINT, version BIGINT"
     spark.createDataFrame([], snap_schema).write.mode("ignore").partitionBy("version").parquet(store)
+    # event time as an explicit UTC instant, so day windows do not depend on the session time zone;
+    # the reported day comes from the zone-free timestamp and coincides with the UTC window
+    ts = F.col("ts")
+    utc = F.make_timestamp(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts),
+                           F.second(ts).cast("decimal(8,6)"), F.lit("UTC"))
     ev = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(events_dir)
-          .select(F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type"))
-    agg = (ev.withWatermark("ts", watermark)
-             .groupBy(F.window("ts", "1 day"), "user_id", "event_type").count()
-             .select(F.col("user_id").alias("lsoa_code"), F.col("window.start").cast("date").alias("reference_period"),
+          .select(utc.alias("event_time"), ts.cast("date").alias("day"), "user_id", "event_type"))
+    agg = (ev.withWatermark("event_time", watermark)
+             .groupBy(F.window("event_time", "1 day"), "day", "user_id", "event_type").count()
+             .select(F.col("user_id").alias("lsoa_code"), F.col("day").alias("reference_period"),
                      F.col("event_type").alias("category"), "count"))
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
