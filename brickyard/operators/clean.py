@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions.dates import months_back
 from ..functions.postcode import (CATEGORY_CODES, PROPERTY_TYPE_CODES, TENURE_CODES, address_line, decode,
                                   grid_to_latlng, is_london, js_parse_float, norm_key, outcode_split)
-from ..session import cut_lineage
 
 REASONS = ("null_postcode", "invalid_price", "invalid_date", "future_date", "not_london", "too_old")
 MAX_PRICE = 100_000_000
@@ -90,23 +89,27 @@ def dedupe_properties(raw: DataFrame) -> DataFrame:
     return g.select("address_key", F.col("s.id").alias("sale_id"))
 
 
+def byte_prefix_value(col: F.Column, nbytes: int = 6) -> F.Column:
+    """Numeric value of the first ``nbytes`` UTF-8 bytes (zero-padded): non-decreasing in string order."""
+    h = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, nbytes)), 2 * nbytes, "0")
+    return F.conv(h, 16, 10).cast("double")
+
+
 def assign_ids(df: DataFrame, key: str, name: str = "id", method: str = "dense") -> DataFrame:
     """Surrogate keys for the distinct values of ``key``.
 
-    ``dense``: 1..N in key order.  The sorted distinct keys are written to the
-    shared checkpoint folder once, so the per-partition offsets and the row
-    positions come from the same materialised partitioning, and a lost
-    executor recomputes from the checkpoint, not from a fresh sort.
+    ``dense``: 1..N in key order, from the deterministic two-phase rank of
+    ``operators.ranking`` (value buckets of the key's leading bytes, running
+    counts per bucket), so no global sort, no single-partition window and no
+    sampling: recomputation after a lost executor yields the same ids.
     ``hash``: xxhash64 of the key (stable, no shuffle).
     """
     if method == "hash":
         return df.withColumn(name, F.xxhash64(key))
-    keys = cut_lineage(df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key))
-    pos = keys.select(key, F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_m"))
-    cnt = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_m").alias("_m0"))
-    off = cnt.select("_pid", "_m0", F.coalesce(F.sum("_c").over(Window.orderBy("_pid").rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    ids = pos.join(F.broadcast(off), "_pid").select(key, (F.col("_off") + F.col("_m") - F.col("_m0") + 1).alias(name))
+    from .ranking import cumulative_counts
+    keys = df.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_one", F.lit(1))
+    ranked = cumulative_counts(keys, [], [key], "_one", bucket_value=byte_prefix_value(F.col(key)))
+    ids = ranked.select(key, F.col("_cum").alias(name))
     return df.join(ids, key, "left")
 
 
