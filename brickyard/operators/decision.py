@@ -290,3 +290,32 @@ def crime_by_group(crime: DataFrame, loc: DataFrame, as_of: dt.date, group: str
                              F.countDistinct("lsoa_code").alias("lsoa_count"))
     return g.select(group, F.col("_s").cast("long").alias("total_crimes"), "lsoa_count",
                     half_up(F.col("_s"), F.col("lsoa_count"), 2).alias("crime_rate")).orderBy(F.col("crime_rate").desc())
+
+
+# The insight's texts and the canned fallback used when no premium can be computed.
+PREMIUM_TITLE = "Low-Crime Premium"
+PREMIUM_FALLBACK_VALUE = "~40% premium"
+PREMIUM_FALLBACK_TEXT = ("Properties in London's safest quartile of outcodes typically command a significant "
+                         "price premium over the highest-crime areas.")
+
+
+def _js_number_1dp(x: F.Column) -> F.Column:
+    """A 1-dp value printed like a JavaScript number (12.0 → '12', -5.5 → '-5.5')."""
+    return F.regexp_replace(x.cast("decimal(20,1)").cast("string"), r"\.0$", "")
+
+
+def premium_insight(premium: DataFrame) -> DataFrame:
+    """title, value, description, methodology for the low-crime premium (X5 text), falling back when absent."""
+    base = premium.sparkSession.range(1).select(F.lit(1).alias("_k"))
+    p = premium.select(F.lit(1).alias("_k"), "premium_pct").where(F.col("premium_pct").isNotNull() & (F.col("premium_pct") != 0))
+    x = base.join(p, "_k", "left")
+    pct = F.col("premium_pct")
+    has = pct.isNotNull()
+    desc = F.concat(F.lit("Properties in London's safest quartile of outcodes sell for "), _js_number_1dp(F.abs(pct)),
+                    F.lit("% "), F.when(pct > 0, "more").otherwise("less"),
+                    F.lit(" than those in the highest-crime quartile (last 12 months)."))
+    return x.select(F.lit(PREMIUM_TITLE).alias("title"),
+                    F.when(has, F.concat(F.when(pct > 0, "+").otherwise(""), _js_number_1dp(pct), F.lit("%")))
+                     .otherwise(F.lit(PREMIUM_FALLBACK_VALUE)).alias("value"),
+                    F.when(has, desc).otherwise(F.lit(PREMIUM_FALLBACK_TEXT)).alias("description"),
+                    F.when(has, "median comparison").otherwise("fallback").alias("methodology"))

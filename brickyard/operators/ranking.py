@@ -30,24 +30,24 @@ def cumulative_counts(hist: DataFrame, keys: list[str], order: list[Column | str
     deterministic (no sampling), so recomputation after a lost executor
     yields the same ranks.  ``order`` must be unique within a key.
     """
-    if not keys:  # a global rank is one group; bucketing below still splits it over many tasks
-        r = cumulative_counts(hist.withColumn("_all", F.lit(0)), ["_all"], order, count_col, bucket_value,
-                              nulls_first, with_totals)
-        return (r[0].drop("_all"), r[1].drop("_all")) if with_totals else r.drop("_all")
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     bv = bucket_value if bucket_value is not None else F.col(order[0]) if isinstance(order[0], str) else None
     if bv is None:
         raise ValueError("bucket_value is required when the first order item is an expression")
     h = hist.withColumn("_bv", bv.cast("double"))
-    stats = h.groupBy(*keys).agg(F.min("_bv").alias("_mn"), F.max("_bv").alias("_mx"))
-    h = h.join(stats, keys)
+    if keys:
+        stats = h.groupBy(*keys).agg(F.min("_bv").alias("_mn"), F.max("_bv").alias("_mx"))
+        h = h.join(stats, keys)
+    else:  # one global group: its min/max are two scalars, folded into the plan as literals
+        st = h.agg(F.min("_bv").alias("mn"), F.max("_bv").alias("mx")).first()
+        h = h.withColumn("_mn", F.lit(st["mn"]).cast("double")).withColumn("_mx", F.lit(st["mx"]).cast("double"))
     span = F.col("_mx") - F.col("_mn")
     b = F.least(F.lit(BUCKETS - 1), F.floor(F.when(span > 0, (F.col("_bv") - F.col("_mn")) * BUCKETS / span)
                                              .otherwise(F.lit(0.0)))).cast("int")
     b = F.when(F.col("_bv").isNull(), F.lit(-1 if nulls_first else BUCKETS)).otherwise(b)
     h = h.withColumn("_b", b).drop("_bv", "_mn", "_mx")
     sub = h.groupBy(*keys, "_b").agg(F.sum(count_col).alias("_sub"))
-    wk = Window.partitionBy(*keys)
+    wk = Window.partitionBy(*keys) if keys else Window.partitionBy()  # global: at most BUCKETS + 1 rows
     off = (sub.withColumn("_off", F.coalesce(F.sum("_sub").over(wk.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .withColumn("_n", F.sum("_sub").over(wk))
               .drop("_sub"))
@@ -70,7 +70,7 @@ def percentile_cont(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     returns the number of non-NULL values per key.
     """
     if not keys:
-        return percentile_cont(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, count_as).drop("_all")
+        return _global_quantiles(df, value, probs, "cont", count_as)
     v = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     hist = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     ranked, totals = cumulative_counts(hist, keys, ["_v"], "_c", with_totals=True)
@@ -103,7 +103,7 @@ def percentile_cont(df: DataFrame, keys: list[str], value: str, probs: dict[str,
 def nearest_rank(df: DataFrame, keys: list[str], value: str, probs: dict[str, str]) -> DataFrame:
     """Nearest-rank quantile sorted[floor(n·q)] (0-based, clamped to n−1) per key."""
     if not keys:
-        return nearest_rank(df.withColumn("_all", F.lit(0)), ["_all"], value, probs).drop("_all")
+        return _global_quantiles(df, value, probs, "rank")
     v = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     hist = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     ranked, totals = cumulative_counts(hist, keys, ["_v"], "_c", with_totals=True)
@@ -117,6 +117,46 @@ def nearest_rank(df: DataFrame, keys: list[str], value: str, probs: dict[str, st
     return hit.groupBy(*keys).agg(*[F.max(F.when(F.col("pname") == n, F.col("_v"))).alias(n) for n in probs])
 
 
+def _global_quantiles(df: DataFrame, value: str, probs: dict[str, str], kind: str,
+                      count_as: str | None = None) -> DataFrame:
+    """One-group quantiles: the row count is a scalar, so target ranks are literals (no join)."""
+    from decimal import Decimal
+    import math
+    v = df.where(F.col(value).isNotNull()).select(F.col(value).alias("_v"))
+    hist = v.groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranked, totals = cumulative_counts(hist, [], ["_v"], "_c", with_totals=True)
+    n = totals.agg(F.max("_n").alias("n")).first()["n"] or 0
+    tags, outs = [], []
+    for i, (name, p) in enumerate(probs.items()):
+        if n == 0:
+            outs.append(F.lit(None).cast("double").alias(name))
+            continue
+        if kind == "cont":
+            h = (n - 1) * Decimal(p)
+            fl = int(math.floor(h))
+            frac = h - fl
+            lo_rk, hi_rk = fl + 1, (fl + 2 if frac > 0 else fl + 1)
+        else:
+            lo_rk = hi_rk = min(int(math.floor(n * Decimal(p))), n - 1) + 1
+            frac = Decimal(0)
+        tags += [(i, 0, lo_rk), (i, 1, hi_rk)]
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        val = (lo + F.lit(frac).cast("decimal(7,6)") * (hi - lo)).cast("double") if kind == "cont" else lo
+        outs.append(val.alias(name))
+    if count_as:
+        outs.append(F.lit(n).cast("long").alias(count_as))
+    if not tags:
+        return df.sparkSession.range(1).select(*outs)
+    hitc = [F.when((F.lit(rk) > F.col("_cum") - F.col("_c")) & (F.lit(rk) <= F.col("_cum")),
+                   F.struct(F.lit(i).alias("i"), F.lit(hi).alias("hi"))) for i, hi, rk in tags]
+    hit = ranked.select("_v", F.explode(F.filter(F.array(*hitc), lambda t: t.isNotNull())).alias("t"))
+    aggs = []
+    for i in range(len(probs)):
+        aggs += [F.max(F.when((F.col("t.i") == i) & (F.col("t.hi") == 0), F.col("_v"))).alias(f"_lo{i}"),
+                 F.max(F.when((F.col("t.i") == i) & (F.col("t.hi") == 1), F.col("_v"))).alias(f"_hi{i}")]
+    return hit.agg(*aggs).select(*outs)
+
+
 def ntile(df: DataFrame, n: int, order: list[Column], name: str, partition: list[str] | None = None,
           bounded: bool = False, bucket_value: Column | None = None, nulls_first: bool = False) -> DataFrame:
     """``NTILE(n) OVER ([PARTITION BY partition] ORDER BY order)`` as a long column ``name``.

@@ -211,6 +211,30 @@ def q_low_crime_premium(spark, d):
     return D.low_crime_premium(metrics_table(spark, d), b.sale(spark, d), b.sale_as_of(spark, d))
 
 
+_PREM = ORACLE["low_crime_premium"]
+
+
+def _js1(x: str) -> str:
+    return f"regexp_replace(CAST(CAST({x} AS DECIMAL(20,1)) AS VARCHAR), '\\.0$', '')"
+
+
+@query("low_crime_insight", _PREM.replace("SELECT lo.m AS low_crime_median", ", prem AS (SELECT lo.m AS low_crime_median", 1)
+       + f""")
+SELECT 'Low-Crime Premium' AS title,
+       CASE WHEN p.premium_pct IS NOT NULL AND p.premium_pct <> 0
+            THEN (CASE WHEN p.premium_pct > 0 THEN '+' ELSE '' END) || {_js1('p.premium_pct')} || '%'
+            ELSE '{D.PREMIUM_FALLBACK_VALUE}' END AS value,
+       CASE WHEN p.premium_pct IS NOT NULL AND p.premium_pct <> 0
+            THEN 'Properties in London''s safest quartile of outcodes sell for ' || {_js1('abs(p.premium_pct)')} || '% '
+                 || (CASE WHEN p.premium_pct > 0 THEN 'more' ELSE 'less' END)
+                 || ' than those in the highest-crime quartile (last 12 months).'
+            ELSE '{D.PREMIUM_FALLBACK_TEXT.replace("'", "''")}' END AS description,
+       CASE WHEN p.premium_pct IS NOT NULL AND p.premium_pct <> 0 THEN 'median comparison' ELSE 'fallback' END AS methodology
+FROM (SELECT 1 AS k) one LEFT JOIN (SELECT 1 AS k, premium_pct FROM prem) p ON one.k = p.k""")
+def q_low_crime_insight(spark, d):
+    return D.premium_insight(D.low_crime_premium(metrics_table(spark, d), b.sale(spark, d), b.sale_as_of(spark, d)))
+
+
 register("pf", ["sale"], f"""
 SELECT o.outcode,
        {HU('o.r1', 'o.rn * 100', 6)} AS oc_avg, {HU('o.p1', 'o.pn * 100', 6)} AS oc_prior_avg,

@@ -44,3 +44,16 @@ def test_top_k_per_key(spark):
     for k in range(3):
         vs = sorted([r["v"] for r in got if r["k"] == k], reverse=True)
         assert vs == sorted([v for v in range(500) if v % 3 == k], reverse=True)[:5]
+
+
+def test_global_quantiles_without_keys(spark):
+    from brickyard.operators.ranking import nearest_rank
+    vals = [5, 1, 9, 3, 3, 7, 100, 2, 42, 8]
+    df = spark.createDataFrame([(v,) for v in vals], "v long").withColumn("v", F.col("v").cast("decimal(12,2)"))
+    r = percentile_cont(df, [], "v", {"p25": "0.25", "p50": "0.5"}, count_as="n").first()
+    assert r["p25"] == np.percentile(vals, 25) and r["p50"] == np.percentile(vals, 50) and r["n"] == len(vals)
+    s = sorted(vals)
+    nr = nearest_rank(df, [], "v", {"p50": "0.5", "p99": "0.99"}).first()
+    assert float(nr["p50"]) == s[int(len(s) * 0.5)] and float(nr["p99"]) == s[int(len(s) * 0.99)]
+    plan = percentile_cont(df, [], "v", {"m": "0.5"})._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
