@@ -306,9 +306,8 @@ def _js_number_1dp(x: F.Column) -> F.Column:
 
 def premium_insight(premium: DataFrame) -> DataFrame:
     """title, value, description, methodology for the low-crime premium (X5 text), falling back when absent."""
-    base = premium.sparkSession.range(1).select(F.lit(1).alias("_k"))
-    p = premium.select(F.lit(1).alias("_k"), "premium_pct").where(F.col("premium_pct").isNotNull() & (F.col("premium_pct") != 0))
-    x = base.join(p, "_k", "left")
+    # a global aggregate always yields exactly one row: NULL when there is no usable premium
+    x = premium.agg(F.max(F.when(F.col("premium_pct") != 0, F.col("premium_pct"))).alias("premium_pct"))
     pct = F.col("premium_pct")
     has = pct.isNotNull()
     desc = F.concat(F.lit("Properties in London's safest quartile of outcodes sell for "), _js_number_1dp(F.abs(pct)),
