@@ -17,6 +17,13 @@ from pyspark.sql import functions as F
 BUCKETS = 64  # value buckets per key for the cumulative-count pass
 
 
+def log_scale(col: Column) -> Column:
+    """sign(v)·log1p(|v|): monotone (log1p is semi-monotonic), so equal-width buckets on this
+    scale keep the value order while spreading heavy-tailed values such as prices evenly."""
+    d = col.cast("double")
+    return F.signum(d) * F.log1p(F.abs(d))
+
+
 def cumulative_counts(hist: DataFrame, keys: list[str], order: list[Column | str], count_col: str,
                       bucket_value: Column | None = None, nulls_first: bool = False,
                       with_totals: bool = False):
@@ -73,7 +80,7 @@ def percentile_cont(df: DataFrame, keys: list[str], value: str, probs: dict[str,
         return _global_quantiles(df, value, probs, "cont", count_as)
     v = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     hist = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked, totals = cumulative_counts(hist, keys, ["_v"], "_c", with_totals=True)
+    ranked, totals = cumulative_counts(hist, keys, ["_v"], "_c", bucket_value=log_scale(F.col("_v")), with_totals=True)
     tgt = totals.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(name).alias("pname"), F.lit(p).cast("decimal(10,6)").alias("p")) for name, p in probs.items()
     ])).alias("t"), "_n")
@@ -106,7 +113,7 @@ def nearest_rank(df: DataFrame, keys: list[str], value: str, probs: dict[str, st
         return _global_quantiles(df, value, probs, "rank")
     v = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     hist = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked, totals = cumulative_counts(hist, keys, ["_v"], "_c", with_totals=True)
+    ranked, totals = cumulative_counts(hist, keys, ["_v"], "_c", bucket_value=log_scale(F.col("_v")), with_totals=True)
     tgt = totals.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(n).alias("pname"), F.lit(p).cast("decimal(10,6)").alias("p")) for n, p in probs.items()
     ])).alias("t"), "_n")
@@ -124,7 +131,7 @@ def _global_quantiles(df: DataFrame, value: str, probs: dict[str, str], kind: st
     import math
     v = df.where(F.col(value).isNotNull()).select(F.col(value).alias("_v"))
     hist = v.groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked, totals = cumulative_counts(hist, [], ["_v"], "_c", with_totals=True)
+    ranked, totals = cumulative_counts(hist, [], ["_v"], "_c", bucket_value=log_scale(F.col("_v")), with_totals=True)
     n = totals.agg(F.max("_n").alias("n")).first()["n"] or 0
     tags, outs = [], []
     for i, (name, p) in enumerate(probs.items()):
