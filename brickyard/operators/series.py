@@ -74,7 +74,7 @@ def drilldown(sales: DataFrame, as_of: dt.date, outcode: str | None = None,
     if outcode is not None:
         oc = outcode.upper()
         # the area(s) of one outcode: a handful of values, fetched as a literal list
-        areas = [r["area"] for r in s.where(F.col("outcode") == oc).select("area").distinct().limit(100).collect()]
+        areas = [r["area"] for r in s.where(F.col("outcode") == oc).select("area").distinct().collect()]
         s = s.withColumn("_own_area", F.when(F.col("area").isin(areas), F.lit(True)))
     e = s.select("sale_date", "price_cents", "outcode", "_own_area" if outcode else F.lit(None).alias("_own_area"), lv)
     if outcode is not None:
