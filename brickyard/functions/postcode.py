@@ -66,6 +66,11 @@ def is_london(out: Column) -> Column:
     return F.coalesce(out.rlike(london_regex()), F.lit(False))
 
 
+def like_prefix(col: Column, prefix: str) -> Column:
+    """``col LIKE 'prefix%'`` (P11); note 'E%' also matches EC*/EN* as in the reference (Q-7)."""
+    return col.startswith(prefix)
+
+
 def valid_postcode(col: Column) -> Column:
     return F.coalesce(col.rlike(POSTCODE_PATTERN), F.lit(False))
 

@@ -23,8 +23,11 @@ def latest_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: list[str], rules: dict[str, str] | None = None,
-           order_col: str | None = None, default_rule: str = OVERWRITE) -> DataFrame:
-    """Full merged table; ``changed`` marks inserted or updated rows (T1 stamp flag).
+           order_col: str | None = None, default_rule: str = OVERWRITE, stamp=None) -> DataFrame:
+    """Full merged table; ``changed`` marks inserted or updated rows.
+
+    With ``stamp`` (a date), a base carrying ``created_at`` / ``updated_at`` gets
+    them maintained like the reference's triggers (T1).
 
     ``overwrite``: the update's value wins, NULL included; ``keep_if_null``:
     COALESCE(new, old).  Rows with NULL keys never match (they are distinct,
@@ -33,6 +36,11 @@ def upsert(base: DataFrame, updates: DataFrame, keys: list[str], rules: dict[str
     rules = rules or {}
     if order_col:
         updates = latest_per_key(updates, keys, order_col)
+    stamps = [c for c in ("created_at", "updated_at") if stamp is not None and c in base.columns]
+    if stamps:
+        updates = updates.drop(*stamps)
+        for c in stamps:
+            updates = updates.withColumn(c, F.lit(None).cast(base.schema[c].dataType))
     cols = [c for c in base.columns if c not in keys]
     b = base.select(*keys, *[F.col(c).alias(f"_o_{c}") for c in cols], F.lit(True).alias("_ib"))
     u = updates.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in cols], F.lit(True).alias("_iu"))
@@ -40,6 +48,12 @@ def upsert(base: DataFrame, updates: DataFrame, keys: list[str], rules: dict[str
     out = []
     for c in cols:
         new, old = F.col(f"_n_{c}"), F.col(f"_o_{c}")
+        if c == "created_at" and c in stamps:  # T1: set once on insert
+            out.append(F.coalesce(old, F.lit(stamp).cast(base.schema[c].dataType)).alias(c))
+            continue
+        if c == "updated_at" and c in stamps:  # T1: stamped on every insert or update
+            out.append(F.when(F.col("_iu").isNotNull(), F.lit(stamp).cast(base.schema[c].dataType)).otherwise(old).alias(c))
+            continue
         v = F.coalesce(new, old) if rules.get(c, default_rule) == KEEP_IF_NULL else new
         out.append(F.when(F.col("_iu").isNotNull(), v).otherwise(old).alias(c))
     return j.select(*keys, *out, F.col("_iu").isNotNull().alias("changed"))

@@ -10,14 +10,18 @@ from ..operators import contracts as K
 from ..operators import merge as G
 from ..sources import bindings as b
 from ..sources.tables import read
-from .oracle_bindings import AS_OF_SALE, register, with_
+from .oracle_bindings import AS_OF_CRIME, AS_OF_SALE, register, with_
 from .q_clean import _NPC, _PRICE, _map_sql
 from .registry import query
 
 
+STAMP_BASE = "2020-01-01"  # stamp of the pre-existing location rows
+
+
 def _loc_parts(spark, d):
     loc = b.location(spark, d)
-    base = loc.where(F.col("lsoa_code") % 3 != 0)
+    base = loc.where(F.col("lsoa_code") % 3 != 0).withColumn("created_at", F.lit(STAMP_BASE).cast("date")) \
+              .withColumn("updated_at", F.lit(STAMP_BASE).cast("date"))
     upd = loc.where(F.col("lsoa_code") % 2 == 0).select(
         "postcode", F.lower("outcode").alias("outcode"),
         F.when(F.col("lsoa_code") % 4 == 0, F.lit(None).cast("string")).otherwise(F.concat("borough", F.lit("*"))).alias("borough"),
@@ -25,21 +29,24 @@ def _loc_parts(spark, d):
     return base, upd
 
 
-@query("upsert_location", with_("location") + """
+@query("upsert_location", with_("location") + f"""
 SELECT COALESCE(b.postcode, u.postcode) AS postcode,
        CASE WHEN u.postcode IS NOT NULL THEN u.outcode ELSE b.outcode END AS outcode,
        CASE WHEN u.postcode IS NOT NULL THEN COALESCE(u.borough, b.borough) ELSE b.borough END AS borough,
        CASE WHEN u.postcode IS NOT NULL THEN u.region ELSE b.region END AS region,
        CASE WHEN u.postcode IS NOT NULL THEN COALESCE(u.lsoa_code, b.lsoa_code) ELSE b.lsoa_code END AS lsoa_code,
+       COALESCE(b.created_at, {AS_OF_CRIME}) AS created_at,
+       CASE WHEN u.postcode IS NOT NULL THEN {AS_OF_CRIME} ELSE b.updated_at END AS updated_at,
        u.postcode IS NOT NULL AS changed
-FROM (SELECT * FROM location WHERE lsoa_code % 3 <> 0) b
+FROM (SELECT *, DATE '2020-01-01' AS created_at, DATE '2020-01-01' AS updated_at FROM location WHERE lsoa_code % 3 <> 0) b
 FULL OUTER JOIN (SELECT postcode, lower(outcode) AS outcode,
                         CASE WHEN lsoa_code % 4 = 0 THEN NULL ELSE borough || '*' END AS borough,
                         'Greater London' AS region, lsoa_code FROM location WHERE lsoa_code % 2 = 0) u
 ON b.postcode = u.postcode""")
 def q_upsert_location(spark, d):
     base, upd = _loc_parts(spark, d)
-    return G.upsert(base, upd, ["postcode"], {"borough": G.KEEP_IF_NULL, "lsoa_code": G.KEEP_IF_NULL})
+    return G.upsert(base, upd, ["postcode"], {"borough": G.KEEP_IF_NULL, "lsoa_code": G.KEEP_IF_NULL},
+                    stamp=b.crime_as_of(spark, d))
 
 
 _HPI_COLS = ["average_price", "index_value", "annual_pct_change"]
@@ -258,17 +265,17 @@ def q_column_migration(spark, d):
 
 # --- contracts and quality -------------------------------------------------------------------
 
-@query("contract_violations", with_("sale", "asset_sale", "crime_stat") + f"""
+@query("contract_violations", with_("sale", "asset_property", "crime_stat") + f"""
 SELECT 'sale_price_range' AS contract, 'transaction' AS "table", COUNT(*) FILTER (WHERE sale_price <= 0 OR sale_price >= 100000000) AS n FROM sale
 UNION ALL SELECT 'sale_date_not_future', 'transaction', COUNT(*) FILTER (WHERE sale_date > {AS_OF_SALE}) FROM sale
-UNION ALL SELECT 'bedrooms_range', 'property', COUNT(*) FILTER (WHERE bedrooms < 0 OR bedrooms > 20) FROM asset_sale
+UNION ALL SELECT 'bedrooms_range', 'property', COUNT(*) FILTER (WHERE bedrooms < 0 OR bedrooms > 20) FROM asset_property
 UNION ALL SELECT 'crime_count_non_negative', 'crime_stat', COUNT(*) FILTER (WHERE count < 0) FROM crime_stat""")
 def q_contract_violations(spark, d):
     as_of = b.sale_as_of(spark, d)
     s = b.sale(spark, d)
     a = K.violations(s, "transaction", {"sale_price_range": (F.col("sale_price") <= 0) | (F.col("sale_price") >= 100_000_000),
                                          "sale_date_not_future": F.col("sale_date") > F.lit(as_of)})
-    p = K.violations(b.asset_sale(spark, d), "property",
+    p = K.violations(asset_property(spark, d), "property",
                      {"bedrooms_range": (F.col("bedrooms") < 0) | (F.col("bedrooms") > 20)})
     c = K.violations(b.crime_stat(spark, d), "crime_stat", {"crime_count_non_negative": F.col("count") < 0})
     return a.unionByName(p).unionByName(c)
@@ -367,14 +374,14 @@ def q_width_violations(spark, d):
 
 
 @query("dq_checks", with_("pc_clean", "props", "txn_src", "rental_index", "hpi_index", "crime_stat", "mortgage_product",
-                          "asset_sale") + f"""
+                          "asset_property") + f"""
 , v AS (SELECT (SELECT COUNT(*) FROM pc_clean) AS location_count, (SELECT COUNT(*) FROM props) AS property_count,
          (SELECT COUNT(*) FROM txn_src t JOIN props p USING (postcode)) AS transaction_count,
          (SELECT COUNT(*) FROM rental_index) AS rental_index_count, (SELECT COUNT(*) FROM hpi_index) AS hpi_index_count,
          (SELECT COUNT(*) FROM crime_stat) AS crime_stat_count, (SELECT COUNT(*) FROM mortgage_product) AS mortgage_product_count,
          (SELECT COUNT(*) FROM txn_src WHERE sale_price <= 0 OR sale_price >= 100000000) AS invalid_sale_prices,
          (SELECT COUNT(*) FROM txn_src WHERE sale_date > {AS_OF_SALE}) AS future_sale_dates,
-         (SELECT COUNT(*) FROM asset_sale WHERE bedrooms < 0 OR bedrooms > 20) AS invalid_bedrooms,
+         (SELECT COUNT(*) FROM asset_property WHERE bedrooms < 0 OR bedrooms > 20) AS invalid_bedrooms,
          (SELECT COUNT(*) FROM crime_stat WHERE count < 0) AS negative_crime_counts)
 SELECT dimension, metric, CAST(value AS BIGINT) AS value, CAST(threshold AS BIGINT) AS threshold,
        CASE op WHEN 'gte' THEN value >= threshold WHEN 'eq' THEN value = threshold ELSE value <= threshold END AS pass
@@ -397,7 +404,7 @@ def q_dq_checks(spark, d):
              cnt(b.crime_stat(spark, d), "crime_stat_count"), cnt(b.mortgage_product(spark, d), "mortgage_product_count"),
              cnt(t, "invalid_sale_prices", (F.col("p") <= 0) | (F.col("p") >= 100_000_000)),
              cnt(t, "future_sale_dates", F.col("dt") > F.lit(as_of)),
-             cnt(b.asset_sale(spark, d), "invalid_bedrooms", (F.col("bedrooms") < 0) | (F.col("bedrooms") > 20)),
+             cnt(asset_property(spark, d), "invalid_bedrooms", (F.col("bedrooms") < 0) | (F.col("bedrooms") > 20)),
              cnt(b.crime_stat(spark, d), "negative_crime_counts", F.col("count") < 0)]
     v = parts[0]
     for p in parts[1:]:

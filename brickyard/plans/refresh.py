@@ -78,6 +78,9 @@ def load_all(spark: SparkSession, d: str, out: str | None = None) -> dict[str, s
     step("hpi_index", b.hpi_index(spark, d))
     step("rental_index", b.rental_index(spark, d))
     step("crime_stat", b.crime_stat(spark, d))
+    from .registry import QUERIES
+    dq = QUERIES["dq_checks"](spark, d)
+    dq.write.mode("overwrite").json(f"{out}/_quality")  # K10: JSON quality report
     paths["outcode_metrics"] = f"{out}/outcode_metrics"
     refresh_metrics(spark, d, paths["outcode_metrics"])
     log.append({"script": "refresh", "message": "metrics refreshed", "fields": {}})
