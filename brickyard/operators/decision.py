@@ -31,15 +31,24 @@ def with_payment(requests: DataFrame, products: DataFrame, rounded: bool = True)
                          monthly_payment(pc, F.col("rate_tenths"), F.col("mortgage_type"), rounded=rounded))))
 
 
-def composite_score(requests: DataFrame, metrics: DataFrame, products: DataFrame, grv: DataFrame) -> DataFrame:
-    """Weighted-quartile score per request (X3, A17); no matching outcode or product → 50."""
+def composite_score(requests: DataFrame, metrics: DataFrame, products: DataFrame, grv: DataFrame,
+                    risk: DataFrame | None = None) -> DataFrame:
+    """Weighted-quartile score per request (X3, A17); no matching outcode or product → 50.
+
+    By default the risk term is the reference's constant 3/4 (Q-4).  Given
+    ``risk`` (outcode, risk_quartile: 1 = most crime), the term uses the
+    outcode's quartile instead; outcodes without crime data count as 2.
+    """
     x = with_payment(requests, products)
+    if risk is not None:
+        x = x.join(risk.select("outcode", "risk_quartile"), "outcode", "left")
     q = metrics.select("outcode", "yield_quartile", "growth_quartile")
     x = x.join(q, "outcode", "left").join(grv, "outcode", "left")
     pay_c = F.round(F.col("monthly_payment") * 100).cast("long")
     cash = half_up(3 * F.col("rent_cents") - 4 * pay_c, F.lit(400), 4)
     has = F.col("yield_quartile").isNotNull() & F.col("monthly_payment").isNotNull()
-    num = (35 * F.coalesce("yield_quartile", F.lit(2)) + 25 * F.coalesce("growth_quartile", F.lit(2)) + 60
+    risk_term = 20 * F.coalesce("risk_quartile", F.lit(2)) if risk is not None else F.lit(60)
+    num = (35 * F.coalesce("yield_quartile", F.lit(2)) + 25 * F.coalesce("growth_quartile", F.lit(2)) + risk_term
            + 20 * F.when(cash > 0, 3).otherwise(1))
     score = half_up(num, F.lit(4), 2)
     return x.select(

@@ -47,6 +47,25 @@ FROM (SELECT pay.*, m.yield_quartile, m.growth_quartile, g.avg_annual_growth, g.
              (m.yield_quartile IS NOT NULL AND monthly_payment IS NOT NULL) AS has
       FROM pay LEFT JOIN outcode_metrics m USING (outcode) LEFT JOIN grv g USING (outcode))""")
 
+register("risk_q", ["crime_stat", "location"], ORACLE["risk_quartile"][ORACLE["risk_quartile"].index("SELECT outcode, avg_crime_rate"):])
+
+register("score_risk", ["pay", "outcode_metrics", "grv", "risk_q"], f"""
+SELECT request_id,
+       CASE WHEN has THEN yield_quartile END AS yield_quartile, CASE WHEN has THEN growth_quartile END AS growth_quartile,
+       CASE WHEN has THEN {HU('rent_cents * 12', 'asking_price', 6)} ELSE 0.0 END AS gross_yield_pct,
+       CASE WHEN has THEN {HU('rent_cents * 9', 'asking_price', 6)} ELSE 0.0 END AS net_yield_pct,
+       CASE WHEN has THEN COALESCE(avg_annual_growth, 0.0) END AS avg_annual_growth,
+       CASE WHEN has THEN COALESCE(avg_crime_rate, 0.0) END AS avg_crime_rate,
+       CASE WHEN has THEN COALESCE(price_volatility, 0.0) END AS price_volatility,
+       CASE WHEN has THEN monthly_payment ELSE 0.0 END AS monthly_payment,
+       CASE WHEN has THEN cash END AS net_monthly_cashflow,
+       CASE WHEN has THEN {HU('35 * COALESCE(yield_quartile, 2) + 25 * COALESCE(growth_quartile, 2) + 20 * COALESCE(risk_quartile, 2) + 20 * (CASE WHEN cash > 0 THEN 3 ELSE 1 END)', '4', 2)}
+            ELSE 50.0 END AS composite_score
+FROM (SELECT pay.*, m.yield_quartile, m.growth_quartile, rq.risk_quartile, g.avg_annual_growth, g.avg_crime_rate, g.price_volatility,
+             {HU('3 * rent_cents - 4 * CAST(ROUND(monthly_payment * 100) AS BIGINT)', '400', 4)} AS cash,
+             (m.yield_quartile IS NOT NULL AND monthly_payment IS NOT NULL) AS has
+      FROM pay LEFT JOIN outcode_metrics m USING (outcode) LEFT JOIN grv g USING (outcode) LEFT JOIN risk_q rq USING (outcode))""")
+
 register("scen", ["request", "mortgage_product"], f"""
 SELECT request_id, scenario, rent_cents, _loan_c, {PAY('_loan_c', 'rate_tenths', 'scenario', rounded=False)} AS monthly
 FROM (SELECT r.*, COALESCE(p.rate_tenths, 50) AS rate_tenths, r.asking_price * (100 - r.deposit_pct) AS _loan_c
@@ -65,6 +84,14 @@ def q_composite_score(spark, d):
     return _frames(spark, d)
 
 
+@query("composite_score_risk", with_("score_risk") + "SELECT * FROM score_risk")
+def q_composite_score_risk(spark, d):
+    as_of, cas = b.sale_as_of(spark, d), b.crime_as_of(spark, d)
+    grv = M.growth_risk_volatility(b.hpi_index(spark, d), b.crime_stat(spark, d), b.location(spark, d), as_of, cas)
+    risk = M.risk_quartile(b.crime_stat(spark, d), b.location(spark, d), cas)
+    return D.composite_score(b.request(spark, d), metrics_table(spark, d), b.mortgage_product(spark, d), grv, risk=risk)
+
+
 @query("verdict", with_("score") + """
 SELECT request_id, composite_score,
        CASE WHEN composite_score > 75 AND COALESCE(yield_quartile, 2) >= 3 AND COALESCE(growth_quartile, 2) >= 3 THEN 'UNICORN'
