@@ -395,17 +395,21 @@ def q_dq_checks(spark, d):
     vr, _ = valid_raw(spark, d)
     t = vr.select(F.trim("sale_price").try_cast("decimal(12,2)").alias("p"), F.col("sale_date").try_cast("date").alias("dt"))
 
-    def cnt(df, name, pred=None):
-        return (df.where(pred) if pred is not None else df).agg(F.count(F.lit(1)).alias("value")) \
-            .select(F.lit(name).alias("metric"), "value")
-
-    parts = [cnt(loc, "location_count"), cnt(props, "property_count"), cnt(txn, "transaction_count"),
-             cnt(b.rental_index(spark, d), "rental_index_count"), cnt(b.hpi_index(spark, d), "hpi_index_count"),
-             cnt(b.crime_stat(spark, d), "crime_stat_count"), cnt(b.mortgage_product(spark, d), "mortgage_product_count"),
-             cnt(t, "invalid_sale_prices", (F.col("p") <= 0) | (F.col("p") >= 100_000_000)),
-             cnt(t, "future_sale_dates", F.col("dt") > F.lit(as_of)),
-             cnt(asset_property(spark, d), "invalid_bedrooms", (F.col("bedrooms") < 0) | (F.col("bedrooms") > 20)),
-             cnt(b.crime_stat(spark, d), "negative_crime_counts", F.col("count") < 0)]
+    def cnt(df, metrics: dict):
+        """All metrics of one relation in a single aggregation, unpivoted to (metric, value) rows."""
+        agg = df.agg(*[F.count_if(F.coalesce(pred, F.lit(False))).alias(m) for m, pred in metrics.items()])
+        stack = ", ".join(f"'{m}', `{m}`" for m in metrics)
+        return agg.selectExpr(f"stack({len(metrics)}, {stack}) as (metric, value)")
+
+    every = F.lit(True)
+    parts = [cnt(loc, {"location_count": every}), cnt(props, {"property_count": every}),
+             cnt(txn, {"transaction_count": every}), cnt(b.rental_index(spark, d), {"rental_index_count": every}),
+             cnt(b.hpi_index(spark, d), {"hpi_index_count": every}),
+             cnt(b.crime_stat(spark, d), {"crime_stat_count": every, "negative_crime_counts": F.col("count") < 0}),
+             cnt(b.mortgage_product(spark, d), {"mortgage_product_count": every}),
+             cnt(t, {"invalid_sale_prices": (F.col("p") <= 0) | (F.col("p") >= 100_000_000),
+                     "future_sale_dates": F.col("dt") > F.lit(as_of)}),
+             cnt(asset_property(spark, d), {"invalid_bedrooms": (F.col("bedrooms") < 0) | (F.col("bedrooms") > 20)})]
     v = parts[0]
     for p in parts[1:]:
         v = v.unionByName(p)
