@@ -99,16 +99,17 @@ def assign_ids(df: DataFrame, key: str, name: str = "id", method: str = "dense")
     """Surrogate keys for the distinct values of ``key``.
 
     ``dense``: 1..N in key order, from the deterministic two-phase rank of
-    ``operators.ranking`` (value buckets of the key's leading bytes, running
-    counts per bucket), so no global sort, no single-partition window and no
-    sampling: recomputation after a lost executor yields the same ids.
+    ``operators.ranking``: the key's first two UTF-8 bytes are the bucket (at
+    most 65,536, order-preserving, no statistics pass), with running counts
+    per bucket.  No global sort, no sampling, no driver round trip:
+    recomputation after a lost executor yields the same ids.
     ``hash``: xxhash64 of the key (stable, no shuffle).
     """
     if method == "hash":
         return df.withColumn(name, F.xxhash64(key))
     from .ranking import cumulative_counts
     keys = df.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_one", F.lit(1))
-    ranked = cumulative_counts(keys, [], [key], "_one", bucket_value=byte_prefix_value(F.col(key)))
+    ranked = cumulative_counts(keys, [], [key], "_one", bucket=byte_prefix_value(F.col(key), 2))
     ids = ranked.select(key, F.col("_cum").alias(name))
     return df.join(ids, key, "left")
 

@@ -26,7 +26,7 @@ def log_scale(col: Column) -> Column:
 
 def cumulative_counts(hist: DataFrame, keys: list[str], order: list[Column | str], count_col: str,
                       bucket_value: Column | None = None, nulls_first: bool = False,
-                      with_totals: bool = False):
+                      with_totals: bool = False, bucket: Column | None = None):
     """Add ``_cum`` (inclusive running total of ``count_col`` within ``keys`` in ``order``) and ``_n``.
 
     Rows are cut into ``BUCKETS`` ordered value ranges per key from that key's
@@ -38,6 +38,9 @@ def cumulative_counts(hist: DataFrame, keys: list[str], order: list[Column | str
     yields the same ranks.  ``order`` must be unique within a key.
     """
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    if bucket is not None:  # caller-supplied order-preserving integer bucket: no min/max pass
+        h = hist.withColumn("_b", bucket.cast("int"))
+        return _from_buckets(h, keys, order_cols, count_col, with_totals)
     bv = bucket_value if bucket_value is not None else F.col(order[0]) if isinstance(order[0], str) else None
     if bv is None:
         raise ValueError("bucket_value is required when the first order item is an expression")
@@ -53,8 +56,13 @@ def cumulative_counts(hist: DataFrame, keys: list[str], order: list[Column | str
                                              .otherwise(F.lit(0.0)))).cast("int")
     b = F.when(F.col("_bv").isNull(), F.lit(-1 if nulls_first else BUCKETS)).otherwise(b)
     h = h.withColumn("_b", b).drop("_bv", "_mn", "_mx")
+    return _from_buckets(h, keys, order_cols, count_col, with_totals)
+
+
+def _from_buckets(h: DataFrame, keys: list[str], order_cols: list[Column], count_col: str, with_totals: bool):
+    """Running counts from per-(key, bucket) subtotals plus a window inside each bucket."""
     sub = h.groupBy(*keys, "_b").agg(F.sum(count_col).alias("_sub"))
-    wk = Window.partitionBy(*keys) if keys else Window.partitionBy()  # global: at most BUCKETS + 1 rows
+    wk = Window.partitionBy(*keys) if keys else Window.partitionBy()  # global: one row per bucket (bounded)
     off = (sub.withColumn("_off", F.coalesce(F.sum("_sub").over(wk.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .withColumn("_n", F.sum("_sub").over(wk))
               .drop("_sub"))

@@ -11,6 +11,7 @@ from ..functions.dates import trailing
 from ..operators import clean as C
 from ..sources import bindings as b
 from .oracle_bindings import AS_OF_SALE, register, with_
+from ..sources.tables import per_session
 from .registry import query
 
 _PRE = "[" + ", ".join(f"'{p}'" for p in b.RAW_PREFIXES) + "]"
@@ -80,6 +81,7 @@ SELECT sale_id, reason IS NULL AS valid, reason FROM (
   LEFT JOIN (SELECT DISTINCT postcode FROM pc_clean) m ON m.postcode = s._pc)""")
 
 
+@per_session
 def _london(spark, d):
     return C.clean_postcodes(b.raw_postcode(spark, d))
 

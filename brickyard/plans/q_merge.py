@@ -9,7 +9,7 @@ from ..operators import clean as C
 from ..operators import contracts as K
 from ..operators import merge as G
 from ..sources import bindings as b
-from ..sources.tables import read
+from ..sources.tables import per_session, read
 from .oracle_bindings import AS_OF_CRIME, AS_OF_SALE, register, with_
 from .q_clean import _NPC, _PRICE, _map_sql
 from .registry import query
@@ -177,6 +177,7 @@ def q_enrich_sparse(spark, d):
 
 # --- sales load (J10, K6, T2) --------------------------------------------------------------
 
+@per_session
 def valid_raw(spark, d):
     raw = b.raw_sale(spark, d)
     lon = C.clean_postcodes(b.raw_postcode(spark, d))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exact import cents, half_up_int
-from .tables import dim, read, scalar
+from .tables import dim, per_session, read, scalar
 
 # The property-type domain used for requests (the p_type values of
 # the part table, alphabetical) and the mortgage types of the reference schema.
@@ -39,6 +39,7 @@ def nation_region(spark: SparkSession, d: str) -> DataFrame:
     return F.broadcast(n.join(r, n.n_regionkey == r.r_regionkey).drop("r_regionkey"))
 
 
+@per_session
 def sale(spark: SparkSession, d: str, since: dt.date | None = None) -> DataFrame:
     o = read(spark, d, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"])
     if since is not None:
@@ -59,6 +60,7 @@ def sale(spark: SparkSession, d: str, since: dt.date | None = None) -> DataFrame
     )
 
 
+@per_session
 def asset_sale(spark: SparkSession, d: str, since: dt.date | None = None) -> DataFrame:
     li = read(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                      "l_extendedprice", "l_shipdate"])
@@ -85,6 +87,7 @@ def asset_sale(spark: SparkSession, d: str, since: dt.date | None = None) -> Dat
     )
 
 
+@per_session
 def hpi_index(spark: SparkSession, d: str) -> DataFrame:
     """outcode, reference_month, average_price, index_value, annual_pct_change.
 
@@ -109,6 +112,7 @@ def hpi_index(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@per_session
 def rental_index(spark: SparkSession, d: str) -> DataFrame:
     """region, reference_month, index_value (= Σprice / Σquantity / 10)."""
     li = read(spark, d, "lineitem", ["l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"])
@@ -122,6 +126,7 @@ def rental_index(spark: SparkSession, d: str) -> DataFrame:
                     centi.alias("index_centi"))
 
 
+@per_session
 def location(spark: SparkSession, d: str) -> DataFrame:
     """postcode, outcode, borough, region, lsoa_code (1..3 postcodes per lsoa)."""
     users = read(spark, d, "events", ["user_id"]).distinct()
@@ -137,6 +142,7 @@ def location(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@per_session
 def crime_stat(spark: SparkSession, d: str) -> DataFrame:
     """lsoa_code, reference_period (day), category, count."""
     e = read(spark, d, "events", ["user_id", "ts", "event_type"])
@@ -144,6 +150,7 @@ def crime_stat(spark: SparkSession, d: str) -> DataFrame:
                      F.col("event_type").alias("category")).agg(F.count(F.lit(1)).alias("count"))
 
 
+@per_session
 def mortgage_product(spark: SparkSession, d: str) -> DataFrame:
     s = read(spark, d, "supplier", ["s_suppkey", "s_name"])
     k = F.col("s_suppkey")
@@ -160,6 +167,7 @@ def mortgage_product(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@per_session
 def request(spark: SparkSession, d: str) -> DataFrame:
     """One investor request per customer (composite score / comparables)."""
     c = read(spark, d, "customer", ["c_custkey", "c_nationkey"])
@@ -222,6 +230,7 @@ def _raw_postcode_expr(k: F.Column) -> F.Column:
     return F.concat(pre, (k % 10).cast("string"), F.lit(" "), ((k / 10).cast("long") % 10).cast("string"), letters)
 
 
+@per_session
 def raw_postcode(spark: SparkSession, d: str) -> DataFrame:
     """Postcode-directory rows as text: pcds, doterm, oseast1m, osnrth1m, lsoa11."""
     c = read(spark, d, "customer", ["c_custkey"])
@@ -236,6 +245,7 @@ def raw_postcode(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@per_session
 def raw_sale(spark: SparkSession, d: str) -> DataFrame:
     """Price-paid rows as untyped text with injected faults (see FIXTURES B)."""
     o = read(spark, d, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])

@@ -56,6 +56,26 @@ def dim(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None =
     return small_dim(df, f"{sf_dir}/{name}:{','.join(columns or [])}", max_rows)
 
 
+_frames: dict[tuple, DataFrame] = {}
+
+
+def per_session(fn):
+    """Memoise a DataFrame-building function per (session, folder, arguments).
+
+    DataFrames are immutable and lazy, so reusing one only saves the driver
+    from rebuilding and re-analysing the same plan; every query still runs it.
+    """
+    import functools
+
+    @functools.wraps(fn)
+    def wrapper(spark, d, *args, **kwargs):
+        key = (fn.__module__, fn.__qualname__, id(spark), d, args, tuple(sorted(kwargs.items())))
+        if key not in _frames:
+            _frames[key] = fn(spark, d, *args, **kwargs)
+        return _frames[key]
+    return wrapper
+
+
 _scalars: dict[tuple, object] = {}
 
 
