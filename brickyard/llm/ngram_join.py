@@ -411,7 +411,7 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     be positive.  ``class_id`` is the smallest id with an equal set.
     """
     spark = documents.sparkSession
-    K.bounded_batches(spark)
+    K.prepare(spark)
     profiles = shingle_profiles(documents, id_col, text_col, k).checkpoint()
     classes = (profiles.filter("n_shingles > 0").groupBy("n_shingles", "f1", "f2")
                .agg(F.min(F.struct("id", "h")).alias("first"), F.count("*").alias("copies")))

@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brickyard.llm.byte_bpe import encode_digests
+from brickyard.llm.decontam import contamination
 from brickyard.llm.ngram_join import jaccard_components
+from brickyard.llm.sharding import shard_rows
+from brickyard.llm.token_output import fresh_folder, read_blocks, with_crc32, write_token_files
+
+#: Shards of the sharding query.
+SHARDS = 24
+#: The id that ends every document in the token files.
+END_ID = 2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -18,6 +27,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers  # installed beside Spark, never copied here
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -26,3 +41,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = jaccard_components(table(spark, sf_dir, "documents"))
     return joined.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "class_id")
+
+
+@query
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
+    return coded.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_folder(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), END_ID)
+    return with_crc32(read_blocks(spark, path)).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = shard_rows(table(spark, sf_dir, "documents"), [1.0] * SHARDS, [1.0] * (SHARDS + 1))
+    return sharded.select(F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")

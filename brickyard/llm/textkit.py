@@ -7,6 +7,7 @@ never on the number of rows.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folder that holds the package.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Bytes of text that are turned into numpy arrays at once.
 BLOCK_BYTES = 2 << 20
 #: Words are hashed in segments of at most this many bytes (a longer word is a segment of its own).
@@ -30,10 +33,13 @@ SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Ask Spark for Arrow batches that stay small for long texts too."""
+def prepare(spark: SparkSession) -> None:
+    """Arrow batches that stay small for long texts too, and workers that find this package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    paths = spark.sparkContext.environment
+    if ROOT not in paths.get("PYTHONPATH", "").split(os.pathsep):
+        paths["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, paths.get("PYTHONPATH")) if x)
 
 
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
