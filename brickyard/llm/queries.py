@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from brickyard.llm.byte_bpe import encode_digests
 from brickyard.llm.decontam import contamination
+from brickyard.llm.html_extract import extract
 from brickyard.llm.ngram_join import jaccard_components
 from brickyard.llm.sharding import shard_rows
+from brickyard.llm.warc import convert, pages_to_arc, read_warc, write_warc
 from brickyard.llm.token_output import fresh_folder, read_blocks, with_crc32, write_token_files
 
 #: Shards of the sharding query.
@@ -65,3 +67,15 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = shard_rows(table(spark, sf_dir, "documents"), [1.0] * SHARDS, [1.0] * (SHARDS + 1))
     return sharded.select(F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query
+def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_folder(spark, "warc")
+    write_warc(convert(pages_to_arc(table(spark, sf_dir, "pages"))), path, min_bytes=0)
+    return read_warc(spark, path).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "date")
+
+
+@query
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
