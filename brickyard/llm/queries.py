@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brickyard.llm import toxicity
+from brickyard.llm.ann import search
 from brickyard.llm.byte_bpe import encode_digests
 from brickyard.llm.decontam import contamination
 from brickyard.llm.html_extract import extract
+from brickyard.llm.langid import identify, train, training_rows
 from brickyard.llm.ngram_join import jaccard_components
 from brickyard.llm.sharding import shard_rows
 from brickyard.llm.warc import convert, pages_to_arc, read_warc, write_warc
@@ -39,6 +42,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def remainder(documents: DataFrame, n: int):
+    """crc32 of the id's text, modulo n."""
+    return F.pmod(F.crc32(documents["doc_id"].cast("string").cast("binary")), F.lit(n))
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = remainder(documents, 4) == 2
+    profiles = train(training_rows(documents, ~held_out, "lang", "text", "doc_id"))
+    placed = identify(documents, profiles).withColumnRenamed("id", "doc_id")
+    return placed.select("doc_id", (remainder(placed, 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = jaccard_components(table(spark, sf_dir, "documents"))
@@ -79,3 +96,16 @@ def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.train(documents, table(spark, sf_dir, "labels"), remainder(documents, 3) != 1)
+    scored = toxicity.score(documents, model).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", (remainder(scored, 3) == 1).alias("held_out"), "score", (F.col("score") >= toxicity.AT).cast("int").alias("predicted"))
+
+
+@query
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), F.pmod(F.col("id"), F.lit(20)) == 0)
