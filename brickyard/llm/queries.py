@@ -109,3 +109,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), F.pmod(F.col("id"), F.lit(20)) == 0)
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it stands on these operators, so it can't be imported before them
+
+    return corpus_pipeline.run(spark, sf_dir)
