@@ -11,9 +11,9 @@
    shingles form groups, which no link leaves.
 4. ``tree_links``: each group, split into bounded blocks, is stored as a
    prefix tree in the reverse order (commonest first, so that near copies share
-   long paths).  A text walks down the tree, carries its overlap with the path,
-   and leaves a subtree when the overlap that remains possible is too small, or
-   when all texts below are already in its component.
+   long paths).  All texts walk down the tree together, carry their overlaps
+   with the path, and leave a subtree when the overlap that remains possible is
+   too small, or when all texts below are already in their component.
 5. Links of representatives are closed into components; every text gets the
    component of its class.
 
@@ -43,7 +43,7 @@ WORDS, NEAR, OF = 5, 75, 100
 #: Shingles per block that one task sorts at once, and kept before a block is sent on.
 BLOCK_SHINGLES, FLUSH_SHINGLES = 4_000_000, 1_500_000
 #: Shingles of a tree block; larger groups are joined block by block.
-TREE_SHINGLES = 4_000_000
+TREE_SHINGLES = 400_000
 _LOW = np.uint64((1 << 48) - 1)
 _ODD = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3,
                  0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x9C6E6877736C46E3], np.uint64)
@@ -241,26 +241,15 @@ class ShingleTree:
     """Radix tree over sets that are sorted in one global order.
 
     ``texts`` is in the order of the tree's leaves, so that a node covers a run
-    ``lo..hi`` of it.  A node holds the run of tokens on its edge.
+    ``lo..hi`` of it.  A node holds the run of tokens on its edge, the smallest
+    set below it, and the most tokens that any set still has below it.
     """
 
     def __init__(self, texts: list[tuple[int, int, np.ndarray]]):
         self.texts = sorted(texts, key=lambda x: x[2].astype(">u8").tobytes())
-        self.parent = list(range(len(self.texts)))
         self.nodes: list[tuple[np.ndarray, list[int], int, int, int, int]] = []
-        self.one: list[bool] = []
-        self.root = self._node(0, 0, len(self.texts)) if self.texts else -1
-
-    def find(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = self.parent[self.parent[i]]
-            i = self.parent[i]
-        return i
-
-    def union(self, i: int, j: int) -> bool:
-        i, j = self.find(i), self.find(j)
-        self.parent[max(i, j)] = min(i, j)
-        return i != j
+        if self.texts:
+            self._build()
 
     def _common(self, lo: int, hi: int, depth: int) -> int:
         """Depth to which the first and last of a sorted run agree, hence all of it."""
@@ -269,101 +258,110 @@ class ShingleTree:
         differ = np.flatnonzero(a[depth:size] != b[depth:size])
         return depth + int(differ[0]) if len(differ) else size
 
-    def _node(self, depth: int, lo: int, hi: int) -> int:
-        """Build without recursion; returns the number of the subtree's top node."""
-        todo, top = [(depth, lo, hi, -1)], len(self.nodes)
+    def _build(self) -> None:
+        todo = [(0, 0, len(self.texts), -1)]
         while todo:
             depth, lo, hi, up = todo.pop()
             deep = self._common(lo, hi, depth)
-            sizes = [self.texts[i][1] for i in range(lo, hi)]
+            least = min(self.texts[i][1] for i in range(lo, hi))
             rest = max(len(self.texts[i][2]) for i in range(lo, hi)) - deep
             me = len(self.nodes)
-            self.nodes.append((self.texts[lo][2][depth:deep], [], lo, hi, min(sizes), rest))
-            self.one.append(hi - lo == 1)
+            self.nodes.append((self.texts[lo][2][depth:deep], [], lo, hi, least, rest))
             if up >= 0:
                 self.nodes[up][1].append(me)
-            at = lo
-            while at < hi and len(self.texts[at][2]) == deep:
-                at += 1
-            if at > lo and hi - lo > 1:  # sets that end here are leaves of their own
-                for i in range(lo, at):
-                    self.nodes[me][1].append(len(self.nodes))
-                    self.nodes.append((self.texts[i][2][:0], [], i, i + 1, self.texts[i][1], 0))
-                    self.one.append(True)
             if hi - lo == 1:
                 continue
+            at = lo
+            while at < hi and len(self.texts[at][2]) == deep:  # sets that end here are leaves of their own
+                self.nodes[me][1].append(len(self.nodes))
+                self.nodes.append((self.texts[at][2][:0], [], at, at + 1, self.texts[at][1], 0))
+                at += 1
             heads = np.array([self.texts[i][2][deep] for i in range(at, hi)], np.uint64)
             cut = np.concatenate(([0], np.flatnonzero(heads[1:] != heads[:-1]) + 1, [len(heads)])) if len(heads) else [0]
             todo.extend((deep, at + int(a), at + int(b), me) for a, b in zip(cut[:-1], cut[1:], strict=True))
-        return top
-
-    def _settled(self, node: int, component: int) -> bool:
-        """Whether every text below is known to be in ``component`` already."""
-        _, below, lo, _, _, _ = self.nodes[node]
-        if not self.one[node]:
-            roots = {self.find(self.nodes[b][2]) for b in below if self.one[b]}
-            if len(roots) > 1 or not all(self.one[b] for b in below):
-                return False
-            self.one[node] = True
-        return self.find(lo) == component
-
-    def walk(self, n: int, tokens: np.ndarray, near: int, of: int, component=None) -> Iterator[int]:
-        """Positions of the stored texts that are linked with (n, tokens); ``component()`` may settle subtrees."""
-        if self.root < 0:
-            return
-        todo = [(self.root, 0, 0)]
-        while todo:
-            node, had, used = todo.pop()
-            edge, below, lo, hi, least, rest = self.nodes[node]
-            if component is not None and self._settled(node, component()):
-                continue
-            if len(edge):
-                at = np.searchsorted(tokens, edge)
-                at[at == len(tokens)] = 0
-                had += int(np.count_nonzero(tokens[at] == edge)) if len(tokens) else 0
-                used = int(np.searchsorted(tokens, edge[-1], "right"))
-            # |x & y| >= t / (1 + t) * (|x| + |y|), here for the smallest set below
-            need = -(-near * (n + least) // (near + of))
-            if had + min(rest, len(tokens) - used) < need:
-                continue
-            if hi - lo == 1 and not below:
-                yield lo
-            else:
-                todo.extend((b, had, used) for b in below)
 
 
-def _closest_first(tree: ShingleTree, near: int, of: int, links: list[tuple[int, int]]) -> None:
-    """Neighbouring leaves share the longest paths: link them before any walk."""
-    for i in range(len(tree.texts) - 1):
-        a, b = tree.texts[i], tree.texts[i + 1]
-        least = -(-near * (a[1] + b[1]) // (near + of))
-        if min(len(a[2]), len(b[2])) >= least and len(np.intersect1d(a[2], b[2], assume_unique=True)) >= least and tree.union(i, i + 1):
-            links.append((a[0], b[0]))
+class Queries:
+    """Texts that walk a tree together: postings of their tokens, and where each text's tokens lie."""
+
+    def __init__(self, texts: list[tuple[int, int, np.ndarray]]):
+        self.n = np.array([x[1] for x in texts], np.int64)
+        self.size = np.array([len(x[2]) for x in texts], np.int64)
+        owner = np.repeat(np.arange(len(texts)), self.size)
+        self.words, rank = np.unique(np.concatenate([x[2] for x in texts]), return_inverse=True)
+        self.first = np.cumsum(self.size) - self.size
+        self.keys = owner * (len(self.words) + 1) + rank
+        self.posting = owner[np.argsort(rank, kind="stable")]
+        self.start = np.concatenate(([0], np.cumsum(np.bincount(rank, minlength=len(self.words)))))
+
+    def overlap(self, edge: np.ndarray) -> np.ndarray:
+        """How many tokens of ``edge`` each text has."""
+        at = np.searchsorted(self.words, edge)
+        at = at[at < len(self.words)] if at[-1] == len(self.words) else at
+        at = at[self.words[at] == edge[:len(at)]]
+        return np.bincount(self.posting[K.ragged(self.start[at], self.start[at + 1] - self.start[at])], minlength=len(self.n))
+
+    def left(self, texts: np.ndarray, token: np.uint64) -> np.ndarray:
+        """How many tokens each text has after ``token``."""
+        after = np.searchsorted(self.words, token, "right")
+        return self.first[texts] + self.size[texts] - np.searchsorted(self.keys, texts * (len(self.words) + 1) + after)
+
+
+def walk(tree: ShingleTree, queries: Queries, label: np.ndarray, shift: int, near: int, of: int) -> None:
+    """Join ``queries`` with the tree in one traversal and merge the labels of linked texts.
+
+    Labels of the tree's texts come first, those of the queries from ``shift``
+    on; with shift 0 the tree is joined with itself.  On the way down the
+    overlaps of all queries that are still possible are carried along; a query
+    leaves a subtree that can't hold a link, or whose texts all have its label.
+    """
+    todo = [(0, np.arange(len(queries.n)), np.zeros(len(queries.n), np.int64))]
+    while todo:
+        node, who, had = todo.pop()
+        edge, below, lo, hi, least, rest = tree.nodes[node]
+        keep = np.ones(len(who), bool) if shift else who > lo  # each pair once
+        own = label[lo:hi]
+        if (own == own[0]).all():
+            keep &= label[who + shift] != own[0]
+        who, had = who[keep], had[keep]
+        if not len(who):
+            continue
+        possible = had + rest
+        if len(edge):
+            had = had + queries.overlap(edge)[who]
+            possible = had + np.minimum(rest, queries.left(who, edge[-1]))
+        # |x & y| >= t / (1 + t) * (|x| + |y|), here for the smallest set below
+        keep = possible >= -(-near * (queries.n[who] + least) // (near + of))
+        who, had = who[keep], had[keep]
+        if not len(who):
+            continue
+        if below:
+            todo.extend((b, who, had) for b in below)
+        else:
+            merged = np.unique(np.append(label[who + shift], label[lo]))
+            label[np.isin(label, merged)] = merged[0]
 
 
 def group_links(left: list[tuple[int, int, np.ndarray]], right: list[tuple[int, int, np.ndarray]] | None, near: int, of: int) -> list[tuple[int, int]]:
-    """Links that join the components of one block (right None), or of two."""
-    links: list[tuple[int, int]] = []
-    if right is None:
-        tree = ShingleTree(left)
-        _closest_first(tree, near, of, links)
-        for i, (one, n, tokens) in enumerate(tree.texts):
-            for j in tree.walk(n, tokens, near, of, lambda i=i: tree.find(i)):
-                if tree.union(i, j):
-                    links.append((one, tree.texts[j][0]))
-        return links
+    """Components of one block (right None) or across two, as links of each member with the smallest one."""
     tree = ShingleTree(left)
-    inside: list[tuple[int, int]] = []
-    _closest_first(tree, near, of, inside)  # found again by the block's own join
-    for one, n, tokens in right:
-        mine = -1
-        for j in tree.walk(n, tokens, near, of, lambda: tree.find(mine) if mine >= 0 else -1):
-            links.append((one, tree.texts[j][0]))
-            if mine < 0:
-                mine = j
-            else:
-                tree.union(mine, j)
-    return links + inside
+    texts = tree.texts + (right or [])
+    label = np.arange(len(texts))
+    # neighbouring leaves share the longest paths: try them before the walk
+    for i, (a, b) in enumerate(zip(tree.texts, tree.texts[1:])):
+        need = -(-near * (a[1] + b[1]) // (near + of))
+        if min(len(a[2]), len(b[2])) >= need and len(np.intersect1d(a[2], b[2], assume_unique=True)) >= need:
+            label[i + 1] = label[i]
+    if right is not None:
+        if left and right:
+            walk(tree, Queries(right), label, len(left), near, of)
+    elif len(left) > 2:
+        walk(tree, Queries(tree.texts), label, 0, near, of)
+    ids = np.array([x[0] for x in texts], np.int64)
+    order = np.lexsort((ids, label))
+    heads = np.concatenate(([True], label[order][1:] != label[order][:-1]))
+    low = ids[order][np.flatnonzero(heads)][np.cumsum(heads) - 1]
+    return [(int(u), int(v)) for u, v in zip(ids[order], low, strict=True) if u != v]
 
 
 def tree_links(sets: DataFrame, groups: DataFrame, near: int, of: int, buckets: int) -> DataFrame:
