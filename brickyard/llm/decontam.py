@@ -67,9 +67,10 @@ def match_windows(documents: DataFrame, items: DataFrame, id_col: str = "doc_id"
     cut = windows(items, item_col, item_text, k).checkpoint()
     vocabulary = cut.select(F.explode("terms").alias("term")).distinct()
     n_windows, n_terms = cut.count(), vocabulary.count()
-    frequency = _vocabulary_frequency(documents, text_col, vocabulary, n_terms <= BLOCK_WINDOWS)
+    small = n_terms <= BLOCK_WINDOWS
+    frequency = _vocabulary_frequency(documents, text_col, vocabulary, small)
     ranked = (cut.select("item", "terms", F.posexplode("terms").alias("offset", "term"))
-              .join(frequency, "term", "left")
+              .join(F.broadcast(frequency) if small else frequency, "term", "left")
               .groupBy("item", "terms")
               .agg(F.min(F.struct(F.coalesce("cf", F.lit(0)).alias("cf"), "offset", "term")).alias("rarest"))
               # a term that no document has rules its window out
