@@ -8,6 +8,8 @@ Applying the same update twice gives the same table as applying it once.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,11 +17,22 @@ OVERWRITE = "overwrite"
 KEEP_IF_NULL = "keep_if_null"
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
-    """Keep the last row per key by ``order_col`` (batch-internal duplicates); map-side ``max_by``."""
+def _null_key(keys: list[str]) -> F.Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
+def latest_per_key(df: DataFrame, keys: list[str], order_col: str, sparse: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """The effect of a batch's rows applied one by one in the order of ``order_col``; map-side ``max_by``.
+
+    A column takes the last row's value, a ``sparse`` one the last value that
+    isn't NULL.  Rows with a NULL key are distinct from all others and all kept.
+    """
     cols = [c for c in df.columns if c not in keys and c != order_col]
-    g = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col(order_col)).alias("_r"))
-    return g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
+    last = F.max_by(F.struct(*[c for c in cols if c not in sparse], F.lit(0).alias("_")), F.col(order_col)).alias("_r")
+    filled = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order_col))).alias(f"_s_{c}") for c in cols if c in sparse]
+    g = df.where(~_null_key(keys)).groupBy(*keys).agg(last, *filled)
+    one = g.select(*keys, *[F.col(f"_s_{c}" if c in sparse else f"_r.{c}").alias(c) for c in cols])
+    return one.unionByName(df.where(_null_key(keys)).select(*one.columns))
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: list[str], rules: dict[str, str] | None = None,
@@ -35,7 +48,8 @@ def upsert(base: DataFrame, updates: DataFrame, keys: list[str], rules: dict[str
     """
     rules = rules or {}
     if order_col:
-        updates = latest_per_key(updates, keys, order_col)
+        sparse = [c for c in updates.columns if rules.get(c, default_rule) == KEEP_IF_NULL]
+        updates = latest_per_key(updates, keys, order_col, sparse)
     stamps = [c for c in ("created_at", "updated_at") if stamp is not None and c in base.columns]
     if stamps:
         updates = updates.drop(*stamps)
@@ -59,19 +73,37 @@ def upsert(base: DataFrame, updates: DataFrame, keys: list[str], rules: dict[str
     return j.select(*keys, *out, F.col("_iu").isNotNull().alias("changed"))
 
 
-def insert_missing(base: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """``INSERT … ON CONFLICT DO NOTHING`` on a natural key (K5)."""
-    fresh = new.join(base.select(*keys), keys, "left_anti")
+def insert_missing(base: DataFrame, new: DataFrame, keys: list[str], order_col: str | None = None) -> DataFrame:
+    """``INSERT … ON CONFLICT DO NOTHING`` on a natural key (K5).
+
+    Of several new rows with one key the first by ``order_col`` goes in (by
+    the row's values without one); rows with a NULL key conflict with nothing.
+    """
+    cols = [c for c in new.columns if c != order_col]
+    rest = [c for c in cols if c not in keys]
+    row = F.struct(*([order_col] if order_col else []), *rest, F.lit(0).alias("_"))
+    first = new.where(~_null_key(keys)).groupBy(*keys).agg(F.min(row).alias("_r"))
+    first = first.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in cols])
+    fresh = first.join(base.select(*keys), keys, "left_anti").unionByName(new.where(_null_key(keys)).select(*cols))
     return base.withColumn("inserted", F.lit(False)).unionByName(fresh.withColumn("inserted", F.lit(True)))
 
 
-def enrich(base: DataFrame, updates: DataFrame, key: str, cols: list[str], order_col: str | None = None) -> DataFrame:
-    """Sparse attribute update: each column COALESCE(new, old); unmatched updates dropped (K7)."""
+def enrich(base: DataFrame, updates: DataFrame, key: str, cols: list[str], order_col: str | None = None,
+           stamp=None) -> DataFrame:
+    """Sparse attribute update: each column COALESCE(new, old); unmatched updates dropped (K7).
+
+    Several updates of one key act in the order of ``order_col``, so a NULL in
+    a later one leaves an earlier value.  With ``stamp`` (a date) a base that
+    carries ``updated_at`` has it set on every updated row.
+    """
     if order_col:
-        updates = latest_per_key(updates, [key], order_col)
-    u = updates.select(key, *[F.col(c).alias(f"_n_{c}") for c in cols])
+        updates = latest_per_key(updates, [key], order_col, cols)
+    u = updates.select(key, *[F.col(c).alias(f"_n_{c}") for c in cols], F.lit(True).alias("_u"))
     j = base.join(u, key, "left")
-    return j.select(*[F.coalesce(F.col(f"_n_{c}"), F.col(c)).alias(c) if c in cols else F.col(c) for c in base.columns])
+    out = {c: F.coalesce(F.col(f"_n_{c}"), F.col(c)) for c in cols}
+    if stamp is not None:
+        out["updated_at"] = F.when(F.col("_u"), F.lit(stamp).cast(base.schema["updated_at"].dataType)).otherwise(F.col("updated_at"))
+    return j.select(*[out[c].alias(c) if c in out else F.col(c) for c in base.columns])
 
 
 def migrate_column(df: DataFrame, old: str, new: str) -> DataFrame:

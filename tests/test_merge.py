@@ -65,3 +65,29 @@ def test_ordered_load_writes_snapshots(spark):
     root = paths["location"].rsplit("/", 1)[0]
     assert spark.read.json(f"{root}/_runlog").count() >= 7
     assert spark.read.json(f"{root}/_quality").count() == 11
+
+
+def test_null_key_updates_are_all_kept(spark):
+    base = spark.createDataFrame([("a", 1)], "k string, n long")
+    upd = spark.createDataFrame([(None, 5, 1), (None, 7, 2), ("a", 3, 1)], "k string, n long, seq int")
+    got = sorted((r["k"] or "", r["n"]) for r in G.upsert(base, upd, ["k"], order_col="seq").collect())
+    assert got == [("", 5), ("", 7), ("a", 3)]
+
+
+def test_insert_missing_keeps_the_first_of_a_repeated_key(spark):
+    base = spark.createDataFrame([(1, "x")], "id long, v string")
+    new = spark.createDataFrame([(2, "b", 2), (2, "c", 1), (None, "n", 1), (None, "n", 1)], "id long, v string, seq int")
+    got = sorted((r["id"] or 0, r["v"]) for r in G.insert_missing(base, new, ["id"], order_col="seq").collect())
+    assert got == [(0, "n"), (0, "n"), (1, "x"), (2, "c")]
+    assert G.insert_missing(base, new.drop("seq"), ["id"]).where("id = 2").select("v").collect()[0][0] == "b"
+
+
+def test_sparse_updates_act_one_after_another(spark):
+    import datetime as dt
+    base = spark.createDataFrame([(1, 0, 9, None), (2, 0, 9, None)], "id long, a long, b long, updated_at date")
+    upd = spark.createDataFrame([(1, 3, None, 1), (1, None, 4, 2)], "id long, a long, b long, seq int")
+    day = dt.date(2024, 1, 1)
+    got = sorted(tuple(r) for r in G.enrich(base, upd, "id", ["a", "b"], order_col="seq", stamp=day).collect())
+    assert got == [(1, 3, 4, day), (2, 0, 9, None)]
+    up = G.upsert(base.select("id", "a", "b"), upd, ["id"], {"a": G.KEEP_IF_NULL}, order_col="seq").where("id = 1").collect()[0]
+    assert (up["a"], up["b"]) == (3, 4)
