@@ -1,7 +1,7 @@
 """Monthly price series, rolling mean, year-on-year change and the drill-down.
 
-All four geographic levels are produced by one explode-then-aggregate pass over
-the sales (one scan, one shuffle) instead of four scans; windows then run per
+The sales are summed once per sector and month; those sums are expanded to the
+four geographic levels and summed again, which moves a few rows per level; windows then run per
 (level, value) over at most a few hundred monthly rows each.
 """
 
@@ -20,9 +20,20 @@ LEVELS = ("postcode_sector", "outcode", "area", "region")
 
 def monthly_totals(sales: DataFrame, keys: list[str]) -> DataFrame:
     """Exact per-(keys, month) sums: ``_s`` cents, ``n`` rows, ``avg_micro`` HALF_UP mean in µ-units."""
-    g = sales.groupBy(*keys, F.trunc("sale_date", "MM").alias("month")).agg(
-        F.sum("price_cents").alias("_s"), F.count(F.lit(1)).alias("n"))
-    return g.withColumn("avg_micro", half_up_int(F.col("_s") * 10000, F.col("n")))
+    return with_mean(month_sums(sales, keys))
+
+
+def month_sums(sales: DataFrame, keys: list[str]) -> DataFrame:
+    """``_s`` (38 digits: no month of any size overflows) and ``n`` per (keys, month)."""
+    return sales.groupBy(*keys, F.trunc("sale_date", "MM").alias("month")).agg(
+        F.sum(F.col("price_cents").cast("decimal(28,0)")).alias("_s"), F.count(F.lit(1)).alias("n"))
+
+
+def with_mean(g: DataFrame) -> DataFrame:
+    """``avg_micro`` from the quotient and the remainder of ``_s / n``, so that nothing is scaled up before the division."""
+    whole = F.expr("_s div n")
+    rest = F.expr("_s % n").cast("long")
+    return g.withColumn("avg_micro", whole * 10000 + half_up_int(rest * 10000, F.col("n")))
 
 
 def monthly_avg(sales: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -64,7 +75,8 @@ def drilldown(sales: DataFrame, as_of: dt.date, outcode: str | None = None,
     ``outcode=None`` answers every sector/outcode/area at once (batch form);
     a given outcode keeps its own sectors, its area and the region.
     """
-    s = sales.where((F.col("sale_date") >= F.lit(months_back(as_of, 60))) & F.col("outcode").isNotNull())
+    recent = sales.where((F.col("sale_date") >= F.lit(months_back(as_of, 60))) & F.col("outcode").isNotNull())
+    s = month_sums(recent, ["sector", "outcode", "area", "region"])
     lv = F.explode(F.array(
         F.struct(F.lit(LEVELS[0]).alias("geo_level"), F.col("sector").alias("geo_value")),
         F.struct(F.lit(LEVELS[1]).alias("geo_level"), F.col("outcode").alias("geo_value")),
@@ -73,18 +85,16 @@ def drilldown(sales: DataFrame, as_of: dt.date, outcode: str | None = None,
     )).alias("lv")
     if outcode is not None:
         oc = outcode.upper()
-        # the area(s) of one outcode: a handful of values, fetched as a literal list
-        areas = [r["area"] for r in s.where(F.col("outcode") == oc).select("area").distinct().collect()]
-        s = s.withColumn("_own_area", F.when(F.col("area").isin(areas), F.lit(True)))
-    e = s.select("sale_date", "price_cents", "outcode", "_own_area" if outcode else F.lit(None).alias("_own_area"), lv)
+        own = s.where(F.col("outcode") == oc).select(F.col("area").alias("_area")).distinct().withColumn("_own_area", F.lit(True))
+        s = s.join(own, F.col("area") == F.col("_area"), "left")
+    e = s.select("month", "_s", "n", "outcode", "_own_area" if outcode is not None else F.lit(None).alias("_own_area"), lv)
     if outcode is not None:
         lvl = F.col("lv.geo_level")
         e = e.where(((lvl.isin(LEVELS[0], LEVELS[1])) & (F.col("outcode") == oc))
                     | ((lvl == LEVELS[2]) & F.col("_own_area").isNotNull()) | (lvl == LEVELS[3]))
-    e = e.select("sale_date", "price_cents", F.col("lv.geo_level").alias("geo_level"),
-                 F.col("lv.geo_value").alias("geo_value"))
-    g = monthly_totals(e, ["geo_level", "geo_value"])
-    t = with_trends(g, ["geo_level", "geo_value"], calendar=calendar)
+    g = e.groupBy(F.col("lv.geo_level").alias("geo_level"), F.col("lv.geo_value").alias("geo_value"), "month").agg(
+        F.sum("_s").alias("_s"), F.sum("n").alias("n"))
+    t = with_trends(with_mean(g), ["geo_level", "geo_value"], calendar=calendar)
     return t.select("geo_level", "geo_value", "month",
                     (F.col("avg_micro").cast("double") / 1e6).alias("avg_price"),
                     "rolling_12m_avg", "yoy_growth_pct")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from ..operators import series
 from ..sources import bindings as b
-from ..sources.tables import max_date
 from .oracle_bindings import with_
 from .registry import query
 from .sqlfrag import HU, HUI
@@ -64,4 +63,13 @@ FROM g"""
 @query("drilldown", _drill_sql())
 def q_drilldown(spark, d):
     s = b.sale(spark, d)
-    return series.drilldown(s, max_date(s, "sale_date")).orderBy("geo_level", "geo_value", "month")
+    return series.drilldown(s, b.sale_as_of(spark, d)).orderBy("geo_level", "geo_value", "month")
+
+
+@query("drilldown_outcode", "SELECT * FROM (" + _drill_sql() + ")" + """
+WHERE geo_level = 'region' OR (geo_level = 'outcode' AND geo_value = 'NATION_3')
+   OR (geo_level = 'postcode_sector' AND geo_value LIKE 'NATION_3/%')
+   OR (geo_level = 'area' AND geo_value IN (SELECT r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_name = 'NATION_3'))""")
+def q_drilldown_outcode(spark, d):
+    """The drill-down of one outcode, as a user asks for it."""
+    return series.drilldown(b.sale(spark, d), b.sale_as_of(spark, d), outcode="nation_3")
