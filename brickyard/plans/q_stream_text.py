@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..operators import clean as C
@@ -18,7 +20,7 @@ STREAM_CHUNKS = 4
 
 
 @query("stream_sales", with_("raw_sale", "validated") + f"""
-SELECT r.sale_id, r.txn_uid, {_NPC} AS postcode, TRY_CAST(trim(r.sale_price) AS DECIMAL(12,2)) AS sale_price,
+SELECT r.txn_uid, {_NPC} AS postcode, TRY_CAST(trim(r.sale_price) AS DECIMAL(12,2)) AS sale_price,
        TRY_CAST(r.sale_date AS DATE) AS sale_date
 FROM raw_sale r WHERE r.sale_id IN (SELECT sale_id FROM validated WHERE valid)""")
 def q_stream_sales(spark, d):
@@ -32,7 +34,9 @@ def q_stream_sales(spark, d):
     for i in range(STREAM_CHUNKS):
         part = raw.where(F.col("sale_id") % STREAM_CHUNKS == i)
         part.select(to_csv_line(part, PPD_COLUMNS).alias("value")).write.mode("append").text(landing)
-    again = raw.where(F.col("sale_id") % 10 == 0)
+    # sent again with another date, in another month: the stored sale stays as it is
+    again = raw.where(F.col("sale_id") % 10 == 0).withColumn(
+        "sale_date", F.coalesce(F.date_sub(F.col("sale_date").try_cast("date"), 40).cast("string"), F.col("sale_date")))
     again.select(to_csv_line(again, PPD_COLUMNS).alias("value")).write.mode("append").text(landing)
     london = C.clean_postcodes(b.raw_postcode(spark, d))
     return S.stream_sales(spark, landing, london, b.sale_as_of(spark, d), f"{root}/store", f"{root}/checkpoint")
@@ -43,12 +47,16 @@ def q_stream_crime_counts(spark, d):
     ev = read(spark, d, "events")
     root = S.work_dir(spark, "stream-crime")
     landing = f"{root}/landing"
-    day = F.dayofmonth("ts")
-    # land events in time order, a few days per drop, so the watermark sees no late rows
-    for lo in range(1, 32, 7):
-        ev.where((day >= lo) & (day < lo + 7)).write.mode("append").parquet(landing)
+    # land events in the order of dates, a fifth of the time per drop
+    day = F.col("ts").cast("date")
+    first, last = ev.agg(F.min(day), F.max(day)).first()
+    span = (last - first).days // 5 + 1 if first else 1
+    for i in range(5 if first else 0):
+        at = first + dt.timedelta(days=i * span)
+        ev.where((day >= F.lit(at)) & (day < F.lit(at + dt.timedelta(days=span)))).write.mode("append").parquet(landing)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ev.schema.fields)
-    return S.stream_crime_counts(spark, landing, schema, f"{root}/store", f"{root}/checkpoint")
+    # the files of a drop come in any order, so events may be a drop's time late
+    return S.stream_crime_counts(spark, landing, schema, f"{root}/store", f"{root}/checkpoint", watermark=f"{span + 1} days")
 
 
 def ref_docs(spark, d):
@@ -90,7 +98,7 @@ l AS (SELECT CAST(p_partkey // 50 AS BIGINT) AS doc_id, p_partkey,
                                 ELSE p_name || ' — notes' END AS raw FROM x),
 n AS (SELECT doc_id, CAST(ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY p_partkey) AS INTEGER) AS line_no, trim(raw) AS raw FROM l)
 SELECT doc_id, line_no,
-       replace(NULLIF(regexp_extract(raw, '(?i)ISBN[:\\s]*([0-9Xx-]{{10,17}})', 1), ''), '-', '') AS isbn,
+       replace(NULLIF(regexp_extract(raw, '(?i)ISBN[:\\s]*([0-9-Xx]{{10,17}})', 1), ''), '-', '') AS isbn,
        COALESCE(NULLIF(regexp_extract(raw, '(?i)doi[:\\s]*(10\\.\\d{{4,}}/[^\\s,)]+)', 1), ''),
                 NULLIF(regexp_extract(raw, '(10\\.\\d{{4,}}/[^\\s,)]+)', 1), '')) AS doi,
        regexp_replace(NULLIF(regexp_extract(raw, '(https?://[^\\s)]+)', 1), ''), '[.,;]+$', '') AS url,
@@ -99,7 +107,7 @@ SELECT doc_id, line_no,
        regexp_replace(trim(NULLIF(regexp_extract(raw, '\\(\\d{{4}}\\)\\s*[''"]?([^.''"]+)', 1), '')), '[''"]+$', '') AS title,
        CASE WHEN COALESCE(NULLIF(regexp_extract(raw, '(?i)doi[:\\s]*(10\\.\\d{{4,}}/[^\\s,)]+)', 1), ''),
                           NULLIF(regexp_extract(raw, '(10\\.\\d{{4,}}/[^\\s,)]+)', 1), '')) IS NOT NULL THEN 'journal'
-            WHEN NULLIF(regexp_extract(raw, '(?i)ISBN[:\\s]*([0-9Xx-]{{10,17}})', 1), '') IS NOT NULL THEN 'book'
+            WHEN NULLIF(regexp_extract(raw, '(?i)ISBN[:\\s]*([0-9-Xx]{{10,17}})', 1), '') IS NOT NULL THEN 'book'
             WHEN NULLIF(regexp_extract(raw, '(https?://[^\\s)]+)', 1), '') IS NOT NULL THEN 'web'
             ELSE 'unknown' END AS type
 FROM n WHERE length(raw) > 0"""

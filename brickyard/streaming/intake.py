@@ -20,7 +20,9 @@ from ..operators import merge as G
 from ..session import ensure_checkpoint_dir
 from ..sources.readers import CSV_READ, PPD_COLUMNS, string_schema
 
-SALE_COLUMNS = "sale_id BIGINT, txn_uid STRING, postcode STRING, sale_price DECIMAL(12,2), sale_date DATE, sale_month DATE"
+SALE_COLUMNS = "txn_uid STRING, postcode STRING, sale_price DECIMAL(12,2), sale_date DATE, bucket INT"
+#: The store is bucketed by a hash of the key, so that a sale sent again is found whatever its date is now.
+SALE_BUCKETS = 64
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -29,39 +31,45 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 
 def sales_batch(raw: DataFrame, london: DataFrame, as_of: dt.date) -> DataFrame:
-    """Validated, typed sales of one batch, one row per txn_uid (P7 + K5 key)."""
-    x = raw.withColumn("sale_id", F.regexp_extract("txn_uid", r"(\d+)$", 1).try_cast("long"))
-    v = C.validate_sales(x, london, as_of).where("valid").select("sale_id")
-    ok = x.join(v, "sale_id", "left_semi")
-    d = F.col("sale_date").try_cast("date")
-    return ok.select("sale_id", "txn_uid", norm_key(F.col("postcode")).alias("postcode"),
-                     F.trim("sale_price").try_cast("decimal(12,2)").alias("sale_price"),
-                     d.alias("sale_date"), F.trunc(d, "MM").alias("sale_month")).dropDuplicates(["txn_uid"])
+    """Validated, typed sales of one batch, one row per txn_uid (P7 + K5 key).
+
+    Of several valid rows with one key the smallest (date, price, postcode)
+    stays; keys are free text (the feed's are braced GUIDs), without one a row
+    can't be stored.
+    """
+    key = F.trim("txn_uid")
+    ok = C.with_reason(raw.withColumn("sale_id", key), london, as_of).where(F.col("reason").isNull() & (F.length(key) > 0))
+    row = F.struct(F.col("sale_date").try_cast("date").alias("sale_date"), F.trim("sale_price").try_cast("decimal(12,2)").alias("sale_price"),
+                   norm_key(F.col("postcode")).alias("postcode"))
+    one = ok.groupBy(key.alias("txn_uid")).agg(F.min(row).alias("r"))
+    return one.select("txn_uid", "r.postcode", "r.sale_price", "r.sale_date",
+                      F.pmod(F.xxhash64("txn_uid"), F.lit(SALE_BUCKETS)).cast("int").alias("bucket"))
 
 
 def stream_sales(spark: SparkSession, landing_dir: str, london: DataFrame, as_of: dt.date, store: str,
                  checkpoint: str, files_per_trigger: int = 2) -> DataFrame:
     """Incremental price-paid intake: file stream → validate → insert-ignore on txn_uid.
 
-    The store is partitioned by sale month; each batch anti-joins only against
-    the months it touches (partition pruning), so a batch costs O(batch), not
-    O(history).  A replayed batch finds its rows already stored and adds nothing.
+    Each batch is held against its own buckets of the store.  A replayed
+    batch, or a sale sent again with other values, finds its key stored and
+    adds nothing.
     """
-    spark.createDataFrame([], SALE_COLUMNS).write.mode("ignore").partitionBy("sale_month").parquet(store)
+    spark.createDataFrame([], SALE_COLUMNS).write.mode("ignore").partitionBy("bucket").parquet(store)
     src = (spark.readStream.schema(string_schema(PPD_COLUMNS)).options(**CSV_READ)
            .option("maxFilesPerTrigger", files_per_trigger).csv(landing_dir))
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        fresh = sales_batch(batch, london, as_of)
-        # the months of one batch: a bounded list (a batch spans a limited time range)
-        months = [r[0] for r in fresh.select("sale_month").distinct().collect()]
-        stored = spark.read.schema(SALE_COLUMNS).parquet(store).where(F.col("sale_month").isin(months)).select("txn_uid")
-        fresh.join(stored, "txn_uid", "left_anti").write.mode("append").partitionBy("sale_month").parquet(store)
+        # used twice: for the buckets it touches (SALE_BUCKETS numbers at most) and for its rows
+        fresh = sales_batch(batch, london, as_of).checkpoint()
+        touched = [r[0] for r in fresh.select("bucket").distinct().collect()]
+        stored = spark.read.schema(SALE_COLUMNS).parquet(store).where(F.col("bucket").isin(touched)).select("txn_uid")
+        fresh.join(stored, "txn_uid", "left_anti").write.mode("append").partitionBy("bucket").parquet(store)
 
+    ensure_checkpoint_dir(spark)
     q = (src.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.schema(SALE_COLUMNS).parquet(store).drop("sale_month")
+    return spark.read.schema(SALE_COLUMNS).parquet(store).drop("bucket")
 
 
 CRIME_KEYS = ["lsoa_code", "reference_period", "category"]
@@ -75,7 +83,9 @@ def stream_crime_counts(spark: SparkSession, events_dir: str, schema: str, store
     partitioned by day; a batch merges its rows into the days it touches only
     (overwrite rule), stages the merged days in a new folder and swaps them in
     with a dynamic partition overwrite.  Replaying a batch rewrites the same
-    values, so the result equals the batch group-by.
+    values, so the result equals the batch group-by.  Events may come up to
+    ``watermark`` after the latest one seen; later ones are not counted, so
+    feeds must land in about the order of time.
     """
     snap_schema = "lsoa_code BIGINT, category STRING, count BIGINT, reference_period DATE"
     spark.createDataFrame([], snap_schema).write.mode("ignore").partitionBy("reference_period").parquet(store)
@@ -92,12 +102,10 @@ def stream_crime_counts(spark: SparkSession, events_dir: str, schema: str, store
                      F.col("event_type").alias("category"), "count"))
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        # the days of one trigger: bounded by the trigger size and the watermark delay
-        days = [r[0] for r in batch.select("reference_period").distinct().collect()]
-        if not days:
-            return
-        base = spark.read.schema(snap_schema).parquet(store).where(F.col("reference_period").isin(days))
-        merged = G.upsert(base.select(*CRIME_KEYS, "count"), batch, CRIME_KEYS).drop("changed")
+        base = spark.read.schema(snap_schema).parquet(store)
+        # the days of a batch are joined, not listed: a first load may bring all of history
+        touched = base.join(batch.select("reference_period").distinct(), "reference_period", "left_semi")
+        merged = G.upsert(touched.select(*CRIME_KEYS, "count"), batch, CRIME_KEYS).drop("changed")
         staging = f"{store}_staging/{epoch_id}"
         merged.write.mode("overwrite").partitionBy("reference_period").parquet(staging)
         (spark.read.schema(snap_schema).parquet(staging).write.mode("overwrite")

@@ -56,8 +56,9 @@ def test_quartile_sizes_and_score_domain(spark):
 
 def test_stream_equals_batch(spark):
     q = E.queries()
-    s = sorted(tuple(r) for r in q["stream_sales"](spark, SF).select("sale_id", "sale_price").collect())
-    v = q["validate_sales"](spark, SF).where("valid").select("sale_id")
+    s = sorted(tuple(r) for r in q["stream_sales"](spark, SF).select("txn_uid", "sale_price").collect())
+    from brickyard.sources import bindings as b
+    v = q["validate_sales"](spark, SF).where("valid").join(b.raw_sale(spark, SF), "sale_id").select("txn_uid")
     assert [r[0] for r in s] == sorted(r[0] for r in v.collect())
     c = q["stream_crime_counts"](spark, SF)
     from brickyard.sources import bindings as b
