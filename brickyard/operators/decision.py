@@ -131,12 +131,12 @@ def cashflow_waterfall(requests: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def payment_diff(requests: DataFrame, products: DataFrame) -> DataFrame:
-    """Client scenario payment vs the server's rounded payment differ by more than £1."""
+    """Difference of a scenario's payment from the server's rounded one, and whether it is above £1."""
     s = scenarios(requests, products)
     server = payments(requests, products).select("request_id", F.col("monthly_payment").alias("_srv"))
     x = s.join(server, "request_id", "left")
-    return x.select("request_id", "scenario",
-                    (F.abs(F.col("monthly") - F.coalesce("_srv", F.lit(0.0))) > 1).alias("diff_gt_1"))
+    diff = F.abs(F.col("monthly") - F.coalesce("_srv", F.lit(0.0)))
+    return x.select("request_id", "scenario", diff.alias("server_diff"), (diff > 1).alias("diff_gt_1"))
 
 
 def yield_metrics(requests: DataFrame) -> DataFrame:
@@ -213,7 +213,11 @@ def sorted_comparables(rows: DataFrame, key: str = "gbp_per_sqft", descending: b
 
 
 def limited_comparables(stats: DataFrame, minimum: int = 3) -> DataFrame:
-    return stats.select("request_id", "comparable_count", (F.col("comparable_count") < minimum).alias("limited"))
+    """Whether a request has too few comparables, and the sentence shown then."""
+    n = F.col("comparable_count")
+    text = F.concat(F.lit("Only "), n.cast("string"), F.lit(" comparable"), F.when(n == 1, "").otherwise("s"),
+                    F.lit(" found — consider widening criteria."))
+    return stats.select("request_id", "comparable_count", (n < minimum).alias("limited"), F.when(n < minimum, text).alias("message"))
 
 
 # --- insights ----------------------------------------------------------------------
@@ -271,6 +275,9 @@ def findings_text(pf: DataFrame) -> DataFrame:
     g = F.struct(F.lit(1).alias("slot"),
                  F.when(num > 0, "Outperforming London").otherwise("Underperforming London").alias("title"),
                  F.concat(F.when(num > 0, "+").otherwise(""), F.format_string("%.1f", diff1), F.lit("pp")).alias("value"),
+                 F.concat(F.col("outcode"), F.lit(" prices grew "), F.format_string("%.1f", half_up(F.abs(a1 - a0) * 100, a0, 1, wide=True)),
+                          F.lit("% YoY vs London average of "), F.format_string("%.1f", half_up((b1 - b0) * 100, b0, 1, wide=True)),
+                          F.lit("%.")).alias("description"),
                  growth_ok.alias("ok"))
     avg = F.coalesce(F.col("oc_avg"), F.lit(0.0))
     sd = F.coalesce(F.col("oc_stddev"), F.lit(0.0))
@@ -278,16 +285,18 @@ def findings_text(pf: DataFrame) -> DataFrame:
     v = F.struct(F.lit(2).alias("slot"),
                  F.when(cv > 50, "High Price Volatility").otherwise("Moderate Price Stability").alias("title"),
                  F.concat(F.lit("CV "), F.format_string("%.1f", cv), F.lit("%")).alias("value"),
+                 F.concat(F.lit("Coefficient of variation is "), F.format_string("%.1f", cv), F.lit("% over the last 12 months.")).alias("description"),
                  ((avg > 0) & (sd > 0)).alias("ok"))
     t = F.struct(F.lit(3).alias("slot"),
                  F.when(F.col("tx_count") > 100, "Active Market").otherwise("Low Liquidity").alias("title"),
                  F.concat(F.col("tx_count").cast("string"), F.lit(" sales")).alias("value"),
+                 F.concat(F.col("tx_count").cast("string"), F.lit(" transactions recorded in the last 12 months.")).alias("description"),
                  F.lit(True).alias("ok"))
     e = pf.where(F.col("tx_count") > 0).select("outcode", F.explode(F.array(g, v, t)).alias("f")).where("f.ok")
     from pyspark.sql import Window
     w = Window.partitionBy("outcode").orderBy("f.slot")
     return e.select("outcode", F.row_number().over(w).cast("long").alias("ord"),
-                    F.col("f.title").alias("title"), F.col("f.value").alias("value")).where(F.col("ord") <= 3)
+                    F.col("f.title").alias("title"), F.col("f.value").alias("value"), F.col("f.description").alias("description")).where(F.col("ord") <= 3)
 
 
 def crime_by_group(crime: DataFrame, loc: DataFrame, as_of: dt.date, group: str = "borough") -> DataFrame:
@@ -303,6 +312,8 @@ def crime_by_group(crime: DataFrame, loc: DataFrame, as_of: dt.date, group: str
 
 # The insight's texts and the canned fallback used when no premium can be computed.
 PREMIUM_TITLE = "Low-Crime Premium"
+PREMIUM_METHODOLOGY = ("Median sale price comparison: lowest-crime-quartile outcodes vs highest-crime-quartile outcodes from "
+                       "mv_postcode_investment_metrics, filtered to transactions in the last 12 months.")
 PREMIUM_FALLBACK_VALUE = "~40% premium"
 PREMIUM_FALLBACK_TEXT = ("Properties in London's safest quartile of outcodes typically command a significant "
                          "price premium over the highest-crime areas.")
@@ -326,4 +337,4 @@ def premium_insight(premium: DataFrame) -> DataFrame:
                     F.when(has, F.concat(F.when(pct > 0, "+").otherwise(""), _js_number_1dp(pct), F.lit("%")))
                      .otherwise(F.lit(PREMIUM_FALLBACK_VALUE)).alias("value"),
                     F.when(has, desc).otherwise(F.lit(PREMIUM_FALLBACK_TEXT)).alias("description"),
-                    F.when(has, "median comparison").otherwise("fallback").alias("methodology"))
+                    F.when(has, F.lit(PREMIUM_METHODOLOGY)).otherwise("fallback").alias("methodology"))

@@ -163,6 +163,8 @@ def risk_quartile(crime: DataFrame, loc: DataFrame, as_of: dt.date) -> DataFrame
 
 def compare(metrics: DataFrame, outcodes: list[str]) -> DataFrame:
     """Snapshot rows for 1-4 requested outcodes."""
+    if not 1 <= len(outcodes) <= 4:
+        raise ValueError(f"between 1 and 4 outcodes can be compared, not {len(outcodes)}")
     ups = [o.upper() for o in outcodes]
     return (metrics.where(F.col("outcode").isin(ups))
                    .select("outcode", F.col("median_sale_price_12m").alias("median_price_12m"), "avg_yield_pct",

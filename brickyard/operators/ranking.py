@@ -115,8 +115,14 @@ def percentile_cont(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     return hit.groupBy(*keys).agg(*aggs).select(*keys, *outs)
 
 
-def nearest_rank(df: DataFrame, keys: list[str], value: str, probs: dict[str, str]) -> DataFrame:
-    """Nearest-rank quantile sorted[floor(n·q)] (0-based, clamped to n−1) per key."""
+def nearest_rank(df: DataFrame, keys: list[str], value: str, probs: dict[str, str], rounded: bool = False) -> DataFrame:
+    """Nearest-rank quantile sorted[floor(n·q)] (0-based, clamped to n−1) per key.
+
+    ``rounded`` gives whole numbers, halves going up.
+    """
+    if rounded:
+        exact = nearest_rank(df, keys, value, probs)
+        return exact.select(*keys, *[F.floor(F.col(c) + 0.5).cast("long").alias(c) for c in probs])
     if not keys:
         return _global_quantiles(df, value, probs, "rank")
     v = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))

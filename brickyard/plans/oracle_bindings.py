@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .sqlfrag import CENTS, HUI
+from .sqlfrag import CENTS, HUI, PCDS
 
 B: dict[str, tuple[str, list[str]]] = {}
 
@@ -41,7 +41,7 @@ FROM (
       SELECT outcode, reference_month, {HUI('_s', '_n')} AS avg_cents
       FROM (SELECT outcode, CAST(date_trunc('month', sale_date) AS DATE) AS reference_month,
                    SUM(price_cents) AS _s, COUNT(*) AS _n FROM sale GROUP BY ALL)
-      WHERE reference_month < (SELECT MAX(CAST(date_trunc('month', sale_date) AS DATE)) FROM sale))))""")
+      WHERE last_day(reference_month) <= (SELECT CAST(MAX(o_orderdate) AS DATE) FROM orders))))""")
 
 _b("rental_index", [], f"""
 SELECT region, reference_month, CAST(index_centi AS DOUBLE) / 100.0 AS index_value, index_centi
@@ -67,7 +67,11 @@ SELECT s_suppkey AS mortgage_product_id, s_name AS lender, 'Product ' || CAST(s_
        CASE WHEN s_suppkey % 2 = 0 THEN 'REPAYMENT' ELSE 'INTEREST_ONLY' END AS mortgage_type,
        CAST(60 + 5 * (s_suppkey % 5) AS BIGINT) AS max_ltv_pct,
        CAST(CAST(rate_tenths AS DECIMAL(5,3)) / 10 AS DECIMAL(5,3)) AS initial_rate_pct, rate_tenths,
-       CAST((s_suppkey % 4) * 500 AS BIGINT) AS product_fee_gbp
+       CAST((s_suppkey % 4) * 500 AS BIGINT) AS product_fee_gbp,
+       CAST(24 + 12 * (s_suppkey % 4) AS BIGINT) AS initial_period_months,
+       CAST(CAST(70 + s_suppkey % 30 AS DECIMAL(5,3)) / 10 AS DECIMAL(5,3)) AS follow_on_rate_pct,
+       DATE '2024-01-01' + CAST(s_suppkey % 365 AS INTEGER) AS captured_at,
+       CASE WHEN s_suppkey % 7 <> 0 THEN 'https://lender.example/' || CAST(s_suppkey AS VARCHAR) END AS source_url
 FROM (SELECT *, CAST(CASE WHEN s_suppkey % 50 = 0 THEN 0 ELSE 30 + s_suppkey % 40 END AS BIGINT) AS rate_tenths FROM supplier)""")
 
 _b("request", [], f"""
@@ -77,7 +81,10 @@ SELECT c.c_custkey AS request_id, n.n_name AS outcode, CAST(50000 + 100 * c.c_cu
        c.c_custkey % (SELECT COUNT(*) FROM supplier) AS mortgage_product_id,
        CAST(c.c_custkey % 5 + 1 AS BIGINT) AS bedrooms,
        (['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD'])[CAST(c.c_custkey % 6 + 1 AS INTEGER)] AS property_type,
-       CAST(12 + 2 * (c.c_custkey % 50) AS BIGINT) AS floor_area_sqm
+       CAST(12 + 2 * (c.c_custkey % 50) AS BIGINT) AS floor_area_sqm,
+       CASE WHEN c.c_custkey % 9 = 0 THEN 'INVALID' ELSE {PCDS('c.c_custkey')} END AS postcode,
+       CASE WHEN c.c_custkey % 11 = 0 THEN 'CASTLE'
+            ELSE (['DETACHED', 'SEMI_DETACHED', 'TERRACED', 'FLAT', 'OTHER'])[CAST(c.c_custkey % 5 + 1 AS INTEGER)] END AS form_type
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 
 

@@ -13,18 +13,10 @@ from ..sources import bindings as b
 from .oracle_bindings import AS_OF_SALE, register, with_
 from ..sources.tables import per_session
 from .registry import query
-
-_PRE = "[" + ", ".join(f"'{p}'" for p in b.RAW_PREFIXES) + "]"
-
-
-def _pc_sql(k: str) -> str:
-    return (f"({_PRE})[CAST({k} % 23 + 1 AS INTEGER)] || CAST({k} % 10 AS VARCHAR) || ' ' || CAST(({k} // 10) % 10 AS VARCHAR)"
-            f" || substring('ABCDEFGHJKLMNPQRSTUWXYZ', CAST({k} % 23 + 1 AS INTEGER), 1)"
-            f" || substring('ABDEFGHJLNPQRSTUWXYZ', CAST(({k} // 23) % 20 + 1 AS INTEGER), 1)")
-
+from .sqlfrag import PCDS
 
 register("raw_postcode", [], f"""
-SELECT c_custkey AS pc_id, {_pc_sql('c_custkey')} AS pcds,
+SELECT c_custkey AS pc_id, {PCDS('c_custkey')} AS pcds,
        CASE WHEN c_custkey % 11 = 0 THEN '202001' ELSE '' END AS doterm,
        CASE WHEN c_custkey % 13 = 0 THEN '' ELSE CAST(500000 + (c_custkey % 1000) * 10 AS VARCHAR) END AS oseast1m,
        CASE WHEN c_custkey % 13 = 0 THEN '' ELSE CAST(170000 + (c_custkey % 997) * 10 AS VARCHAR) END AS osnrth1m,
@@ -32,15 +24,15 @@ SELECT c_custkey AS pc_id, {_pc_sql('c_custkey')} AS pcds,
 FROM customer""")
 
 register("raw_sale", [], f"""
-SELECT o_orderkey AS sale_id, 'T' || CAST(o_orderkey AS VARCHAR) AS txn_uid,
+SELECT o_orderkey AS sale_id, '{{' || upper(regexp_replace(md5(CAST(o_orderkey AS VARCHAR)), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})', '\\1-\\2-\\3-\\4-')) || '}}' AS txn_uid,
        CASE WHEN o_orderkey % 97 = 0 THEN '0' WHEN o_orderkey % 89 = 0 THEN 'abc'
             ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END AS sale_price,
        CASE WHEN o_orderkey % 79 = 0 THEN '2999-01-01' WHEN o_orderkey % 73 = 0 THEN 'bad'
             ELSE strftime(o_orderdate, '%Y-%m-%d') END AS sale_date,
        CASE WHEN o_orderkey % 83 = 0 THEN '  '
             WHEN o_orderkey % 7 = 0 THEN 'ZZ' || CAST(o_orderkey % 10 AS VARCHAR) || ' 1AA'
-            WHEN o_orderkey % 5 = 0 THEN ' ' || lower({_pc_sql('o_custkey')}) || ' '
-            ELSE {_pc_sql('o_custkey')} END AS postcode,
+            WHEN o_orderkey % 5 = 0 THEN ' ' || lower({PCDS('o_custkey')}) || ' '
+            ELSE {PCDS('o_custkey')} END AS postcode,
        substring('DSTFOX', CAST(o_orderkey % 6 + 1 AS INTEGER), 1) AS property_type,
        CASE o_orderkey % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'L' ELSE 'U' END AS tenure,
        CAST(o_custkey % 50 + 1 AS VARCHAR) AS paon,
@@ -49,7 +41,12 @@ SELECT o_orderkey AS sale_id, 'T' || CAST(o_orderkey AS VARCHAR) AS txn_uid,
        CASE WHEN o_orderkey % 2 = 0 THEN 'A' ELSE 'B' END AS ppd_category
 FROM orders""")
 
-_LONDON_RE = P.london_regex()
+# written out here, so that a wrong constant of the library shows
+_LONDON_RE = ("^((E|N|W|EC|NW|SE|SW|WC|BR|CR|DA|EN|HA|IG|KT|RM|SM|TW|UB|WD)[0-9]"
+              "|(EC|NW|SE|SW|WC|BR|CR|DA|EN|HA|IG|KT|RM|SM|TW|UB|WD)$)")
+SQL_TYPES = {"D": "DETACHED", "S": "SEMI_DETACHED", "T": "TERRACED", "F": "FLAT", "O": "OTHER"}
+SQL_TENURES = {"F": "FREEHOLD", "L": "LEASEHOLD"}
+SQL_CATEGORIES = {"A": "STANDARD_SALE", "B": "NEW_BUILD"}
 _OC_SPLIT = ("CASE WHEN len(string_split(regexp_replace(trim(pcds), '\\s+', ' ', 'g'), ' ')) >= 2 "
              "THEN upper(string_split(regexp_replace(trim(pcds), '\\s+', ' ', 'g'), ' ')[1]) END")
 _LNG_DEN = repr(P.METRES_PER_DEGREE * math.cos(P.REF_LAT_DEG * math.pi / 180))
@@ -112,7 +109,7 @@ def q_london_filter(spark, d):
 
 
 @query("valid_postcode", with_("raw_postcode", "raw_sale") + f"""
-SELECT sale_id AS pc_id, postcode, COALESCE(regexp_matches(postcode, '{P.POSTCODE_PATTERN}'), false) AS flag FROM raw_sale""")
+SELECT sale_id AS pc_id, postcode, COALESCE(regexp_matches(postcode, '(?i)^[A-Z]{{1,2}}[0-9R][0-9A-Z]? ?[0-9][A-Z]{{2}}$'), false) AS flag FROM raw_sale""")
 def q_valid_postcode(spark, d):
     r = b.raw_sale(spark, d)
     return r.select(F.col("sale_id").alias("pc_id"), "postcode", P.valid_postcode(F.col("postcode")).alias("flag"))
@@ -158,8 +155,8 @@ def _map_sql(col: str, mapping: dict[str, str]) -> str:
 
 
 @query("decode_codes", with_("raw_sale") + f"""
-SELECT sale_id, {_map_sql('property_type', P.PROPERTY_TYPE_CODES)} AS property_type,
-       {_map_sql('tenure', P.TENURE_CODES)} AS tenure, {_map_sql('ppd_category', P.CATEGORY_CODES)} AS category
+SELECT sale_id, {_map_sql('property_type', SQL_TYPES)} AS property_type,
+       {_map_sql('tenure', SQL_TENURES)} AS tenure, {_map_sql('ppd_category', SQL_CATEGORIES)} AS category
 FROM raw_sale""")
 def q_decode_codes(spark, d):
     return C.decode_codes(b.raw_sale(spark, d))
@@ -184,7 +181,7 @@ SELECT address_key, sale_id FROM (
 def q_dedupe_properties(spark, d):
     raw = b.raw_sale(spark, d)
     ok = C.validate_sales(raw, _london(spark, d), b.sale_as_of(spark, d)).where("valid").select("sale_id")
-    return C.dedupe_properties(raw.join(ok, "sale_id", "left_semi"))
+    return C.dedupe_properties(raw.join(ok, "sale_id", "left_semi")).select("address_key", "sale_id")
 
 
 @query("assign_ids", with_("pc_clean") + """
@@ -212,10 +209,20 @@ def q_coerce_defaults(spark, d):
     return C.coerce_defaults(b.raw_sale(spark, d))
 
 
-@query("validate_requests", with_("request") + "SELECT request_id, concat_ws(',', " + ", ".join(
-    f"CASE WHEN NOT COALESCE({pred}, false) THEN '{rule}' END" for rule, pred in C.REQUEST_RULES) + ") AS failed_rules FROM request")
+@query("validate_requests", with_("request") + """
+SELECT request_id, concat_ws(',',
+  CASE WHEN NOT COALESCE(regexp_full_match(postcode, '[A-Za-z]{1,2}[0-9Rr][0-9A-Za-z]? ?[0-9][A-Za-z]{2}'), false) THEN 'postcode' END,
+  CASE WHEN NOT COALESCE(bedrooms BETWEEN 1 AND 10, false) THEN 'bedrooms' END,
+  CASE WHEN NOT COALESCE(floor_area_sqm BETWEEN 10 AND 1000, false) THEN 'floor_area_sqm' END,
+  CASE WHEN NOT COALESCE(asking_price BETWEEN 50000 AND 10000000, false) THEN 'asking_price' END,
+  CASE WHEN NOT COALESCE(rent_cents BETWEEN 10000 AND 2000000, false) THEN 'expected_monthly_rent' END,
+  CASE WHEN NOT COALESCE(deposit_pct BETWEEN 5 AND 50, false) THEN 'deposit_pct' END,
+  CASE WHEN NOT COALESCE(mortgage_product_id > 0, false) THEN 'mortgage_product_id' END,
+  CASE WHEN NOT COALESCE(form_type IN ('DETACHED', 'SEMI_DETACHED', 'TERRACED', 'FLAT', 'OTHER'), false) THEN 'property_type' END) AS failed_rules
+FROM request""")
 def q_validate_requests(spark, d):
-    return C.validate_requests(b.request(spark, d))
+    r = b.request(spark, d)
+    return C.validate_requests(r.withColumn("property_type", F.col("form_type")))
 
 
 _MONTH_RAW = """CASE o_orderkey % 8

@@ -154,7 +154,8 @@ def q_cashflow_waterfall(spark, d):
 
 
 @query("payment_diff", with_("scen", "pay") + """
-SELECT s.request_id, s.scenario, abs(s.monthly - COALESCE(p.monthly_payment, 0.0)) > 1 AS diff_gt_1
+SELECT s.request_id, s.scenario, abs(s.monthly - COALESCE(p.monthly_payment, 0.0)) AS server_diff,
+       abs(s.monthly - COALESCE(p.monthly_payment, 0.0)) > 1 AS diff_gt_1
 FROM scen s LEFT JOIN pay p USING (request_id)""")
 def q_payment_diff(spark, d):
     return D.payment_diff(b.request(spark, d), b.mortgage_product(spark, d))
@@ -215,7 +216,9 @@ def q_sorted_comparables(spark, d):
 
 
 @query("limited_comparables", with_("comp_stats") +
-       "SELECT request_id, comparable_count, comparable_count < 3 AS limited FROM comp_stats")
+       "SELECT request_id, comparable_count, comparable_count < 3 AS limited, CASE WHEN comparable_count < 3 THEN 'Only ' || "
+       "CAST(comparable_count AS VARCHAR) || CASE WHEN comparable_count = 1 THEN ' comparable' ELSE ' comparables' END || "
+       "' found — consider widening criteria.' END AS message FROM comp_stats")
 def q_limited_comparables(spark, d):
     return D.limited_comparables(D.comparables_stats(*_comp(spark, d)))
 
@@ -250,13 +253,16 @@ def _js1(x: str) -> str:
 SELECT 'Low-Crime Premium' AS title,
        CASE WHEN p.premium_pct IS NOT NULL AND p.premium_pct <> 0
             THEN (CASE WHEN p.premium_pct > 0 THEN '+' ELSE '' END) || {_js1('p.premium_pct')} || '%'
-            ELSE '{D.PREMIUM_FALLBACK_VALUE}' END AS value,
+            ELSE '~40% premium' END AS value,
        CASE WHEN p.premium_pct IS NOT NULL AND p.premium_pct <> 0
             THEN 'Properties in London''s safest quartile of outcodes sell for ' || {_js1('abs(p.premium_pct)')} || '% '
                  || (CASE WHEN p.premium_pct > 0 THEN 'more' ELSE 'less' END)
                  || ' than those in the highest-crime quartile (last 12 months).'
-            ELSE '{D.PREMIUM_FALLBACK_TEXT.replace("'", "''")}' END AS description,
-       CASE WHEN p.premium_pct IS NOT NULL AND p.premium_pct <> 0 THEN 'median comparison' ELSE 'fallback' END AS methodology
+            ELSE 'Properties in London''s safest quartile of outcodes typically command a significant price premium over the highest-crime areas.'
+            END AS description,
+       CASE WHEN p.premium_pct IS NOT NULL AND p.premium_pct <> 0 
+            THEN 'Median sale price comparison: lowest-crime-quartile outcodes vs highest-crime-quartile outcodes from mv_postcode_investment_metrics, filtered to transactions in the last 12 months.'
+            ELSE 'fallback' END AS methodology
 FROM (SELECT 1 AS k) one LEFT JOIN (SELECT 1 AS k, premium_pct FROM prem) p ON one.k = p.k""")
 def q_low_crime_insight(spark, d):
     return D.premium_insight(D.low_crime_premium(metrics_table(spark, d), b.sale(spark, d), b.sale_as_of(spark, d)))
@@ -287,6 +293,7 @@ def q_period_findings(spark, d):
 
 
 _A = "CAST(ROUND({} * 1000000) AS HUGEINT)"
+_A1, _A0, _B1, _B0 = (_A.format(c) for c in ("oc_avg", "oc_prior_avg", "reg_avg", "reg_prior_avg"))
 _NUM = (f"((({_A.format('oc_avg')} - {_A.format('oc_prior_avg')}) * {_A.format('reg_prior_avg')} - "
         f"({_A.format('reg_avg')} - {_A.format('reg_prior_avg')}) * {_A.format('oc_prior_avg')}) * 100)")
 _DEN = f"({_A.format('oc_prior_avg')} * {_A.format('reg_prior_avg')})"
@@ -294,16 +301,19 @@ _CV = "(COALESCE(oc_stddev, 0.0) / COALESCE(oc_avg, 0.0) * 100)"
 
 
 @query("findings_text", with_("pf") + f"""
-SELECT outcode, CAST(ROW_NUMBER() OVER (PARTITION BY outcode ORDER BY slot) AS BIGINT) AS ord, title, value FROM (
+SELECT outcode, CAST(ROW_NUMBER() OVER (PARTITION BY outcode ORDER BY slot) AS BIGINT) AS ord, title, value, description FROM (
   SELECT outcode, 1 AS slot, CASE WHEN {_NUM} > 0 THEN 'Outperforming London' ELSE 'Underperforming London' END AS title,
-         (CASE WHEN {_NUM} > 0 THEN '+' ELSE '' END) || printf('%.1f', {HU(_NUM, _DEN, 1)}) || 'pp' AS value
+         (CASE WHEN {_NUM} > 0 THEN '+' ELSE '' END) || printf('%.1f', {HU(_NUM, _DEN, 1)}) || 'pp' AS value,
+         outcode || ' prices grew ' || printf('%.1f', {HU(f'abs({_A1} - {_A0}) * 100', _A0, 1)}) || '% YoY vs London average of '
+         || printf('%.1f', {HU(f'({_B1} - {_B0}) * 100', _B0, 1)}) || '%.' AS description
   FROM pf WHERE tx_count > 0 AND COALESCE(oc_prior_avg, 0) > 0 AND COALESCE(reg_prior_avg, 0) > 0
   UNION ALL
   SELECT outcode, 2, CASE WHEN {_CV} > 50 THEN 'High Price Volatility' ELSE 'Moderate Price Stability' END,
-         'CV ' || printf('%.1f', {_CV}) || '%'
+         'CV ' || printf('%.1f', {_CV}) || '%', 'Coefficient of variation is ' || printf('%.1f', {_CV}) || '% over the last 12 months.'
   FROM pf WHERE tx_count > 0 AND COALESCE(oc_avg, 0) > 0 AND COALESCE(oc_stddev, 0) > 0
   UNION ALL
-  SELECT outcode, 3, CASE WHEN tx_count > 100 THEN 'Active Market' ELSE 'Low Liquidity' END, CAST(tx_count AS VARCHAR) || ' sales'
+  SELECT outcode, 3, CASE WHEN tx_count > 100 THEN 'Active Market' ELSE 'Low Liquidity' END, CAST(tx_count AS VARCHAR) || ' sales',
+         CAST(tx_count AS VARCHAR) || ' transactions recorded in the last 12 months.'
   FROM pf WHERE tx_count > 0)""")
 def q_findings_text(spark, d):
     return D.findings_text(D.period_findings(b.sale(spark, d), b.sale_as_of(spark, d)))

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.postcode import CATEGORY_CODES, PROPERTY_TYPE_CODES, TENURE_CODES, address_line, decode, norm_key
+from ..functions.postcode import CATEGORY_CODES, PROPERTY_TYPE_CODES, TENURE_CODES, decode, norm_key
 from ..operators import clean as C
 from ..operators import contracts as K
 from ..operators import merge as G
 from ..sources import bindings as b
 from ..sources.tables import per_session, read
 from .oracle_bindings import AS_OF_CRIME, AS_OF_SALE, register, with_
-from .q_clean import _NPC, _PRICE, _map_sql
+from .q_clean import _NPC, _PRICE, SQL_CATEGORIES, _map_sql
 from .registry import query
 
 
@@ -22,7 +22,7 @@ def _loc_parts(spark, d):
     loc = b.location(spark, d)
     base = loc.where(F.col("lsoa_code") % 3 != 0).withColumn("created_at", F.lit(STAMP_BASE).cast("date")) \
               .withColumn("updated_at", F.lit(STAMP_BASE).cast("date"))
-    upd = loc.where(F.col("lsoa_code") % 2 == 0).select(
+    upd = loc.where((F.col("lsoa_code") % 2 == 0) | (F.col("lsoa_code") % 3 == 0)).select(
         "postcode", F.lower("outcode").alias("outcode"),
         F.when(F.col("lsoa_code") % 4 == 0, F.lit(None).cast("string")).otherwise(F.concat("borough", F.lit("*"))).alias("borough"),
         F.lit("Greater London").alias("region"), "lsoa_code")
@@ -41,7 +41,7 @@ SELECT COALESCE(b.postcode, u.postcode) AS postcode,
 FROM (SELECT *, DATE '2020-01-01' AS created_at, DATE '2020-01-01' AS updated_at FROM location WHERE lsoa_code % 3 <> 0) b
 FULL OUTER JOIN (SELECT postcode, lower(outcode) AS outcode,
                         CASE WHEN lsoa_code % 4 = 0 THEN NULL ELSE borough || '*' END AS borough,
-                        'Greater London' AS region, lsoa_code FROM location WHERE lsoa_code % 2 = 0) u
+                        'Greater London' AS region, lsoa_code FROM location WHERE lsoa_code % 2 = 0 OR lsoa_code % 3 = 0) u
 ON b.postcode = u.postcode""")
 def q_upsert_location(spark, d):
     base, upd = _loc_parts(spark, d)
@@ -62,12 +62,12 @@ FROM (SELECT outcode, reference_month, average_price, index_value, annual_pct_ch
       WHERE month(reference_month) % 2 = 0) b
 FULL OUTER JOIN (SELECT outcode, reference_month, average_price + 1 AS average_price,
                         CASE WHEN outcode = 'NATION_0' THEN NULL ELSE index_value END AS index_value, annual_pct_change
-                 FROM hpi_index WHERE reference_month >= DATE '1998-01-01') u
+                 FROM hpi_index WHERE reference_month >= DATE '1998-01-01' OR month(reference_month) % 2 = 1) u
 ON b.outcode = u.outcode AND b.reference_month = u.reference_month""")
 def q_upsert_hpi(spark, d):
     h = b.hpi_index(spark, d).select("outcode", "reference_month", *_HPI_COLS)
     base = h.where(F.month("reference_month") % 2 == 0)
-    upd = h.where(F.col("reference_month") >= F.lit("1998-01-01").cast("date")).select(
+    upd = h.where((F.col("reference_month") >= F.lit("1998-01-01").cast("date")) | (F.month("reference_month") % 2 == 1)).select(
         "outcode", "reference_month", (F.col("average_price") + 1).alias("average_price"),
         F.when(F.col("outcode") == "NATION_0", F.lit(None).cast("double")).otherwise(F.col("index_value")).alias("index_value"),
         "annual_pct_change")
@@ -80,12 +80,12 @@ SELECT COALESCE(b.region, u.region) AS region, COALESCE(b.reference_month, u.ref
        u.region IS NOT NULL AS changed
 FROM (SELECT region, reference_month, index_value FROM rental_index WHERE region <> 'ASIA') b
 FULL OUTER JOIN (SELECT region, reference_month, index_value + 0.5 AS index_value FROM rental_index
-                 WHERE reference_month >= DATE '2000-01-01') u
+                 WHERE reference_month >= DATE '2000-01-01' OR region = 'ASIA') u
 ON b.region = u.region AND b.reference_month = u.reference_month""")
 def q_upsert_rental(spark, d):
     r = b.rental_index(spark, d).select("region", "reference_month", "index_value")
     base = r.where(F.col("region") != "ASIA")
-    upd = r.where(F.col("reference_month") >= F.lit("2000-01-01").cast("date")).withColumn(
+    upd = r.where((F.col("reference_month") >= F.lit("2000-01-01").cast("date")) | (F.col("region") == "ASIA")).withColumn(
         "index_value", F.col("index_value") + 0.5)
     return G.upsert(base, upd, ["region", "reference_month"])
 
@@ -96,14 +96,14 @@ SELECT COALESCE(b.lsoa_code, u.lsoa_code) AS lsoa_code, COALESCE(b.reference_per
        CASE WHEN u.lsoa_code IS NOT NULL THEN u.count ELSE b.count END AS count, u.lsoa_code IS NOT NULL AS changed
 FROM (SELECT * FROM crime_stat WHERE lsoa_code % 4 <> 0) b
 FULL OUTER JOIN (SELECT lsoa_code, reference_period, category, arg_max(count, seq) AS count FROM (
-                   SELECT *, 1 AS seq FROM crime_stat WHERE lsoa_code % 5 = 0
-                   UNION ALL SELECT lsoa_code, reference_period, category, count + 1, 2 FROM crime_stat WHERE lsoa_code % 5 = 0)
+                   SELECT *, 1 AS seq FROM crime_stat WHERE lsoa_code % 5 = 0 OR lsoa_code % 4 = 0
+                   UNION ALL SELECT lsoa_code, reference_period, category, count + 1, 2 FROM crime_stat WHERE lsoa_code % 5 = 0 OR lsoa_code % 4 = 0)
                  GROUP BY ALL) u
 ON b.lsoa_code = u.lsoa_code AND b.reference_period = u.reference_period AND b.category = u.category""")
 def q_upsert_crime(spark, d):
     c = b.crime_stat(spark, d)
     base = c.where(F.col("lsoa_code") % 4 != 0)
-    u = c.where(F.col("lsoa_code") % 5 == 0)
+    u = c.where((F.col("lsoa_code") % 5 == 0) | (F.col("lsoa_code") % 4 == 0))
     upd = u.withColumn("seq", F.lit(1)).unionByName(u.withColumn("count", F.col("count") + 1).withColumn("seq", F.lit(2)))
     return G.upsert(base, upd, ["lsoa_code", "reference_period", "category"], order_col="seq")
 
@@ -117,8 +117,10 @@ WHERE mortgage_product_id % 3 = 0""")
 def q_insert_ignore(spark, d):
     p = b.mortgage_product(spark, d).select("mortgage_product_id", "lender", "product_name", "mortgage_type")
     base = p.where(F.col("mortgage_product_id") % 3 != 0)
-    new = p.withColumn("lender", F.lower("lender"))
-    return G.insert_missing(base, new, ["mortgage_product_id"])
+    # every key comes twice; the first one goes in
+    new = p.withColumn("lender", F.lower("lender")).withColumn("seq", F.lit(1)).unionByName(
+        p.withColumn("lender", F.upper("lender")).withColumn("seq", F.lit(2)))
+    return G.insert_missing(base, new, ["mortgage_product_id"], order_col="seq")
 
 
 # --- sparse enrichment ----------------------------------------------------------------
@@ -128,7 +130,8 @@ def asset_property(spark, d):
     return p.select(F.col("p_partkey").alias("property_id"), (F.col("p_size") % 5 + 1).cast("long").alias("bedrooms"),
                     F.when(F.col("p_partkey") % 10 == 0, F.lit(None).cast("long"))
                      .otherwise(10 + 2 * F.col("p_size")).cast("long").alias("floor_area_sqm"),
-                    F.lit(None).cast("string").alias("epc_rating"), F.lit(None).cast("long").alias("epc_score"))
+                    F.lit(None).cast("string").alias("epc_rating"), F.lit(None).cast("long").alias("epc_score"),
+                    F.lit(None).cast("string").alias("construction_age_band"), F.lit(STAMP_BASE).cast("date").alias("updated_at"))
 
 
 def epc_update(spark, d):
@@ -140,9 +143,13 @@ def epc_update(spark, d):
         F.when(nul, F.lit(None).cast("long")).otherwise((F.col("p_size") % 4 + 1).cast("long")).alias("bedrooms"),
         F.when(nul, F.lit(None).cast("long")).otherwise((F.col("p_size") * 3).cast("long")).alias("floor_area_sqm"),
         F.substring(F.lit("ABCDEFG"), (k % 7 + 1).cast("int"), 1).alias("epc_rating"),
-        (F.floor("p_retailprice").cast("long") % 100).alias("epc_score"), F.lit(1).alias("seq"))
+        (F.floor("p_retailprice").cast("long") % 100).alias("epc_score"),
+        F.when(k % 2 == 0, F.concat(F.lit("England and Wales: "), (1900 + k % 100).cast("string"))).alias("construction_age_band"),
+        F.lit(1).alias("seq"))
     ghosts = rows.where(k % 9 == 0).withColumn("property_id", F.col("property_id") + 1_000_000_000)
+    # a second update of the same key, with a new score and nothing else for some of them
     later = rows.where(k % 4 == 0).withColumn("epc_score", F.col("epc_score") + 1).withColumn("seq", F.lit(2))
+    later = later.withColumns({c: F.when(F.col("property_id") % 8 != 0, F.col(c)) for c in ("floor_area_sqm", "epc_rating")})
     return rows.unionByName(ghosts).unionByName(later)
 
 
@@ -156,55 +163,48 @@ WITH r AS (SELECT p_partkey AS property_id,
                   CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE CAST(p_size % 4 + 1 AS BIGINT) END AS bedrooms,
                   CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE CAST(p_size * 3 AS BIGINT) END AS floor_area_sqm,
                   substring('ABCDEFG', CAST(p_partkey % 7 + 1 AS INTEGER), 1) AS epc_rating,
-                  CAST(floor(p_retailprice) AS BIGINT) % 100 AS epc_score, 1 AS seq
+                  CAST(floor(p_retailprice) AS BIGINT) % 100 AS epc_score,
+                  CASE WHEN p_partkey % 2 = 0 THEN 'England and Wales: ' || CAST(1900 + p_partkey % 100 AS VARCHAR) END AS construction_age_band,
+                  1 AS seq
            FROM part WHERE p_partkey % 3 = 0)
 SELECT * FROM r
-UNION ALL SELECT property_id + 1000000000, bedrooms, floor_area_sqm, epc_rating, epc_score, seq FROM r WHERE property_id % 9 = 0
-UNION ALL SELECT property_id, bedrooms, floor_area_sqm, epc_rating, epc_score + 1, 2 FROM r WHERE property_id % 4 = 0""")
+UNION ALL SELECT property_id + 1000000000, bedrooms, floor_area_sqm, epc_rating, epc_score, construction_age_band, seq FROM r WHERE property_id % 9 = 0
+UNION ALL SELECT property_id, bedrooms, CASE WHEN property_id % 8 <> 0 THEN floor_area_sqm END, CASE WHEN property_id % 8 <> 0 THEN epc_rating END,
+                 epc_score + 1, construction_age_band, 2 FROM r WHERE property_id % 4 = 0""")
 
 
 @query("enrich_sparse", with_("asset_property", "epc_update") + """
 SELECT a.property_id, COALESCE(u.bedrooms, a.bedrooms) AS bedrooms, COALESCE(u.floor_area_sqm, a.floor_area_sqm) AS floor_area_sqm,
-       u.epc_rating, u.epc_score
+       u.epc_rating, u.epc_score, u.construction_age_band,
+       CASE WHEN u.property_id IS NULL THEN DATE '2020-01-01' ELSE """ + AS_OF_SALE + """ END AS updated_at
 FROM asset_property a LEFT JOIN (
-  SELECT property_id, arg_max(bedrooms, seq) AS bedrooms, arg_max(floor_area_sqm, seq) AS floor_area_sqm,
-         arg_max(epc_rating, seq) AS epc_rating, arg_max(epc_score, seq) AS epc_score
-  FROM epc_update GROUP BY property_id) u ON a.property_id = u.property_id""")
+  SELECT property_id, max(bedrooms) FILTER (WHERE seq = b_seq) AS bedrooms, max(floor_area_sqm) FILTER (WHERE seq = f_seq) AS floor_area_sqm,
+         max(epc_rating) FILTER (WHERE seq = r_seq) AS epc_rating, max(epc_score) FILTER (WHERE seq = s_seq) AS epc_score,
+         max(construction_age_band) FILTER (WHERE seq = a_seq) AS construction_age_band
+  FROM (SELECT *, max(CASE WHEN bedrooms IS NOT NULL THEN seq END) OVER w AS b_seq, max(CASE WHEN floor_area_sqm IS NOT NULL THEN seq END) OVER w AS f_seq,
+               max(CASE WHEN epc_rating IS NOT NULL THEN seq END) OVER w AS r_seq, max(CASE WHEN epc_score IS NOT NULL THEN seq END) OVER w AS s_seq,
+               max(CASE WHEN construction_age_band IS NOT NULL THEN seq END) OVER w AS a_seq
+        FROM epc_update WINDOW w AS (PARTITION BY property_id))
+  GROUP BY property_id) u ON a.property_id = u.property_id""")
 def q_enrich_sparse(spark, d):
     return G.enrich(asset_property(spark, d), epc_update(spark, d), "property_id",
-                    ["bedrooms", "floor_area_sqm", "epc_rating", "epc_score"], order_col="seq")
+                    ["bedrooms", "floor_area_sqm", "epc_rating", "epc_score", "construction_age_band"], order_col="seq",
+                    stamp=b.sale_as_of(spark, d))
 
 
 # --- sales load (J10, K6, T2) --------------------------------------------------------------
 
 @per_session
 def valid_raw(spark, d):
-    raw = b.raw_sale(spark, d)
+    """Valid sales with all their raw columns, and the postcodes they were held against."""
     lon = C.clean_postcodes(b.raw_postcode(spark, d))
-    ok = C.validate_sales(raw, lon, b.sale_as_of(spark, d)).where("valid").select("sale_id")
-    return raw.join(ok, "sale_id", "left_semi"), lon
-
-
-_PROPS: dict[tuple[int, str], object] = {}
+    return C.with_reason(b.raw_sale(spark, d), lon, b.sale_as_of(spark, d)).where("reason is null").drop("reason"), lon
 
 
+@per_session
 def properties(spark, d):
-    """Property table with dense ids; the id assignment is checkpointed once per session and folder."""
-    key = (id(spark), d)
-    if key not in _PROPS:
-        _PROPS[key] = _properties(spark, d)
-    return _PROPS[key]
-
-
-def _properties(spark, d):
-    vr, _ = valid_raw(spark, d)
-    first = C.dedupe_properties(vr)
-    p = first.join(vr, "sale_id").select(
-        "address_key", norm_key(F.col("postcode")).alias("postcode"),
-        address_line(F.col("saon"), F.col("paon"), F.col("street")).alias("address_line_1"), F.trim("town").alias("city"),
-        decode(F.col("property_type"), PROPERTY_TYPE_CODES).alias("property_type"),
-        decode(F.col("tenure"), TENURE_CODES).alias("tenure"))
-    return C.assign_ids(p, "address_key", "property_id")
+    """Property table with dense ids; its keys are written once for each version of the folder's data."""
+    return C.assign_ids(C.property_rows(valid_raw(spark, d)[0]), "address_key", "property_id")
 
 
 def transactions(spark, d, mode: str = "address"):
@@ -230,7 +230,7 @@ WHERE rn = 1""")
 
 register("txn_src", ["raw_sale", "validated"], f"""
 SELECT sale_id, {_AK} AS address_key, {_NPC} AS postcode, TRY_CAST(trim(sale_price) AS DECIMAL(12,2)) AS sale_price,
-       TRY_CAST(sale_date AS DATE) AS sale_date, {_map_sql('ppd_category', CATEGORY_CODES)} AS category
+       TRY_CAST(sale_date AS DATE) AS sale_date, {_map_sql('ppd_category', SQL_CATEGORIES)} AS category
 FROM raw_sale WHERE sale_id IN (SELECT sale_id FROM validated WHERE valid)""")
 
 
@@ -374,6 +374,14 @@ def q_width_violations(spark, d):
                                                           sp.try_cast("double").isNotNull() & sp.try_cast("decimal(12,2)").isNull()})))
 
 
+# written out here, so that a wrong constant of the library shows
+SQL_DQ = [("Completeness", "location_count", 100000, "gte"), ("Completeness", "property_count", 100000, "gte"),
+          ("Completeness", "transaction_count", 490000, "gte"), ("Completeness", "rental_index_count", 500, "gte"),
+          ("Completeness", "hpi_index_count", 500, "gte"), ("Completeness", "crime_stat_count", 10000, "gte"),
+          ("Completeness", "mortgage_product_count", 15, "eq"), ("Validity", "invalid_sale_prices", 0, "eq"),
+          ("Timeliness", "future_sale_dates", 0, "eq"), ("Validity", "invalid_bedrooms", 0, "eq"), ("Validity", "negative_crime_counts", 0, "eq")]
+
+
 @query("dq_checks", with_("pc_clean", "props", "txn_src", "rental_index", "hpi_index", "crime_stat", "mortgage_product",
                           "asset_property") + f"""
 , v AS (SELECT (SELECT COUNT(*) FROM pc_clean) AS location_count, (SELECT COUNT(*) FROM props) AS property_count,
@@ -387,14 +395,21 @@ def q_width_violations(spark, d):
 SELECT dimension, metric, CAST(value AS BIGINT) AS value, CAST(threshold AS BIGINT) AS threshold,
        CASE op WHEN 'gte' THEN value >= threshold WHEN 'eq' THEN value = threshold ELSE value <= threshold END AS pass
 FROM (""" + " UNION ALL ".join(f"SELECT '{dm}' AS dimension, '{m}' AS metric, {m} AS value, {t} AS threshold, '{op}' AS op FROM v"
-                               for dm, m, t, op in K.DQ_CHECKS) + ")")
+                               for dm, m, t, op in SQL_DQ) + ")")
 def q_dq_checks(spark, d):
     as_of = b.sale_as_of(spark, d)
     loc = C.clean_postcodes(b.raw_postcode(spark, d))
-    props = properties(spark, d)
-    txn = transactions(spark, d, "postcode")
     vr, _ = valid_raw(spark, d)
-    t = vr.select(F.trim("sale_price").try_cast("decimal(12,2)").alias("p"), F.col("sale_date").try_cast("date").alias("dt"))
+    # per address first: that is the property count, and properties times sales of a postcode is what a join would make
+    p, sold = F.trim("sale_price").try_cast("decimal(12,2)"), F.col("sale_date").try_cast("date")
+    bad = [F.count_if(F.coalesce(x, F.lit(False))) for x in ((p <= 0) | (p >= 100_000_000), sold > F.lit(as_of))]
+    by_address = vr.groupBy(C.address_key(vr).alias("address_key"), norm_key(F.col("postcode")).alias("postcode")).agg(
+        F.count(F.lit(1)).alias("sales"), bad[0].alias("prices"), bad[1].alias("dates"))
+    by_postcode = by_address.groupBy("postcode").agg(F.count(F.lit(1)).alias("props"), *[F.sum(c).alias(c) for c in ("sales", "prices", "dates")])
+    t = by_postcode.agg(F.coalesce(F.sum("props"), F.lit(0)).alias("property_count"), F.coalesce(F.sum(F.col("props") * F.col("sales")), F.lit(0)).alias("transaction_count"),
+                        F.coalesce(F.sum("prices"), F.lit(0)).alias("invalid_sale_prices"), F.coalesce(F.sum("dates"), F.lit(0)).alias("future_sale_dates"))
+    sales = t.selectExpr("stack(4, 'property_count', property_count, 'transaction_count', transaction_count, "
+                         "'invalid_sale_prices', invalid_sale_prices, 'future_sale_dates', future_sale_dates) as (metric, value)")
 
     def cnt(df, metrics: dict):
         """All metrics of one relation in a single aggregation, unpivoted to (metric, value) rows."""
@@ -403,13 +418,10 @@ def q_dq_checks(spark, d):
         return agg.selectExpr(f"stack({len(metrics)}, {stack}) as (metric, value)")
 
     every = F.lit(True)
-    parts = [cnt(loc, {"location_count": every}), cnt(props, {"property_count": every}),
-             cnt(txn, {"transaction_count": every}), cnt(b.rental_index(spark, d), {"rental_index_count": every}),
+    parts = [cnt(loc, {"location_count": every}), sales, cnt(b.rental_index(spark, d), {"rental_index_count": every}),
              cnt(b.hpi_index(spark, d), {"hpi_index_count": every}),
              cnt(b.crime_stat(spark, d), {"crime_stat_count": every, "negative_crime_counts": F.col("count") < 0}),
              cnt(b.mortgage_product(spark, d), {"mortgage_product_count": every}),
-             cnt(t, {"invalid_sale_prices": (F.col("p") <= 0) | (F.col("p") >= 100_000_000),
-                     "future_sale_dates": F.col("dt") > F.lit(as_of)}),
              cnt(asset_property(spark, d), {"invalid_bedrooms": (F.col("bedrooms") < 0) | (F.col("bedrooms") > 20)})]
     v = parts[0]
     for p in parts[1:]:

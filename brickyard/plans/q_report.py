@@ -78,11 +78,12 @@ def q_latest_trend(spark, d):
 
 @query("list_products", with_("mortgage_product") + """
 SELECT mortgage_product_id, lender, product_name, mortgage_type, max_ltv_pct, CAST(initial_rate_pct AS DOUBLE) AS initial_rate_pct,
-       product_fee_gbp FROM mortgage_product ORDER BY lender, product_name""")
+       initial_period_months, CAST(follow_on_rate_pct AS DOUBLE) AS follow_on_rate_pct, product_fee_gbp, captured_at, source_url FROM mortgage_product ORDER BY lender, product_name""")
 def q_list_products(spark, d):
     p = b.mortgage_product(spark, d)
     return p.select("mortgage_product_id", "lender", "product_name", "mortgage_type", "max_ltv_pct",
-                    F.col("initial_rate_pct").cast("double").alias("initial_rate_pct"), "product_fee_gbp") \
+                    F.col("initial_rate_pct").cast("double").alias("initial_rate_pct"), "initial_period_months",
+                    F.col("follow_on_rate_pct").cast("double").alias("follow_on_rate_pct"), "product_fee_gbp", "captured_at", "source_url") \
             .orderBy("lender", "product_name")
 
 
@@ -99,13 +100,13 @@ def q_latest_months(spark, d):
 
 
 @query("nearest_rank_quantiles", """
-SELECT event_type, list_sort(list(value))[CAST(floor(count(*) * 0.5) AS BIGINT) + 1] AS p50,
-       list_sort(list(value))[CAST(floor(count(*) * 0.95) AS BIGINT) + 1] AS p95,
-       list_sort(list(value))[CAST(floor(count(*) * 0.99) AS BIGINT) + 1] AS p99
+SELECT event_type, CAST(floor(list_sort(list(value))[CAST(floor(count(*) * 0.5) AS BIGINT) + 1] + 0.5) AS BIGINT) AS p50,
+       CAST(floor(list_sort(list(value))[CAST(floor(count(*) * 0.95) AS BIGINT) + 1] + 0.5) AS BIGINT) AS p95,
+       CAST(floor(list_sort(list(value))[CAST(floor(count(*) * 0.99) AS BIGINT) + 1] + 0.5) AS BIGINT) AS p99
 FROM events WHERE value IS NOT NULL GROUP BY event_type""")
 def q_nearest_rank_quantiles(spark, d):
     e = read(spark, d, "events", ["event_type", "value"])
-    return R.nearest_rank(e, ["event_type"], "value", {"p50": "0.5", "p95": "0.95", "p99": "0.99"})
+    return R.nearest_rank(e, ["event_type"], "value", {"p50": "0.5", "p95": "0.95", "p99": "0.99"}, rounded=True)
 
 
 register("hpi_holes", ["hpi_index"], """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..sources import bindings as b
 from ..sources import readers as RD
-from ..sources.tables import dim, read
+from ..sources.tables import read
 from .oracle_bindings import with_
 from .registry import query
 
@@ -45,7 +45,7 @@ def hpi_docs(spark, d):
     nums = F.to_json(F.struct(F.col("average_price").alias("ukhpi:averagePrice"),
                               F.col("index_value").alias("ukhpi:housePriceIndex"),
                               F.col("annual_pct_change").alias("ukhpi:percentageAnnualChange")))
-    item = F.concat(F.lit('{"ukhpi:refMonth":'), month_json, F.lit(","), F.substring(nums, 2, 100000))
+    item = F.concat(F.lit('{"ukhpi:refMonth":'), month_json, F.lit(","), F.substring(nums, F.lit(2), F.length(nums)))
     it = h.select("outcode", F.year("reference_month").alias("y"), item.alias("item"))
     junk = it.select("outcode", "y", F.lit('{"ukhpi:averagePrice": 1}').alias("item")).distinct()
     docs = it.unionByName(junk).groupBy("outcode", "y").agg(
@@ -90,9 +90,10 @@ def q_src_epc(spark, d):
 SELECT CAST(ts AS DATE) AS reference_period, CASE WHEN value < 1 THEN 'other' ELSE event_type END AS category, COUNT(*) AS n
 FROM events GROUP BY ALL""")
 def q_incident_counts(spark, d):
-    e = read(spark, d, "events", ["ts", "event_type", "value"])
+    e = read(spark, d, "events", ["ts", "user_id", "event_type", "value"])
     inc = F.to_json(F.struct(F.when(F.col("value") < 1, F.lit("")).otherwise(F.col("event_type")).alias("category")))
-    docs = e.groupBy(F.col("ts").cast("date").alias("reference_period"), F.hour("ts").alias("h")).agg(
+    # one answer of the service per user, minute and day: documents of a few incidents, whatever the volume
+    docs = e.groupBy(F.col("ts").cast("date").alias("reference_period"), "user_id", F.date_trunc("minute", F.col("ts").cast("timestamp_ltz")).alias("m")).agg(
         F.concat(F.lit("["), F.concat_ws(",", F.collect_list(inc)), F.lit("]")).alias("doc"))
     return RD.count_incidents(docs, "doc", ["reference_period"])
 
@@ -103,7 +104,7 @@ SELECT n.n_regionkey AS region_key, n.n_name AS name,
        CASE WHEN n.n_regionkey = 0 THEN 'centroid' ELSE 'geojson' END AS source
 FROM nation n""")
 def q_geo_features(spark, d):
-    n = dim(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"], 1000)
+    n = read(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     k = F.col("n_nationkey").cast("double")
     ring = F.array(*[F.array(k + dx, F.lit(51.0) + dy) for dx, dy in ((0, 0), (0.5, 0), (0.5, 0.5), (0, 0.5), (0, 0))])
     feat = F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.col("n_name").alias("name")).alias("properties"),

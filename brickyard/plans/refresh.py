@@ -8,6 +8,7 @@ the Parquet equivalent of ``REFRESH MATERIALIZED VIEW`` followed by a swap.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import time
 
@@ -17,11 +18,9 @@ from pyspark.sql import functions as F
 from ..operators import clean as C
 from ..operators import metrics as M
 from ..sources import bindings as b
+from ..sources.tables import remember
 from ..streaming.intake import work_dir
 
-_SNAPSHOTS: dict[tuple[int, str, str], DataFrame] = {}
-
-
 def refresh_metrics(spark: SparkSession, d: str, out: str | None = None) -> DataFrame:
     """Compute the outcode metrics, write a new snapshot, check outcode uniqueness, swap the view."""
     out = out or work_dir(spark, "metrics")
@@ -32,16 +31,15 @@ def refresh_metrics(spark: SparkSession, d: str, out: str | None = None) -> Data
     dup = snap.groupBy("outcode").count().where(F.col("count") > 1).limit(1).count()
     if dup:
         raise ValueError("outcode_metrics snapshot has duplicate outcodes")
+    # one view for each folder, the plain name for the one refreshed last
+    snap.createOrReplaceTempView("outcode_metrics_" + hashlib.sha256(d.encode()).hexdigest()[:16])
     snap.createOrReplaceTempView("outcode_metrics")
     return snap
 
 
 def metrics_snapshot(spark: SparkSession, d: str) -> DataFrame:
-    """The current metrics snapshot of this session, refreshed on first use (E3: precompute then read)."""
-    key = (id(spark), d, "metrics")
-    if key not in _SNAPSHOTS:
-        _SNAPSHOTS[key] = refresh_metrics(spark, d)
-    return _SNAPSHOTS[key]
+    """The metrics snapshot of the folder's present data, refreshed when they change (E3: precompute then read)."""
+    return remember(spark, d, ("metrics snapshot",), lambda: refresh_metrics(spark, d))
 
 
 def write_runlog(spark: SparkSession, entries: list[dict], out: str) -> None:

@@ -30,3 +30,13 @@ def STDDEV(n: str, s1: str, s2: str, unit: float = 1.0) -> str:
     num = f"(CAST({n} AS HUGEINT) * CAST({s2} AS HUGEINT) - CAST({s1} AS HUGEINT) * CAST({s1} AS HUGEINT))"
     den = f"(CAST({n} AS HUGEINT) * (CAST({n} AS HUGEINT) - 1))"
     return (f"(CASE WHEN {n} > 1 THEN sqrt(CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE)) / {float(unit)!r} END)")
+
+
+def PCDS(k: str) -> str:
+    """The generated postcode of key ``k``."""
+    # the prefixes of London outcodes, then three others
+    pre = ("['E', 'EC', 'N', 'NW', 'SE', 'SW', 'W', 'WC', 'BR', 'CR', 'DA', 'EN', 'HA', 'IG', 'KT', 'RM', 'SM', 'TW', 'UB', 'WD',"
+           " 'M', 'B', 'LS']")
+    return (f"({pre})[CAST({k} % 23 + 1 AS INTEGER)] || CAST({k} % 10 AS VARCHAR) || ' ' || CAST(({k} // 10) % 10 AS VARCHAR)"
+            f" || substring('ABCDEFGHJKLMNPQRSTUWXYZ', CAST({k} % 23 + 1 AS INTEGER), 1)"
+            f" || substring('ABDEFGHJLNPQRSTUWXYZ', CAST(({k} // 23) % 20 + 1 AS INTEGER), 1)")

@@ -2,7 +2,7 @@
 
 On a cluster the session is created by the platform; ``ensure_checkpoint_dir``
 only reads ``spark.checkpoint.dir`` from it.  A private checkpoint folder is
-created only when the setting is absent (local runs and tests).
+created only for a local master without that setting (local runs and tests).
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ def get_spark(app: str = "brickyard", cpus: int | str | None = None,
     cpus = cpus or os.environ.get("BENCH_CPUS") or "*"
     parts = shuffle_partitions or int(os.environ.get("BRICKYARD_SHUFFLE_PARTITIONS", "8"))
     builder = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        SparkSession.builder.master(os.environ.get("BRICKYARD_MASTER", f"local[{cpus}]"))
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -37,17 +37,13 @@ def get_spark(app: str = "brickyard", cpus: int | str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """Return the shared checkpoint folder; a private one only in local mode, where all tasks share the machine."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="brickyard-ckpt-")
     spark.sparkContext.setCheckpointDir(current)
     return current
-
-
-def cut_lineage(df):
-    """Reliable checkpoint into the cluster's shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -5,6 +5,7 @@ The driver's test tables stand in for the property feeds (see FIXTURES.md B):
 * ``sale``        orders ⋈ customer ⋈ nation ⋈ region
 * ``asset_sale``  lineitem ⋈ part ⋈ supplier ⋈ nation (comparables)
 * ``hpi_index``   monthly mean of ``sale`` per outcode, complete months only
+  (the newest one too, if the feed reaches its last day)
 * ``rental_index`` weighted unit price per region and month
 * ``location``    event users × nation, 1–3 postcodes per user (many-to-many)
 * ``crime_stat``  event counts per (user, day, type)
@@ -21,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exact import cents, half_up_int
-from .tables import dim, per_session, read, scalar
+from ..functions.postcode import LONDON_OUTCODE_PREFIXES
+from .tables import per_session, read, remember, scalar
 
 # The property-type domain used for requests (the p_type values of
 # the part table, alphabetical) and the mortgage types of the reference schema.
@@ -29,21 +31,15 @@ REQUEST_PROPERTY_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STAND
 MORTGAGE_TYPES = ["REPAYMENT", "INTEREST_ONLY"]
 
 
-def _ts_floor(since: dt.date) -> F.Column:
-    return F.lit(dt.datetime(since.year, since.month, since.day)).cast("timestamp_ntz")
-
-
 def nation_region(spark: SparkSession, d: str) -> DataFrame:
-    n = dim(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"], 1000)
-    r = dim(spark, d, "region", ["r_regionkey", "r_name"], 1000)
-    return F.broadcast(n.join(r, n.n_regionkey == r.r_regionkey).drop("r_regionkey"))
+    n = read(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    r = read(spark, d, "region", ["r_regionkey", "r_name"])
+    return n.join(r, n.n_regionkey == r.r_regionkey).drop("r_regionkey")
 
 
 @per_session
-def sale(spark: SparkSession, d: str, since: dt.date | None = None) -> DataFrame:
+def sale(spark: SparkSession, d: str) -> DataFrame:
     o = read(spark, d, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"])
-    if since is not None:
-        o = o.where(F.col("o_orderdate") >= _ts_floor(since))
     c = read(spark, d, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
     nr = nation_region(spark, d)
     j = o.join(c, o.o_custkey == c.c_custkey).join(nr, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -61,14 +57,12 @@ def sale(spark: SparkSession, d: str, since: dt.date | None = None) -> DataFrame
 
 
 @per_session
-def asset_sale(spark: SparkSession, d: str, since: dt.date | None = None) -> DataFrame:
+def asset_sale(spark: SparkSession, d: str) -> DataFrame:
     li = read(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                      "l_extendedprice", "l_shipdate"])
-    if since is not None:
-        li = li.where(F.col("l_shipdate") >= _ts_floor(since))
     p = read(spark, d, "part", ["p_partkey", "p_type", "p_size"])
     s = read(spark, d, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
-    n = dim(spark, d, "nation", ["n_nationkey", "n_name"], 1000)
+    n = read(spark, d, "nation", ["n_nationkey", "n_name"])
     j = (li.join(p, li.l_partkey == p.p_partkey)
            .join(s, li.l_suppkey == s.s_suppkey)
            .join(n, F.col("s_nationkey") == F.col("n_nationkey")))
@@ -96,8 +90,10 @@ def hpi_index(spark: SparkSession, d: str) -> DataFrame:
     s = sale(spark, d).select("outcode", F.trunc("sale_date", "MM").alias("reference_month"), "price_cents")
     monthly = s.groupBy("outcode", "reference_month").agg(
         F.sum("price_cents").alias("_s"), F.count(F.lit(1)).alias("_n"))
-    last = scalar(s.agg(F.max("reference_month").alias("m")), "m", memo=(id(spark), d, "hpi_last_month"))
-    complete = monthly.where(F.col("reference_month") < F.lit(last))
+    # the newest month counts only once the feed has reached its last day
+    as_of = sale_as_of(spark, d)
+    last = as_of + dt.timedelta(days=1) if as_of else None
+    complete = monthly.where(F.col("reference_month") < F.trunc(F.lit(last).cast("date"), "MM"))
     w = Window.partitionBy("outcode").orderBy("reference_month")
     x = (complete.withColumn("avg_cents", half_up_int(F.col("_s"), F.col("_n")))
          .withColumn("_first", F.first("avg_cents").over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -164,6 +160,10 @@ def mortgage_product(spark: SparkSession, d: str) -> DataFrame:
         (tenths.cast("decimal(5,3)") / 10).cast("decimal(5,3)").alias("initial_rate_pct"),
         tenths.alias("rate_tenths"),
         ((k % 4) * 500).cast("long").alias("product_fee_gbp"),
+        (24 + 12 * (k % 4)).cast("long").alias("initial_period_months"),
+        ((70 + k % 30).cast("decimal(5,3)") / 10).cast("decimal(5,3)").alias("follow_on_rate_pct"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (k % 365).cast("int")).alias("captured_at"),
+        F.when(k % 7 != 0, F.concat(F.lit("https://lender.example/"), k.cast("string"))).alias("source_url"),
     )
 
 
@@ -171,9 +171,8 @@ def mortgage_product(spark: SparkSession, d: str) -> DataFrame:
 def request(spark: SparkSession, d: str) -> DataFrame:
     """One investor request per customer (composite score / comparables)."""
     c = read(spark, d, "customer", ["c_custkey", "c_nationkey"])
-    n = dim(spark, d, "nation", ["n_nationkey", "n_name"], 1000)
-    nsup = scalar(read(spark, d, "supplier", ["s_suppkey"]).agg(F.count(F.lit(1)).alias("n")), "n",
-                  memo=(id(spark), d, "supplier_count"))
+    n = read(spark, d, "nation", ["n_nationkey", "n_name"])
+    nsup = scalar(read(spark, d, "supplier", ["s_suppkey"]).agg(F.count(F.lit(1)).alias("n")), "n")
     k = F.col("c_custkey")
     asking = (50000 + 100 * k).cast("long")
     types = F.array(*[F.lit(t) for t in REQUEST_PROPERTY_TYPES])
@@ -188,19 +187,17 @@ def request(spark: SparkSession, d: str) -> DataFrame:
         (k % 5 + 1).cast("long").alias("bedrooms"),
         F.element_at(types, (k % len(REQUEST_PROPERTY_TYPES) + 1).cast("int")).alias("property_type"),
         (12 + 2 * (k % 50)).cast("long").alias("floor_area_sqm"),
+        # what a form would send: a postcode (every ninth malformed) and one of the stored types (every eleventh unknown)
+        F.when(k % 9 == 0, F.lit("INVALID")).otherwise(_raw_postcode_expr(k)).alias("postcode"),
+        F.when(k % 11 == 0, F.lit("CASTLE")).otherwise(
+            F.element_at(F.array(*[F.lit(t) for t in ("DETACHED", "SEMI_DETACHED", "TERRACED", "FLAT", "OTHER")]), (k % 5 + 1).cast("int"))).alias("form_type"),
     )
 
 
-_AS_OF: dict[tuple[str, str], dt.date] = {}
-
-
 def _latest(spark: SparkSession, d: str, table: str, col: str) -> dt.date:
-    """MAX(date) of one column: a single-column scan, memoised per folder and session."""
-    key = (f"{id(spark)}:{d}", f"{table}.{col}")
-    if key not in _AS_OF:
-        t = read(spark, d, table, [col])
-        _AS_OF[key] = t.agg(F.max(F.col(col).cast("date")).alias("m")).first()["m"]
-    return _AS_OF[key]
+    """MAX(date) of one column: a single-column scan, repeated when the folder's data change."""
+    return remember(spark, d, ("latest", table, col),
+                    lambda: read(spark, d, table, [col]).agg(F.max(F.col(col).cast("date")).alias("m")).first()["m"])
 
 
 def sale_as_of(spark: SparkSession, d: str) -> dt.date:
@@ -216,10 +213,8 @@ def crime_as_of(spark: SparkSession, d: str) -> dt.date:
     return _latest(spark, d, "events", "ts")
 
 
-# Outcode prefixes for generated postcodes, the 20 London
-# prefixes followed by three outside London.
-RAW_PREFIXES = ["E", "EC", "N", "NW", "SE", "SW", "W", "WC", "BR", "CR", "DA", "EN", "HA", "IG", "KT",
-                "RM", "SM", "TW", "UB", "WD", "M", "B", "LS"]
+# Generated postcodes: the London prefixes, followed by three from elsewhere.
+RAW_PREFIXES = [*LONDON_OUTCODE_PREFIXES, "M", "B", "LS"]
 
 
 def _raw_postcode_expr(k: F.Column) -> F.Column:
@@ -257,7 +252,8 @@ def raw_sale(spark: SparkSession, d: str) -> DataFrame:
                  .otherwise(pc))
     return o.select(
         k.alias("sale_id"),
-        F.concat(F.lit("T"), k.cast("string")).alias("txn_uid"),
+        # ids as the feed has them: braced GUIDs
+        F.concat(F.lit("{"), F.upper(F.regexp_replace(F.md5(k.cast("string").cast("binary")), "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")), F.lit("}")).alias("txn_uid"),
         F.when(k % 97 == 0, F.lit("0")).when(k % 89 == 0, F.lit("abc"))
          .otherwise(F.col("o_totalprice").cast("decimal(12,2)").cast("string")).alias("sale_price"),
         F.when(k % 79 == 0, F.lit("2999-01-01")).when(k % 73 == 0, F.lit("bad"))

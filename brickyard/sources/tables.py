@@ -7,90 +7,62 @@ Catalyst pushes into the scan.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
-_checked_small: dict[str, bool] = {}
-
-
-_scans: dict[tuple[int, str], DataFrame] = {}
-
-
-def read(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """Parquet scan of one landed table, projected to ``columns``.
-
-    The unprojected scan (file listing + footer schema) is memoised per session
-    and path; each call still gets its own projection, so pruning and
-    pushdown apply per query.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _scans.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _scans[key] = df
-    return df.select(*columns) if columns else df
-
+_memo: dict[tuple, object] = {}
 
-def small_dim(df: DataFrame, key: str, max_rows: int = 10_000) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
 
-    The bounded ``limit(max_rows + 1).count()`` reads at most that many rows;
-    the verdict is memoised per ``key`` (a table path) for the session.
-    Beyond the bound the plain DataFrame is returned and Spark chooses the
-    join strategy from its own size estimates (AQE may still broadcast).
-    """
-    ok = _checked_small.get(key)
-    if ok is None:
-        ok = df.limit(max_rows + 1).count() <= max_rows
-        _checked_small[key] = ok
-    return F.broadcast(df) if ok else df
+def version(spark: SparkSession, path: str) -> tuple:
+    """Name, size and change time of what lies at ``path`` and one level below: new data is a new version."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for top in fs.listStatus(root):
+        out.append((top.getPath().toString(), top.getLen(), top.getModificationTime()))
+        if top.isDirectory():
+            out.extend((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(top.getPath()))
+    return tuple(sorted(out))
 
 
-def dim(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-        max_rows: int = 10_000) -> DataFrame:
-    df = read(spark, sf_dir, name, columns)
-    return small_dim(df, f"{sf_dir}/{name}:{','.join(columns or [])}", max_rows)
+def remember(spark: SparkSession, d: str, name: tuple, make):
+    """``make()``, kept for this application and this version of the folder; an older version's value goes."""
+    key = (spark.sparkContext.applicationId, id(spark), d, name)
+    now = version(spark, d)
+    held = _memo.get(key)
+    if held is None or held[0] != now:
+        _memo[key] = held = (now, make())
+    return held[1]
 
 
-_frames: dict[tuple, DataFrame] = {}
+def read(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """Parquet scan of one landed table, projected to ``columns`` (pruning and pushdown apply per query)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df.select(*columns) if columns else df
 
 
 def per_session(fn):
-    """Memoise a DataFrame-building function per (session, folder, arguments).
+    """Keep the DataFrame that ``fn(spark, folder, ...)`` builds while the folder's data stay the same.
 
     DataFrames are immutable and lazy, so reusing one only saves the driver
     from rebuilding and re-analysing the same plan; every query still runs it.
     """
-    import functools
-
     @functools.wraps(fn)
     def wrapper(spark, d, *args, **kwargs):
-        key = (fn.__module__, fn.__qualname__, id(spark), d, args, tuple(sorted(kwargs.items())))
-        if key not in _frames:
-            _frames[key] = fn(spark, d, *args, **kwargs)
-        return _frames[key]
+        name = (fn.__module__, fn.__qualname__, args, tuple(sorted(kwargs.items())))
+        return remember(spark, d, name, lambda: fn(spark, d, *args, **kwargs))
     return wrapper
 
 
-_scalars: dict[tuple, object] = {}
-
-
-def scalar(df: DataFrame, col: str, memo: tuple | None = None):
-    """Value of a one-row aggregate (a global ``agg``), fetched to the driver as a plan literal.
-
-    Only ever used on aggregates without grouping, so exactly one row and one
-    value cross to the driver; ``memo`` caches it per session for fixed inputs.
-    """
-    if memo is not None and memo in _scalars:
-        return _scalars[memo]
-    v = df.select(col).first()[0]
-    if memo is not None:
-        _scalars[memo] = v
-    return v
+def scalar(df: DataFrame, col: str):
+    """Value of a one-row aggregate (a global ``agg``), fetched to the driver as a plan literal."""
+    return df.select(col).first()[0]
 
 
 def max_date(df: DataFrame, col: str):
