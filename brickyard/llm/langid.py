@@ -33,7 +33,7 @@ from brickyard.llm import textkit as K
 
 #: Longest n-gram, and ranks of a profile.
 LONGEST, RANKS = 5, 400
-#: Training sample: texts of each language, those with the smallest hash of text and id.
+#: Training sample: about this many texts of each language, chosen by a hash of the id.
 SAMPLE = 1500
 CLASSES, OTHER, BLANK = 62, 63, 1  # 0 ends a code
 
@@ -112,20 +112,17 @@ def profile(codes: np.ndarray) -> np.ndarray:
 
 
 def training_rows(documents: DataFrame, usable: Column, lang_col: str, text_col: str, id_col: str, per_language: int = SAMPLE) -> DataFrame:
-    """lang, text of the bounded training sample (fixed by hashes, so a rerun takes the same rows)."""
+    """lang, text of the training sample: about ``per_language`` texts of each language.
+
+    A text is in if the hash of its id is below the language's share, which
+    follows from a count over all labelled texts, so a rerun takes the same rows.
+    """
     rows = documents.filter(usable & documents[lang_col].isNotNull() & documents[text_col].isNotNull())
-    rows = rows.select(documents[lang_col].alias("lang"), documents[id_col].alias("id"), documents[text_col].alias("text"), F.xxhash64(documents[id_col], documents[text_col]).alias("h"))
-    # the bound of the hash is exact: it is the per_language-th smallest one
-    dealt = rows.select("lang", "h").withColumn("salt", F.pmod("h", F.lit(64)))
-    few = dealt.withColumn("r", F.row_number().over(Window.partitionBy("lang", "salt").orderBy("h"))).filter(F.col("r") <= per_language)
-    limit = (few.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("r") <= per_language)
-             .groupBy("lang").agg(F.max("h").alias("most")))
-    bounds = {r.lang: r.most for r in limit.collect()}  # one number per language
-    if not bounds:
-        return rows.select("lang", "text").limit(0)
+    spread = F.pmod(F.xxhash64(documents[id_col]), F.lit(1 << 30))
+    rows = rows.select(documents[lang_col].alias("lang"), documents[text_col].alias("text"), spread.alias("h"))
     keep = F.lit(False)
-    for lang, most in bounds.items():
-        keep = keep | ((F.col("lang") == lang) & (F.col("h") <= most))
+    for r in rows.groupBy("lang").count().collect():  # one row per language
+        keep = keep | ((F.col("lang") == r.lang) & (F.col("h") < int(min(1.0, per_language / r["count"]) * (1 << 30))))
     return rows.filter(keep).select("lang", "text")
 
 
