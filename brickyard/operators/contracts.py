@@ -19,6 +19,19 @@ def violations(df: DataFrame, table: str, checks: dict[str, Column]) -> DataFram
         "contract", F.lit(table).alias("table"), F.col("n").cast("long").alias("n"))
 
 
+# The domains of the stored enum columns.
+ENUMS = {
+    "property_type_enum": ["DETACHED", "SEMI_DETACHED", "TERRACED", "FLAT", "OTHER"],
+    "tenure_enum": ["FREEHOLD", "LEASEHOLD", "SHARED_OWNERSHIP"],
+    "transaction_category_enum": ["STANDARD_SALE", "NEW_BUILD", "OTHER"],
+}
+
+
+def not_in(col: Column, domain: list[str]) -> Column:
+    """A value outside its domain; NULL passes, as in a CHECK."""
+    return ~col.isin(*domain)
+
+
 def duplicate_keys(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     """Number of key values that occur more than once; NULL keys are distinct and ignored."""
     d = df.na.drop(subset=keys).groupBy(*keys).count().where(F.col("count") > 1)

@@ -125,6 +125,9 @@ def q_insert_ignore(spark, d):
 
 # --- sparse enrichment ----------------------------------------------------------------
 
+EPC_COLUMNS = ["bedrooms", "floor_area_sqm", "epc_rating", "epc_score", "construction_age_band"]
+
+
 def asset_property(spark, d):
     p = read(spark, d, "part", ["p_partkey", "p_size"])
     return p.select(F.col("p_partkey").alias("property_id"), (F.col("p_size") % 5 + 1).cast("long").alias("bedrooms"),
@@ -188,7 +191,7 @@ FROM asset_property a LEFT JOIN (
   GROUP BY property_id) u ON a.property_id = u.property_id""")
 def q_enrich_sparse(spark, d):
     return G.enrich(asset_property(spark, d), epc_update(spark, d), "property_id",
-                    ["bedrooms", "floor_area_sqm", "epc_rating", "epc_score", "construction_age_band"], order_col="seq",
+                    EPC_COLUMNS, order_col="seq",
                     stamp=b.sale_as_of(spark, d))
 
 
@@ -282,6 +285,12 @@ def q_contract_violations(spark, d):
     return a.unionByName(p).unionByName(c)
 
 
+def _uprns(spark, d):
+    """Property references, some absent and some given twice."""
+    k = F.col("p_partkey")
+    return read(spark, d, "part", ["p_partkey"]).select(F.when(k % 3 != 0, F.expr("p_partkey div 2")).alias("uprn"))
+
+
 def _dup_sql(table_sql: str, keys: list[str], name: str) -> str:
     k = ", ".join(keys)
     nn = " AND ".join(f"{c} IS NOT NULL" for c in keys)
@@ -289,17 +298,22 @@ def _dup_sql(table_sql: str, keys: list[str], name: str) -> str:
             f"(SELECT {k} FROM {table_sql} WHERE {nn} GROUP BY {k} HAVING COUNT(*) > 1)")
 
 
-@query("duplicate_keys", with_("location", "pc_clean", "hpi_index", "rental_index", "crime_stat") + "\nUNION ALL ".join([
+@query("duplicate_keys", with_("location", "pc_clean", "hpi_index", "rental_index", "crime_stat", "request") + "\nUNION ALL ".join([
     _dup_sql("location", ["postcode"], "location"), _dup_sql("pc_clean", ["postcode"], "postcode_directory"),
     _dup_sql("hpi_index", ["outcode", "reference_month"], "hpi_index"),
     _dup_sql("rental_index", ["region", "reference_month"], "rental_index"),
-    _dup_sql("crime_stat", ["lsoa_code", "reference_period", "category"], "crime_stat")]))
+    _dup_sql("crime_stat", ["lsoa_code", "reference_period", "category"], "crime_stat"),
+    _dup_sql("(SELECT CASE WHEN p_partkey % 3 <> 0 THEN p_partkey // 2 END AS uprn FROM part)", ["uprn"], "property"),
+    _dup_sql("(SELECT 'slug-' || CAST(request_id // 3 AS VARCHAR) AS shareable_slug FROM request)", ["shareable_slug"], "investor_scenario")]))
 def q_duplicate_keys(spark, d):
     parts = [K.duplicate_keys(b.location(spark, d), "location", ["postcode"]),
              K.duplicate_keys(C.clean_postcodes(b.raw_postcode(spark, d)), "postcode_directory", ["postcode"]),
              K.duplicate_keys(b.hpi_index(spark, d), "hpi_index", ["outcode", "reference_month"]),
              K.duplicate_keys(b.rental_index(spark, d), "rental_index", ["region", "reference_month"]),
-             K.duplicate_keys(b.crime_stat(spark, d), "crime_stat", ["lsoa_code", "reference_period", "category"])]
+             K.duplicate_keys(b.crime_stat(spark, d), "crime_stat", ["lsoa_code", "reference_period", "category"]),
+             K.duplicate_keys(_uprns(spark, d), "property", ["uprn"]),
+             K.duplicate_keys(b.request(spark, d).select(F.concat(F.lit("slug-"), F.expr("request_id div 3").cast("string")).alias("shareable_slug")),
+                              "investor_scenario", ["shareable_slug"])]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -323,27 +337,46 @@ def q_orphan_rows(spark, d):
                                     "mortgage_product_id", "investor_scenario")))
 
 
-@query("enum_violations", with_("raw_sale", "mortgage_product") + """
-SELECT 'property_type_enum' AS contract, 'property' AS "table", COUNT(*) FILTER (WHERE trim(property_type) NOT IN ('D','S','T','F','O')) AS n FROM raw_sale
-UNION ALL SELECT 'tenure_enum', 'property', COUNT(*) FILTER (WHERE trim(tenure) NOT IN ('F','L')) FROM raw_sale
-UNION ALL SELECT 'category_enum', 'transaction', COUNT(*) FILTER (WHERE trim(ppd_category) NOT IN ('A','B')) FROM raw_sale
+@query("enum_violations", with_("raw_sale", "mortgage_product", "request") + """
+SELECT 'property_type_code' AS contract, 'price_paid' AS "table", COUNT(*) FILTER (WHERE trim(property_type) NOT IN ('D','S','T','F','O')) AS n FROM raw_sale
+UNION ALL SELECT 'tenure_code', 'price_paid', COUNT(*) FILTER (WHERE trim(tenure) NOT IN ('F','L')) FROM raw_sale
+UNION ALL SELECT 'category_code', 'price_paid', COUNT(*) FILTER (WHERE trim(ppd_category) NOT IN ('A','B')) FROM raw_sale
+UNION ALL SELECT 'property_type_enum', 'property', COUNT(*) FILTER (WHERE form_type NOT IN ('DETACHED','SEMI_DETACHED','TERRACED','FLAT','OTHER')) FROM request
+UNION ALL SELECT 'tenure_enum', 'property', COUNT(*) FILTER (WHERE CASE trim(tenure) WHEN 'F' THEN 'FREEHOLD' WHEN 'L' THEN 'LEASEHOLD' ELSE trim(tenure) END
+  NOT IN ('FREEHOLD','LEASEHOLD','SHARED_OWNERSHIP')) FROM raw_sale
+UNION ALL SELECT 'transaction_category_enum', 'transaction', COUNT(*) FILTER (WHERE CASE trim(ppd_category) WHEN 'A' THEN 'STANDARD_SALE' ELSE trim(ppd_category) END
+  NOT IN ('STANDARD_SALE','NEW_BUILD','OTHER')) FROM raw_sale
 UNION ALL SELECT 'mortgage_type_enum', 'mortgage_product', COUNT(*) FILTER (WHERE mortgage_type NOT IN ('REPAYMENT','INTEREST_ONLY')) FROM mortgage_product""")
 def q_enum_violations(spark, d):
     r = b.raw_sale(spark, d)
-    a = K.violations(r, "property", {"property_type_enum": ~F.trim("property_type").isin(*PROPERTY_TYPE_CODES),
-                                      "tenure_enum": ~F.trim("tenure").isin(*TENURE_CODES)})
-    c = K.violations(r, "transaction", {"category_enum": ~F.trim("ppd_category").isin(*CATEGORY_CODES)})
+    raw = K.violations(r, "price_paid", {"property_type_code": ~F.trim("property_type").isin(*PROPERTY_TYPE_CODES),
+                                         "tenure_code": ~F.trim("tenure").isin(*TENURE_CODES),
+                                         "category_code": ~F.trim("ppd_category").isin(*CATEGORY_CODES)})
+    # stored values: decoded where there is a code for them, as written where there is none (for categories: with one code unknown)
+    tenure = F.coalesce(decode(F.col("tenure"), TENURE_CODES), F.trim("tenure"))
+    category = F.when(F.trim("ppd_category") == "A", F.lit(CATEGORY_CODES["A"])).otherwise(F.trim("ppd_category"))
+    types = K.violations(b.request(spark, d), "property", {"property_type_enum": K.not_in(F.col("form_type"), K.ENUMS["property_type_enum"])})
+    a = raw.unionByName(types).unionByName(K.violations(r, "property", {"tenure_enum": K.not_in(tenure, K.ENUMS["tenure_enum"])}))
+    c = K.violations(r, "transaction", {"transaction_category_enum": K.not_in(category, K.ENUMS["transaction_category_enum"])})
     m = K.violations(b.mortgage_product(spark, d), "mortgage_product",
                      {"mortgage_type_enum": ~F.col("mortgage_type").isin("REPAYMENT", "INTEREST_ONLY")})
     return a.unionByName(c).unionByName(m)
 
 
-@query("null_violations", with_("location", "txn_src", "raw_sale") + f"""
+@query("null_violations", with_("location", "txn_src", "raw_sale", "hpi_index", "crime_stat", "mortgage_product", "asset_property") + f"""
 SELECT 'postcode_not_null' AS contract, 'location' AS "table", COUNT(*) FILTER (WHERE postcode IS NULL) AS n FROM location
 UNION ALL SELECT 'outcode_not_null', 'location', COUNT(*) FILTER (WHERE outcode IS NULL) FROM location
 UNION ALL SELECT 'sale_price_not_null', 'transaction', COUNT(*) FILTER (WHERE sale_price IS NULL) FROM txn_src
 UNION ALL SELECT 'sale_date_not_null', 'transaction', COUNT(*) FILTER (WHERE sale_date IS NULL) FROM txn_src
-UNION ALL SELECT 'postcode_not_null', 'raw_sale', COUNT(*) FILTER (WHERE {_NPC} IS NULL) FROM raw_sale""")
+UNION ALL SELECT 'postcode_not_null', 'raw_sale', COUNT(*) FILTER (WHERE {_NPC} IS NULL) FROM raw_sale
+UNION ALL SELECT 'average_price_not_null', 'hpi_index', COUNT(*) FILTER (WHERE average_price IS NULL) FROM hpi_index
+UNION ALL SELECT 'annual_pct_change_not_null', 'hpi_index', COUNT(*) FILTER (WHERE annual_pct_change IS NULL) FROM hpi_index
+UNION ALL SELECT 'count_not_null', 'crime_stat', COUNT(*) FILTER (WHERE count IS NULL) FROM crime_stat
+UNION ALL SELECT 'category_not_null', 'crime_stat', COUNT(*) FILTER (WHERE category IS NULL) FROM crime_stat
+UNION ALL SELECT 'lender_not_null', 'mortgage_product', COUNT(*) FILTER (WHERE lender IS NULL) FROM mortgage_product
+UNION ALL SELECT 'product_name_not_null', 'mortgage_product', COUNT(*) FILTER (WHERE product_name IS NULL) FROM mortgage_product
+UNION ALL SELECT 'source_url_not_null', 'mortgage_product', COUNT(*) FILTER (WHERE source_url IS NULL) FROM mortgage_product
+UNION ALL SELECT 'floor_area_not_null', 'property', COUNT(*) FILTER (WHERE floor_area_sqm IS NULL) FROM asset_property""")
 def q_null_violations(spark, d):
     loc = b.location(spark, d)
     vr, _ = valid_raw(spark, d)
@@ -354,15 +387,29 @@ def q_null_violations(spark, d):
              .unionByName(K.violations(t, "transaction", {"sale_price_not_null": F.col("sale_price").isNull(),
                                                           "sale_date_not_null": F.col("sale_date").isNull()}))
              .unionByName(K.violations(b.raw_sale(spark, d), "raw_sale",
-                                       {"postcode_not_null": norm_key(F.col("postcode")).isNull()})))
+                                       {"postcode_not_null": norm_key(F.col("postcode")).isNull()}))
+             .unionByName(_nulls(b.hpi_index(spark, d), "hpi_index", ["average_price", "annual_pct_change"]))
+             .unionByName(_nulls(b.crime_stat(spark, d), "crime_stat", ["count", "category"]))
+             .unionByName(_nulls(b.mortgage_product(spark, d), "mortgage_product", ["lender", "product_name", "source_url"]))
+             .unionByName(_nulls(asset_property(spark, d).withColumnRenamed("floor_area_sqm", "floor_area"), "property", ["floor_area"])))
+
+
+def _nulls(df, table, columns):
+    return K.violations(df, table, {f"{c}_not_null": F.col(c).isNull() for c in columns})
 
 
-@query("width_violations", with_("location", "raw_sale") + """
+@query("width_violations", with_("location", "raw_sale", "mortgage_product") + """
 SELECT 'postcode_len_10' AS contract, 'location' AS "table", COUNT(*) FILTER (WHERE length(postcode) > 10) AS n FROM location
 UNION ALL SELECT 'outcode_len_6', 'location', COUNT(*) FILTER (WHERE length(outcode) > 6) FROM location
 UNION ALL SELECT 'lsoa_len_20', 'location', COUNT(*) FILTER (WHERE length(CAST(lsoa_code AS VARCHAR)) > 20) FROM location
 UNION ALL SELECT 'sale_price_numeric_12_2', 'transaction',
-  COUNT(*) FILTER (WHERE TRY_CAST(trim(sale_price) AS DOUBLE) IS NOT NULL AND TRY_CAST(trim(sale_price) AS DECIMAL(12,2)) IS NULL) FROM raw_sale""")
+  COUNT(*) FILTER (WHERE TRY_CAST(trim(sale_price) AS DOUBLE) IS NOT NULL AND TRY_CAST(trim(sale_price) AS DECIMAL(12,2)) IS NULL) FROM raw_sale
+UNION ALL SELECT 'lender_len_100', 'mortgage_product', COUNT(*) FILTER (WHERE length(lender) > 100) FROM mortgage_product
+UNION ALL SELECT 'product_name_len_255', 'mortgage_product', COUNT(*) FILTER (WHERE length(product_name) > 255) FROM mortgage_product
+UNION ALL SELECT 'source_url_len_500', 'mortgage_product', COUNT(*) FILTER (WHERE length(source_url) > 500) FROM mortgage_product
+UNION ALL SELECT 'max_ltv_numeric_5_2', 'mortgage_product', COUNT(*) FILTER (WHERE abs(max_ltv_pct) >= 1000) FROM mortgage_product
+UNION ALL SELECT 'initial_rate_numeric_5_3', 'mortgage_product', COUNT(*) FILTER (WHERE abs(initial_rate_pct) >= 100) FROM mortgage_product
+UNION ALL SELECT 'product_fee_numeric_8_2', 'mortgage_product', COUNT(*) FILTER (WHERE abs(product_fee_gbp) >= 1000000) FROM mortgage_product""")
 def q_width_violations(spark, d):
     loc = b.location(spark, d)
     r = b.raw_sale(spark, d)
@@ -371,7 +418,11 @@ def q_width_violations(spark, d):
                                            "outcode_len_6": F.length("outcode") > 6,
                                            "lsoa_len_20": F.length(F.col("lsoa_code").cast("string")) > 20})
              .unionByName(K.violations(r, "transaction", {"sale_price_numeric_12_2":
-                                                          sp.try_cast("double").isNotNull() & sp.try_cast("decimal(12,2)").isNull()})))
+                                                          sp.try_cast("double").isNotNull() & sp.try_cast("decimal(12,2)").isNull()}))
+             .unionByName(K.violations(b.mortgage_product(spark, d), "mortgage_product", {
+                 "lender_len_100": F.length("lender") > 100, "product_name_len_255": F.length("product_name") > 255,
+                 "source_url_len_500": F.length("source_url") > 500, "max_ltv_numeric_5_2": F.abs("max_ltv_pct") >= 1000,
+                 "initial_rate_numeric_5_3": F.abs("initial_rate_pct") >= 100, "product_fee_numeric_8_2": F.abs("product_fee_gbp") >= 1_000_000})))
 
 
 # written out here, so that a wrong constant of the library shows

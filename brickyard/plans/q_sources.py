@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..sources import bindings as b
 from ..sources import readers as RD
 from ..sources.tables import read
+from ..streaming.intake import work_dir
 from .oracle_bindings import with_
 from .registry import query
 
@@ -17,10 +18,11 @@ _PC_COLS = ["pc_id", "pcds", "doterm", "oseast1m", "osnrth1m", "lsoa11"]
 def q_src_postcodes(spark, d):
     r = b.raw_postcode(spark, d).withColumn("pc_id", F.col("pc_id").cast("string"))
     header_line = ",".join(f'"{c.upper()}"' for c in _PC_COLS)
-    lines = r.select(RD.to_csv_line(r, _PC_COLS).alias("line"))
-    cols = [c.lower() for c in RD.header_columns(header_line)]
-    out = RD.parse_csv_lines(lines, "line", cols)
-    return out.withColumn("pc_id", F.col("pc_id").cast("long"))
+    root = work_dir(spark, "postcodes")
+    r.select(RD.to_csv_line(r, _PC_COLS).alias("line")).write.text(f"{root}/data")
+    spark.createDataFrame([(header_line,)], "line string").coalesce(1).write.text(f"{root}/header")
+    out = RD.read_csv_with_header_file(spark, f"{root}/data", f"{root}/header")
+    return out.select(F.col("PC_ID").cast("long").alias("pc_id"), *[F.col(c.upper()).alias(c) for c in _PC_COLS[1:]])
 
 
 _PPD_KEEP = ["txn_uid", "sale_price", "sale_date", "postcode", "property_type", "tenure", "paon", "saon", "street",
@@ -32,8 +34,9 @@ def q_src_ppd(spark, d):
     r = b.raw_sale(spark, d).select(*_PPD_KEEP, F.lit("N").alias("new_build"), F.lit("").alias("locality"),
                                     F.lit("").alias("district"), F.lit("GREATER LONDON").alias("county"),
                                     F.lit("A").alias("record_status"))
-    lines = r.select(RD.to_csv_line(r, RD.PPD_COLUMNS).alias("line"))
-    return RD.parse_csv_lines(lines, "line", RD.PPD_COLUMNS).select(*_PPD_KEEP)
+    path = work_dir(spark, "price-paid")
+    r.select(RD.to_csv_line(r, RD.PPD_COLUMNS).alias("line")).write.text(path)
+    return RD.read_ppd(spark, path).select(*_PPD_KEEP)
 
 
 def hpi_docs(spark, d):
@@ -142,6 +145,15 @@ def q_unpivot_index(spark, d):
     return RD.read_wide_index(wide_lines(spark, d), "europe", WIDE_KEEP)
 
 
+@query("unpivot_skips", with_("rental_index") + f"""
+SELECT CASE WHEN NOT regexp_matches(lower(region), '{WIDE_KEEP}') THEN 'region' WHEN (year(reference_month) * 12 + month(reference_month)) % 3 = 1
+            THEN 'no_leading_year' ELSE 'kept' END AS reason, COUNT(*) AS n
+FROM rental_index GROUP BY ALL""")
+def q_unpivot_skips(spark, d):
+    """What the wide reader leaves out, and why: the reasons add up to all cells that have a value."""
+    return RD.wide_index_skips(wide_lines(spark, d), "europe", WIDE_KEEP)
+
+
 @query("source_fallback", with_("rental_index") + """
 SELECT region, reference_month, index_value, 'LONDON' AS source FROM rental_index
 WHERE region = 'LONDON' AND (SELECT COUNT(*) FROM rental_index WHERE region = 'LONDON') >= 24

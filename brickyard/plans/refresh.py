@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean as C
+from ..operators import merge as G
 from ..operators import metrics as M
 from ..sources import bindings as b
 from ..sources.tables import remember
@@ -51,7 +52,7 @@ def write_runlog(spark: SparkSession, entries: list[dict], out: str) -> None:
 
 
 def load_all(spark: SparkSession, d: str, out: str | None = None) -> dict[str, str]:
-    """Ordered load (K11): postcodes → (sales ∥ products) → (hpi ∥ rental ∥ crime) → metrics refresh.
+    """Ordered load (K11): postcodes → (sales ∥ products) → certificates → (hpi ∥ rental ∥ crime) → metrics refresh.
 
     Each step writes a snapshot folder; the returned dict maps table → path.
     A run log with row counts and timings is written next to the snapshots.
@@ -71,6 +72,9 @@ def load_all(spark: SparkSession, d: str, out: str | None = None) -> dict[str, s
 
     step("location", C.clean_postcodes(b.raw_postcode(spark, d)))
     step("property", q_merge.properties(spark, d))
+    # attributes of the properties, as the certificate feed updates them
+    step("property_attributes", G.enrich(q_merge.asset_property(spark, d), q_merge.epc_update(spark, d), "property_id", q_merge.EPC_COLUMNS,
+                                         order_col="seq", stamp=b.sale_as_of(spark, d)))
     step("transaction", q_merge.transactions(spark, d, "address"))
     step("mortgage_product", b.mortgage_product(spark, d))
     step("hpi_index", b.hpi_index(spark, d))

@@ -95,6 +95,22 @@ def read_wide_index(lines: DataFrame, header_marker: str, keep: str) -> DataFram
         F.trim("region").alias("region"), "reference_month", val.alias("index_value"))
 
 
+def wide_index_skips(lines: DataFrame, header_marker: str, keep: str) -> DataFrame:
+    """reason, n over all filled cells below the header: ``kept``, or why ``read_wide_index`` leaves one out."""
+    cells = F.transform(F.split(F.col("line"), ","), lambda c: F.trim(F.regexp_replace(c, '"', "")))
+    x = lines.select("line_no", cells.alias("cells"))
+    hdr = x.where(F.exists("cells", lambda c: F.lower(c).rlike(header_marker)))
+    head = hdr.agg(F.min_by(F.struct("line_no", "cells"), "line_no").alias("h")).first()["h"]
+    if head is None:
+        return lines.sparkSession.createDataFrame([], "reason string, n long")
+    names = F.array(*[F.lit(c.lower()) for c in head["cells"]])
+    rows = x.where(F.col("line_no") > head["line_no"]).select(F.element_at("cells", 1).alias("label"), F.posexplode("cells").alias("pos", "v"))
+    region = F.element_at(names, F.least(F.col("pos") + 1, F.lit(len(head["cells"]))))
+    reason = (F.when(js_parse_float(F.col("v")).isNull(), "no_number").when(~region.rlike(keep) | (F.length(region) == 0), "region")
+              .when(~F.col("label").rlike(r"^\d{4}"), "no_leading_year").when(parse_month(F.col("label")).isNull(), "no_month").otherwise("kept"))
+    return rows.where((F.col("pos") > 0) & (F.length("v") > 0)).groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def count_incidents(docs: DataFrame, json_col: str, keys: list[str]) -> DataFrame:
     """JSON array of incidents → count per category, blank category → 'other' (S6)."""
     inc = docs.select(*keys, F.explode(F.from_json(F.col(json_col), "ARRAY<STRUCT<category: STRING>>")).alias("_i"))
@@ -142,7 +158,8 @@ def first_sufficient(candidates: list[tuple[str, DataFrame]], min_rows: int) ->
     """First candidate with at least ``min_rows`` rows, tagged with its name.
 
     Each check is a bounded ``limit(min_rows).count()``; when none suffices
-    all candidates are unioned.
+    all candidates are unioned, which the caller supplements with generated
+    rows (G1, ``operators.report.gap_fill``).
     """
     for name, df in candidates:
         if df.limit(min_rows).count() >= min_rows:
