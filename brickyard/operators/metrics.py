@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import months_back, trailing
 from ..functions.exact import half_up, ratio, stddev_exact
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import scalar
 from .ranking import ntile, percentile_cont
 
@@ -46,7 +47,13 @@ def price_volatility(sales: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def price_growth(hpi: DataFrame) -> DataFrame:
-    """outcode, yoy and 3-year growth: latest month vs exactly −12 / −36 months (J3 as one pass)."""
+    """outcode, yoy and 3-year growth: latest month vs exactly −12 / −36 months.
+
+    The index (a row per outcode and month) is written once, since its latest
+    month must be known before the three months can be picked.
+    """
+    ensure_checkpoint_dir(hpi.sparkSession)
+    hpi = hpi.select("outcode", "reference_month", "avg_cents").checkpoint()
     m0 = scalar(hpi.agg(F.max("reference_month").alias("m")), "m")
     if m0 is None:
         return hpi.select("outcode", F.lit(None).cast("double").alias("yoy_price_growth_pct"),
@@ -185,13 +192,11 @@ def growth_risk_volatility(hpi: DataFrame, crime: DataFrame, loc: DataFrame, as_
                            crime_as_of: dt.date) -> DataFrame:
     """outcode, avg_annual_growth (3 y), avg_crime_rate (12 m), price_volatility (all months)."""
     apc = F.col("apc_centi")
-    g3 = hpi.where(F.col("reference_month") >= F.lit(months_back(as_of, 36))).groupBy("outcode").agg(
-        F.sum(apc).alias("_gs"), F.count(apc).alias("_gn"))
-    vol = hpi.groupBy("outcode").agg(F.count(apc).alias("_n"), F.sum(apc).alias("_s1"),
-                                     F.sum(apc.cast("decimal(38,0)") * apc).alias("_s2"))
-    cr = avg_crime_rate(crime, loc, crime_as_of)
-    keys = hpi.select("outcode").union(cr.select("outcode")).distinct()
-    x = keys.join(g3, "outcode", "left").join(vol, "outcode", "left").join(cr, "outcode", "left")
+    recent = F.when(F.col("reference_month") >= F.lit(months_back(as_of, 36)), apc)
+    # both figures from one aggregate per outcode; outcodes with crime alone come by the outer join
+    index = hpi.groupBy("outcode").agg(F.sum(recent).alias("_gs"), F.count(recent).alias("_gn"), F.count(apc).alias("_n"), F.sum(apc).alias("_s1"),
+                                       F.sum(apc.cast("decimal(38,0)") * apc).alias("_s2"))
+    x = index.join(avg_crime_rate(crime, loc, crime_as_of), "outcode", "full_outer")
     return x.select(
         "outcode",
         F.coalesce(half_up(F.col("_gs"), F.col("_gn") * 100, 6), F.lit(0.0)).alias("avg_annual_growth"),
