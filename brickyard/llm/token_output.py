@@ -38,16 +38,37 @@ from brickyard.session import ensure_checkpoint_dir
 
 #: Longest code (the decoding table has 2 ** LIMIT entries); ids between checkpoints; ids per block.
 LIMIT, STRIDE, BLOCK_IDS = 18, 128, 1 << 17
-#: Distinct words that a worker remembers.
+#: Distinct pieces that a worker remembers.
 CACHE_WORDS = 500_000
 MAGIC, VERSION = "BYTK", 1
 
 
+_KIND = np.full(256, 3, np.uint8)  # white space 0, letters and digits 1, other ASCII marks 2; apostrophes and bytes of other characters 3
+_KIND[:128] = [0 if K.SPACES[c] else 1 if chr(c).isalnum() else 3 if c == 39 else 2 for c in range(128)]
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every piece that the tokenizer treats on its own."""
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    kind = _KIND[data]
+    cut = np.ones(len(data) + 1, bool)
+    before, after = kind[:-1], kind[1:]
+    cut[1:-1] = (before == 0) | (after == 0) | (before + after == 3) & (before != 0) & (after != 0)
+    cut[offsets] = True
+    at = np.flatnonzero(cut)
+    starts, ends = at[:-1], at[1:]
+    word = kind[starts] != 0
+    return starts[word], ends[word]
+
+
 class WordIds:
-    """Ids of texts by the tokenizers library, which sees every distinct word once.
+    """Ids of texts by the tokenizers library, which sees every distinct piece once.
 
-    The tokenizer drops white space and none of its steps looks across ASCII
-    white space, so words can be encoded apart.
+    The tokenizer lower-cases, drops white space, and ends a piece between an
+    ASCII letter or digit and other ASCII marks; only apostrophes join both
+    (contractions).  So texts are cut there and at ASCII white space, and the
+    pieces are encoded apart, lower-cased.
     """
 
     def __init__(self, path: str):
@@ -88,11 +109,11 @@ class WordIds:
         if len(self.known) > CACHE_WORDS:
             self._forget()
         rows = len(offsets) - 1
-        starts, ends, _ = K.word_spans(data, offsets, K.SPACES)
+        starts, ends = pieces(data, offsets)
         if not len(starts):
             return np.zeros(0, np.uint16), np.zeros(rows + 1, np.int64)
-        raw = data.tobytes()
-        _, sample, which = np.unique(K.span_hashes(data, starts, ends, K.byte_codes(lower=False)), return_index=True, return_inverse=True)
+        raw = data.tobytes().lower()  # of bytes: A-Z alone
+        _, sample, which = np.unique(K.span_hashes(data, starts, ends, K.byte_codes(lower=True)), return_index=True, return_inverse=True)
         slots = self._slots([raw[a:b] for a, b in zip(starts[sample].tolist(), ends[sample].tolist(), strict=True)])
         at, size = self.at[slots][which], self.size[slots][which]
         total = np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))

@@ -255,3 +255,13 @@ def test_pooling_takes_the_maximum_over_whole_texts():
                 best = np.maximum(best, x + bias[k * toxicity.FILTERS:(k + 1) * toxicity.FILTERS])
             assert np.allclose(got[r, k * toxicity.FILTERS:(k + 1) * toxicity.FILTERS], best, atol=1e-4)
             at += w * toxicity.FILTERS
+
+
+def test_pieces_encode_apart_as_whole_texts_do():
+    words = token_output.word_ids(vocabulary("word_bpe_49k.json"))
+    random.seed(5)
+    alphabet = [*"abSTrelvmd019.,!'\"’…-_ \n\t", "é", "é", "Σ", "ς", "'s", "'S", "n't", "<|endoftext|>", " ", "中", "²", "İ", "ﬁ", "\x1c"]
+    texts = ["".join(random.choice(alphabet) for _ in range(random.randint(0, 30))) for _ in range(5000)] + EDGE
+    ids, bounds = words.encode(*textkit.text_buffer(pa.array(texts)))
+    whole = words.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [e.ids for e in whole]
