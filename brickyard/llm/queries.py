@@ -90,7 +90,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_folder(spark, "warc")
     write_warc(convert(pages_to_arc(table(spark, sf_dir, "pages"))), path, min_bytes=0)
-    return read_warc(spark, path).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "date")
+    return read_warc(spark, path).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 @query
@@ -116,3 +116,52 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it stands on these operators, so it can't be imported before them
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+# --- the same results in SQL, for the operators that it can express ---------------------------
+
+_LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _rows_of_words(table: str, key: str, word: str, ahead: int) -> str:
+    """(key, i, n, l): every word with those after it, ``ahead`` in all."""
+    words = f"regexp_extract_all({_LOW.format("COALESCE(text, '')")}, '{word}')"
+    later = ", ".join(f"lead(w, {j}) OVER x" for j in range(1, ahead))
+    return (f"SELECT {key}, i, n, [w, {later}] AS l FROM (SELECT {key}, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i, len(ws) AS n "
+            f"FROM (SELECT {key}, {words} AS ws FROM {table})) WINDOW x AS (PARTITION BY {key} ORDER BY i)")
+
+
+ORACLE["op3_ngram_jaccard_join"] = f"""
+WITH RECURSIVE e AS ({_rows_of_words("documents", "doc_id", "[^\\x20\\x09-\\x0D]+", 5)}),
+s AS (SELECT DISTINCT doc_id, array_to_string(l, ' ') AS sh FROM e WHERE i = 1 OR i + 4 <= n),
+n AS (SELECT d.doc_id, COALESCE(x.n, 0) AS n, COALESCE(x.sig, 'none ' || d.doc_id) AS sig FROM documents d
+      LEFT JOIN (SELECT doc_id, COUNT(*) AS n, md5(string_agg(sh, chr(10) ORDER BY sh)) AS sig FROM s GROUP BY doc_id) x USING (doc_id)),
+c AS (SELECT sig, MIN(doc_id) AS class_id FROM n GROUP BY sig),
+o AS (SELECT a.doc_id AS u, b.doc_id AS v, COUNT(*) AS same FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT u, v FROM o JOIN n p ON p.doc_id = u JOIN n q ON q.doc_id = v WHERE 100 * same >= 75 * (p.n + q.n - same)),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM n UNION SELECT r.node, l.v FROM r JOIN l ON l.u = r.seen),
+m AS (SELECT node, MIN(seen) AS component_id FROM r GROUP BY node)
+SELECT n.doc_id, n.n AS n_shingles, m.component_id, c.class_id FROM n JOIN c USING (sig) JOIN m ON m.node = n.doc_id"""
+
+_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+ORACLE["op5_decontamination"] = f"""
+WITH e AS ({_rows_of_words("documents", "doc_id", _WORD, 10)}),
+b AS ({_rows_of_words("benchmark", "item_id", _WORD, 10)}),
+win AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, least(10, n) AS k, array_to_string(l, ' ') AS t FROM b WHERE i = 1 OR i + 9 <= n),
+spots AS (SELECT doc_id, i, k, array_to_string(list_slice(l, 1, k), ' ') AS t FROM e, (SELECT DISTINCT k FROM win) WHERE i + k - 1 <= n),
+hits AS (SELECT DISTINCT spots.doc_id, spots.i, spots.k, win.item FROM spots JOIN win ON win.k = spots.k AND win.t = spots.t),
+words AS (SELECT doc_id, COUNT(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, COUNT(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, COALESCE(z.n_words, 0) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+       sha256(COALESCE(list, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+FROM documents d LEFT JOIN (SELECT doc_id, COUNT(*) AS n_words FROM e GROUP BY doc_id) z USING (doc_id)
+LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+_GROUPS = ", ".join(f"substr(h, {5 * g + 1}, 5)" for g in range(8))
+ORACLE["op10_arc_to_warc"] = f"""
+WITH p AS (SELECT page_id, COALESCE(html, '') AS html, sha1(COALESCE(html, '')) AS h FROM pages),
+g AS (SELECT *, list_transform([{_GROUPS}], lambda x: CAST('0x' || x AS BIGINT)) AS v, MIN(page_id) OVER (PARTITION BY h, strlen(html)) AS first FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(v, lambda x: array_to_string(list_transform([15, 10, 5, 0], lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((x >> b) & 31 AS INTEGER) + 1, 1)), '')), '') AS payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
+FROM g"""
