@@ -22,11 +22,3 @@ def trailing(col: Column, as_of: dt.date, months: int, skip_months: int = 0) ->
     if skip_months:
         cond = cond & (col < F.lit(months_back(as_of, skip_months)))
     return cond
-
-
-def month_start(col: Column) -> Column:
-    return F.trunc(col, "MM")
-
-
-def month_text(col: Column) -> Column:
-    return F.date_format(col, "yyyy-MM")

@@ -105,12 +105,6 @@ def property_rows(sales: DataFrame) -> DataFrame:
         decode(F.col("property_type"), PROPERTY_TYPE_CODES).alias("property_type"), decode(F.col("tenure"), TENURE_CODES).alias("tenure"))
 
 
-def byte_prefix_value(col: F.Column, nbytes: int = 6) -> F.Column:
-    """Numeric value of the first ``nbytes`` UTF-8 bytes (zero-padded): non-decreasing in string order."""
-    h = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, nbytes)), 2 * nbytes, "0")
-    return F.conv(h, 16, 10).cast("double")
-
-
 def assign_ids(df: DataFrame, key: str, name: str = "id", method: str = "dense") -> DataFrame:
     """Surrogate keys for the distinct values of ``key``.
 

@@ -108,6 +108,13 @@ def q_london_filter(spark, d):
     return r.select("pc_id", F.upper(F.trim("pcds")).alias("postcode"), P.is_london(P.outcode_split(F.col("pcds"))).alias("flag"))
 
 
+@query("prefix_filter", with_("raw_postcode") + """
+SELECT pc_id, upper(trim(pcds)) LIKE 'E%' AS flag FROM raw_postcode""")
+def q_prefix_filter(spark, d):
+    """Postcodes below a typed prefix, as the location search does it."""
+    return b.raw_postcode(spark, d).select("pc_id", P.like_prefix(F.upper(F.trim("pcds")), "E").alias("flag"))
+
+
 @query("valid_postcode", with_("raw_postcode", "raw_sale") + f"""
 SELECT sale_id AS pc_id, postcode, COALESCE(regexp_matches(postcode, '(?i)^[A-Z]{{1,2}}[0-9R][0-9A-Z]? ?[0-9][A-Z]{{2}}$'), false) AS flag FROM raw_sale""")
 def q_valid_postcode(spark, d):

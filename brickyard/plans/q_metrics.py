@@ -58,12 +58,6 @@ def _asof(spark, d):
     return b.sale_as_of(spark, d), b.crime_as_of(spark, d)
 
 
-def metrics_frame(spark, d):
-    as_of, cas = _asof(spark, d)
-    return M.outcode_metrics(b.sale(spark, d), b.hpi_index(spark, d), b.rental_index(spark, d),
-                             b.crime_stat(spark, d), b.location(spark, d), as_of, cas)
-
-
 @query("median_by_outcode", with_("sale") + f"""
 SELECT outcode, ROUND(PERCENTILE_CONT(0.25) WITHIN GROUP (ORDER BY CAST(sale_price AS DOUBLE)), 4) AS p25,
        ROUND(PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY CAST(sale_price AS DOUBLE)), 4) AS median,

@@ -39,13 +39,6 @@ def read_csv_with_header_file(spark: SparkSession, data_path: str, header_path:
     return spark.read.schema(string_schema(header_columns(header))).options(**CSV_READ).csv(data_path)
 
 
-def parse_csv_lines(lines: DataFrame, line_col: str, columns: list[str]) -> DataFrame:
-    """Column form of the CSV readers: ragged rows get NULLs, empty lines are skipped."""
-    s = ", ".join(f"`{c}` STRING" for c in columns)
-    x = lines.where(F.length(F.trim(F.col(line_col))) > 0)
-    return x.select(F.from_csv(F.col(line_col), s, CSV_READ).alias("_r")).select("_r.*")
-
-
 def read_ppd(spark: SparkSession, path: str) -> DataFrame:
     """Headerless 16-column price-paid CSV (S2); a directory stream uses the same schema (S3)."""
     return spark.read.schema(string_schema(PPD_COLUMNS)).options(**CSV_READ).csv(path)

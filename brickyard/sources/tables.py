@@ -63,8 +63,3 @@ def per_session(fn):
 def scalar(df: DataFrame, col: str):
     """Value of a one-row aggregate (a global ``agg``), fetched to the driver as a plan literal."""
     return df.select(col).first()[0]
-
-
-def max_date(df: DataFrame, col: str):
-    """Scalar MAX(date) of a relation: the ``as_of`` anchor (one-column scan)."""
-    return df.agg(F.max(col).alias("m")).first()["m"]
