@@ -11,9 +11,12 @@ path the remaining blocks give
 
 both without link text.  The ratios are laid along the page, smoothed with a
 Gaussian, fused as a product, and compared with the page's own threshold; the
-paths that pass are content paths.  The element that holds them (an ``article``
-or ``main`` where one does) is the content root, and its blocks are the text,
-short ones included, because they belong to the same paths or the same root.
+paths that pass are content paths.  The element that holds most of their text
+(an ``article`` or ``main`` where one does, told by its number and not by its
+tag) is the content root, several outermost ones together where none does.  Its
+blocks are the text, short ones such as headings and list items included, save
+inner articles, sections with such articles, and sections of links, where less
+than half of the text is on content paths.
 
 Defined results: null, empty or text-less pages give ""; cut-off tags,
 comments and references are read as far as they go; repeated rows are handled
@@ -49,6 +52,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 NEVER = frozenset("nav footer aside form button menu dialog fieldset head datalist option optgroup".split()) | RAW
 ROOTS = frozenset(("article", "main"))
+SECTIONS = frozenset(("article", "section"))
 KEPT = ROOTS | {"html", "body"}
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 NOISE = frozenset("""ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner
@@ -220,18 +224,54 @@ def content_mask(blocks: list[Block]) -> list[bool]:
     return [b.path in passed and 2 * b.links <= len(b.text) for b in blocks]
 
 
+def content_roots(chosen: list[Block]) -> set[int]:
+    """Numbers of the articles or mains that hold the chosen text: the innermost one with ``SHARE`` of it, else all outermost ones."""
+    held: dict[int, int] = defaultdict(int)
+    outer: set[int] = set()
+    for b in chosen:
+        own = [n for t, n in zip(b.path, b.owners, strict=True) if t in ROOTS]
+        outer.update(own[:1])
+        for n in own:
+            held[n] += len(b.text)
+    whole = sum(held[n] for n in outer)
+    # elements that hold so much lie in each other, and are numbered as they open
+    most = [n for n, x in held.items() if x >= SHARE * whole]
+    return {max(most)} if most else outer
+
+
+def set_aside(rooted: list[Block], chosen: set[int], roots: set[int]) -> set[int]:
+    """Numbers of the articles and sections inside the roots that are teasers or link lists.
+
+    Such a section holds an article, or links for the most part, and less than
+    half of its text is on content paths.
+    """
+    sums: dict[int, list[int]] = defaultdict(lambda: [0, 0, 0])
+    cards: set[int] = set()
+    for b in rooted:
+        at = next(i for i, n in enumerate(b.owners) if n in roots) + 1
+        own = [(t, n) for t, n in zip(b.path[at:], b.owners[at:], strict=True) if t in SECTIONS]
+        last = max((i for i, (t, _) in enumerate(own) if t == "article"), default=-1)
+        cards.update(n for _, n in own[:last + 1])
+        for _, n in own:
+            x = sums[n]
+            x[0] += len(b.text)
+            x[1] += len(b.text) * (id(b) in chosen)
+            x[2] += b.links
+    return {n for n, (size, good, links) in sums.items() if 2 * good < size and (n in cards or 2 * links > size)}
+
+
 def main_text(page: str) -> str:
     """Article text of a page: blocks joined by an empty line."""
     blocks = text_blocks(page)
     if not blocks:
         return ""
     chosen = [b for b, good in zip(blocks, content_mask(blocks), strict=True) if good] or blocks
-    rooted = [b for b in blocks if any(t in ROOTS for t in b.path)]
     whole = sum(len(b.text) for b in chosen)
-    if rooted and 2 * sum(len(b.text) for b in chosen if any(t in ROOTS for t in b.path)) >= whole:
-        # main may hold lists beside its articles: the outermost article decides where there is one
-        name = "article" if any("article" in b.path for b in rooted) else "main"
-        return "\n\n".join(b.text for b in rooted if name in b.path)
+    if 2 * sum(len(b.text) for b in chosen if any(t in ROOTS for t in b.path)) >= whole:
+        roots = content_roots(chosen)
+        rooted = [b for b in blocks if roots.intersection(b.owners)]
+        aside = set_aside(rooted, set(map(id, chosen)), roots)
+        return "\n\n".join(b.text for b in rooted if not aside.intersection(b.owners))
     held: dict[int, int] = defaultdict(int)
     depth: dict[int, int] = {}
     for b in chosen:

@@ -102,6 +102,22 @@ def test_main_text_edges(page, text):
     assert main_text(page) == text
 
 
+STORY = "A long sentence, with commas, tells the story; it goes on, and on. " * 6
+
+
+def test_content_paths_choose_the_root_and_judge_inner_articles():
+    story = STORY.strip()
+    teasers = "<section><h2>More</h2>" + "<article><a href=x>Teaser card</a></article>" * 3 + "</section>"
+    assert main_text(f"<main><div class=story>{STORY}</div><section><h2>More</h2><article>teaser card</article></section></main>") == story
+    assert main_text(f"<body><main><h1>T</h1><p>{STORY}<p>{STORY}<ul><li>one<li>two</ul>{teasers}</main>") == f"T\n\n{story}\n\n{story}\n\none\n\ntwo"
+    assert main_text(f"<article><h1>T</h1><p>{STORY}</p><section><h2>Steps</h2><ol><li>one<li>two</ol></section>{teasers}</article>") == f"T\n\n{story}\n\nSteps\n\none\n\ntwo"
+    # a teaser beside the article that holds the text; several articles of one page; no such tag
+    assert main_text(f"<div><article><h1>T</h1><p>{STORY}<p>{STORY}</article><article><p>Teaser.</p></article></div>") == f"T\n\n{story}\n\n{story}"
+    for top in ("main", "div"):
+        assert main_text(f"<{top}><article><h2>A</h2><p>{STORY}</article><article><h2>B</h2><p>{STORY}</article></{top}>") == f"A\n\n{story}\n\nB\n\n{story}"
+    assert main_text(f"<body><div><h1>T</h1><p>{STORY}<p>{STORY}</div>") == f"T\n\n{story}\n\n{story}"
+
+
 def test_pages_give_their_articles(spark):
     import html
     import re
