@@ -76,7 +76,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_folder(spark, "token-files")
-    write_token_files(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), END_ID)
+    write_token_files(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), END_ID, added_tokens=True)
     return with_crc32(read_blocks(spark, path)).withColumnRenamed("id", "doc_id")
 
 

@@ -14,6 +14,10 @@ The file format is a Parquet folder of such blocks (``magic``, ``version``,
 folder ``code`` with (token, length).  ``start`` of a row comes from the running
 sums of block sizes, so ids are in ascending order of row id over all files.
 
+Literals of the file's added tokens (such as ``<|endoftext|>``) become their ids
+with ``added_tokens``, as by the library's own call, and are plain text without
+(its ``encode_special_tokens``); the query has them become ids.
+
 Defined results: null and empty texts hold the end id alone; repeated rows are
 written one by one in an order fixed by id and text hash; an empty table gives
 an empty file set.  Rows with a null id come first.
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -68,21 +73,29 @@ class WordIds:
     The tokenizer lower-cases, drops white space, and ends a piece between an
     ASCII letter or digit and other ASCII marks; only apostrophes join both
     (contractions).  So texts are cut there and at ASCII white space, and the
-    pieces are encoded apart, lower-cased.
+    pieces are encoded apart, lower-cased.  With ``added``, texts are split at the
+    literals of the file's added tokens first, as the library does.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = True  # of pieces: no literal is among them
+        tokens = self.tokenizer.get_added_tokens_decoder() if added else {}
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in tokens.values()):
+            raise ValueError("added tokens are found in raw texts, by their bare literals")
+        self.added = {t.content.encode(): i for i, t in tokens.items()}
+        # the longest literal counts where several begin
+        self.literal = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.used = 0
+        self.used = len(self.added)
         self.arena = np.zeros(1 << 16, np.uint16)
+        self.arena[:self.used] = list(self.added.values())
         self.at, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
     def _slots(self, words: list[bytes]) -> np.ndarray:
@@ -109,28 +122,52 @@ class WordIds:
         if len(self.known) > CACHE_WORDS:
             self._forget()
         rows = len(offsets) - 1
-        starts, ends = pieces(data, offsets)
+        raw = data.tobytes()
+        literals = self._literals(raw, offsets)
+        bounds = np.unique(np.concatenate((offsets, literals[:, 0], literals[:, 1])))
+        starts, ends = pieces(data, bounds)
+        if len(literals):
+            within = np.searchsorted(literals[:, 0], starts, "right") - 1
+            plain = (within < 0) | (starts >= literals[within, 1])
+            starts, ends = starts[plain], ends[plain]
+        at, size = self._plain(data, raw, starts, ends)
+        if len(literals):
+            here = np.searchsorted(starts, literals[:, 0])
+            starts, at, size = np.insert(starts, here, literals[:, 0]), np.insert(at, here, literals[:, 2]), np.insert(size, here, 1)
         if not len(starts):
             return np.zeros(0, np.uint16), np.zeros(rows + 1, np.int64)
-        raw = data.tobytes().lower()  # of bytes: A-Z alone
-        _, sample, which = np.unique(K.span_hashes(data, starts, ends, K.byte_codes(lower=True)), return_index=True, return_inverse=True)
-        slots = self._slots([raw[a:b] for a, b in zip(starts[sample].tolist(), ends[sample].tolist(), strict=True)])
-        at, size = self.at[slots][which], self.size[slots][which]
         total = np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))
         return self.arena[K.ragged(at, size)], total[np.searchsorted(starts, offsets)]
 
+    def _literals(self, raw: bytes, offsets: np.ndarray) -> np.ndarray:
+        """Start, end and place in the arena of every literal inside a text."""
+        found = []
+        if self.literal is not None and self.literal.search(raw):
+            place = {x: i for i, x in enumerate(self.added)}
+            found = [(*m.span(), place[m[0]]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True) for m in self.literal.finditer(raw, a, b)]
+        return np.array(found, np.int64).reshape(-1, 3)
+
+    def _plain(self, data: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in the arena and number of ids of every piece."""
+        if not len(starts):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        raw = raw.lower()  # of bytes: A-Z alone
+        _, sample, which = np.unique(K.span_hashes(data, starts, ends, K.byte_codes(lower=True)), return_index=True, return_inverse=True)
+        slots = self._slots([raw[a:b] for a, b in zip(starts[sample].tolist(), ends[sample].tolist(), strict=True)])
+        return self.at[slots][which], self.size[slots][which]
+
 
 @functools.cache
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, added: bool = False) -> WordIds:
+    return WordIds(path, added)
 
 
-def stage_ids(documents: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def stage_ids(documents: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False) -> DataFrame:
     """id, n_tokens, ids: the ids of each text with ``end_id`` behind, as little-endian 16-bit integers."""
     K.prepare(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(tokenizer)
+        words = word_ids(tokenizer, added_tokens)
         for batch in batches:
             for block in K.blocks(batch, "text"):
                 ids, bounds = words.encode(*K.text_buffer(block.column("text")))
@@ -313,10 +350,10 @@ def with_crc32(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "id long, start long, n_tokens long, ids_crc32 long")
 
 
-def write_token_files(documents: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_token_files(documents: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False) -> None:
     """Encode all texts and write their files below ``path``; the staging table goes beside them."""
     spark = documents.sparkSession
-    stage_ids(documents, tokenizer, end_id, id_col, text_col).write.mode("overwrite").parquet(f"{path}/staged")
+    stage_ids(documents, tokenizer, end_id, id_col, text_col, added_tokens).write.mode("overwrite").parquet(f"{path}/staged")
     staged = spark.read.parquet(f"{path}/staged")
     write_blocks(staged, path, code_lengths(id_counts(staged)))
 

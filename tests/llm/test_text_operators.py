@@ -281,3 +281,20 @@ def test_pieces_encode_apart_as_whole_texts_do():
     ids, bounds = words.encode(*textkit.text_buffer(pa.array(texts)))
     whole = words.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
     assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [e.ids for e in whole]
+
+
+def test_literals_of_added_tokens_become_their_ids(spark, tmp_path):
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    random.seed(6)
+    alphabet = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", "don", "'t", "'", " ", "\n", "é", "\u0301", "Σ", "1", "B", ".", "<"]
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "x <|endof", "text|> y", *EDGE]
+    texts += ["".join(random.choice(alphabet) for _ in range(random.randint(0, 12))) for _ in range(3000)]
+    whole = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert whole[0] == [3306, 49407, 1002, 2]
+    docs_of(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op7_token_output"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    at = 0
+    for r, ids in zip(rows, whole, strict=True):
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
