@@ -18,6 +18,9 @@ blocks are the text, short ones such as headings and list items included, save
 inner articles, sections with such articles, and sections of links, where less
 than half of the text is on content paths.
 
+Embedded content (media, drawings, choices, templates) is no text; where its end
+tag is missing, what follows it is.  Formulas are text.
+
 Defined results: null, empty or text-less pages give ""; cut-off tags,
 comments and references are read as far as they go; repeated rows are handled
 one by one; an empty table gives an empty result.
@@ -47,10 +50,16 @@ ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？؟।]")
 
-RAW = frozenset("script style textarea title noscript template iframe svg math object select xmp noembed noframes canvas audio video".split())
+#: Their content is no markup: it runs to the first end tag, or to the page's end.
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
+#: Their content is markup but no text; one without an end tag inside its parent holds nothing.
+EMBEDDED = frozenset("noscript template svg object select canvas audio video annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
-NEVER = frozenset("nav footer aside form button menu dialog fieldset head datalist option optgroup".split()) | RAW
+INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var
+math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle merror mpadded mphantom menclose msub msup msubsup munder mover munderover mmultiscripts
+mprescripts none mtable mtr mtd maction""".split())
+NEVER = frozenset("nav footer aside form button menu dialog fieldset head datalist option optgroup".split()) | RAW | EMBEDDED
+OPTIONS = frozenset(("option", "optgroup"))
 ROOTS = frozenset(("article", "main"))
 SECTIONS = frozenset(("article", "section"))
 KEPT = ROOTS | {"html", "body"}
@@ -91,12 +100,54 @@ class Block:
         self.path, self.owners, self.text, self.links = path, owners, text, links
 
 
+def _raw_end(page: str, tag: str, at: int) -> int:
+    return re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)|\Z", re.I).search(page, at).end()
+
+
+def embedded_ends(page: str) -> dict[int, int]:
+    """Where each embedded element that ends inside its parent ends, by the place of its start tag."""
+    ends: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    count: dict[str, int] = defaultdict(int)
+    at = 0
+    while m := TAG.search(page, at):
+        at = m.end()
+        if m[2] is None:
+            continue
+        tag = m[2].lower()
+        if m[1]:
+            if not count[tag]:
+                continue
+            if tag in INLINE:  # such an end tag closes no block
+                i = len(stack) - 1
+                while stack[i][0] != tag and stack[i][0] in INLINE:
+                    i -= 1
+                if stack[i][0] != tag:
+                    continue
+            while True:
+                name, start = stack.pop()
+                count[name] -= 1
+                if name == tag:
+                    break
+            if tag in EMBEDDED:
+                ends[start] = at
+        elif tag in VOID or tag in RAW | EMBEDDED and m[3].rstrip().endswith("/"):
+            continue
+        elif tag in RAW:
+            at = _raw_end(page, tag, at)
+        else:
+            stack.append((tag, m.start()))
+            count[tag] += 1
+    return ends
+
+
 def text_blocks(page: str) -> list[Block]:
     """The page's blocks outside elements that are never article text, in page order."""
     out: list[Block] = []
     stack: list[tuple[str, bool, int]] = []  # tag, noise, number of the element
     kept: list[str] = []
     noise = links = linked = roots = number = 0
+    ends: dict[int, int] | None = None  # found when one is met
 
     def flush() -> None:
         nonlocal linked
@@ -163,9 +214,15 @@ def text_blocks(page: str) -> list[Block]:
         if tag in RAW:
             if m[3].rstrip().endswith("/"):
                 continue
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)|\Z", re.I).search(page, at)
-            at = end.end()
+            at = _raw_end(page, tag, at)
+            continue
+        if tag in EMBEDDED:
+            if ends is None:
+                ends = embedded_ends(page)
+            at = ends.get(m.start(), at)
             continue
+        while tag not in INLINE and tag != "optgroup" and stack and (stack[-1][0] == "option" or stack[-1][0] in OPTIONS and tag not in OPTIONS):
+            pop()
         if tag not in INLINE:
             flush()
             # an open paragraph ends where a block begins

@@ -118,6 +118,20 @@ def test_content_paths_choose_the_root_and_judge_inner_articles():
     assert main_text(f"<body><div><h1>T</h1><p>{STORY}<p>{STORY}</div>") == f"T\n\n{story}\n\n{story}"
 
 
+@pytest.mark.parametrize("tag", ["video", "audio", "object", "canvas", "select", "svg", "template", "noscript"])
+def test_embedded_elements_lose_no_text_behind_them(tag):
+    assert main_text(f"<article><p>One, <{tag} id=x> two.<p>Three.</p></article><div class=ad>x</div>") == "One, two.\n\nThree."
+    assert main_text(f"<article><p>One <{tag}>a<{tag}><p>b</p></{tag}>c</{tag}> two.<p>Three.</p></article>") == "One two.\n\nThree."
+    # an end tag behind the parent is another element's
+    assert main_text(f"<article><p>One.</p><div><{tag}></div><p>Two.</p></{tag}><p>Three.</article>") == "One.\n\nTwo.\n\nThree."
+
+
+def test_formulas_are_text_and_open_choices_end_at_the_next_block():
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation encoding=tex>x=1</annotation></semantics></math>"
+    assert main_text(f"<article><p>So {formula} holds.<p>Next.</article>") == "So x=1 holds.\n\nNext."
+    assert main_text("<article><div>One. <select><option>a<option>b<p>Two.</p></div><p>Three.</article>") == "One.\n\nTwo.\n\nThree."
+
+
 def test_pages_give_their_articles(spark):
     import html
     import re
