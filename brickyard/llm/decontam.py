@@ -1,11 +1,11 @@
-"""Benchmark decontamination with a positional inverted index, in DataFrame operations only.
+"""Benchmark decontamination by postings of rare terms, in DataFrame operations only.
 
 Every benchmark item is cut into windows of ``k`` consecutive words.  The corpus
 frequency of the benchmark's words picks each window's rarest term; postings
 (document, position, that document's word list) are built for these terms
-alone.  A posting shifted by the term's offset is a possible start of the
-window, and the remaining terms' offset-adjusted positions are intersected with
-it by comparing the words there.  Hits are intervals; their union per document
+alone, and not stored.  A posting shifted by the term's offset is a possible
+start of the window, and the window is compared with the words there; postings
+of its other terms are neither built nor intersected.  Hits are intervals; their union per document
 is a running maximum over sorted intervals.
 
 The benchmark goes to the scan in blocks of at most ``BLOCK_WINDOWS`` windows,
