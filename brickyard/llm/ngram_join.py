@@ -21,8 +21,13 @@ Defined results: null, empty or word-less text has no shingle, is linked with
 nothing and is its own component; fewer words than ``k`` make one shingle of
 the whole sequence; repeated rows with equal ids count once per row in the
 output; rows with a null id can't be named and are left out; an empty table
-gives an empty result.  Shingles are compared by 64-bit
-hashes (48 bits and the block number once dealt).
+gives an empty result.
+
+Shingles are compared by hashes: of 64 bits in fingerprints, by 48 bits inside a
+block for frequencies, and from ``gather`` on by 48 bits and the frequency (up
+to 65535), without the block number.  So of ``m`` shared shingles of one
+frequency about ``m * m / 2 ** 49`` pairs count as the same (1,800 at ``m`` =
+1e9, none to be expected below 2e7), which can shift an overlap by one.
 """
 
 from __future__ import annotations
