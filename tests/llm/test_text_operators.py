@@ -270,6 +270,19 @@ def test_toxicity_learns_held_out_labels(spark):
     assert {r.score for r in toxicity.score(docs_of(spark, ["a", None]), blank).collect()} <= {r.score for r in toxicity.score(docs_of(spark, [None]), blank).collect()}
 
 
+def test_toxicity_keeps_its_measured_rates_by_language(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = table(spark, sf, "labels")
+    docs = table(spark, sf, "documents").join(labels.select("doc_id"), "doc_id", "left_semi")
+    scored = toxicity.score(docs, toxicity.train(docs, labels, remainder(docs, 3) != 1), carry=["lang"]).withColumnRenamed("id", "doc_id")
+    held = scored.filter(remainder(scored, 3) == 1).join(labels, "doc_id").toPandas()
+    said = held[held.score >= toxicity.AT]
+    found, wrong = (said[said.toxic == y].lang.value_counts() for y in (1, 0))
+    # as README gives them: of 20, 82, 12 and 30 toxic documents, and of 186, 712, 121 and 181 others
+    for lang, least, most in (("de", 17, 3), ("en", 75, 0), ("es", 8, 1), ("fr", 13, 0)):
+        assert found.get(lang, 0) >= least and wrong.get(lang, 0) <= most, lang
+
+
 def test_pooling_takes_the_maximum_over_whole_texts():
     rng = np.random.default_rng(2)
     tables = rng.normal(size=(50, sum(toxicity.WIDTHS) * toxicity.FILTERS)).astype(np.float32)
