@@ -14,6 +14,7 @@ from brickyard.llm.decontam import contamination
 from brickyard.llm.html_extract import extract
 from brickyard.llm.langid import identify, train, training_rows
 from brickyard.llm.ngram_join import jaccard_components
+from brickyard.llm.phrases import collocations
 from brickyard.llm.sharding import shard_rows
 from brickyard.llm.warc import convert, pages_to_arc, read_warc, write_warc
 from brickyard.llm.token_output import fresh_folder, read_blocks, with_crc32, write_token_files
@@ -111,6 +112,11 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), F.pmod(F.col("id"), F.lit(20)) == 0)
 
 
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it stands on these operators, so it can't be imported before them
@@ -165,3 +171,20 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
        array_to_string(list_transform(v, lambda x: array_to_string(list_transform([15, 10, 5, 0], lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((x >> b) & 31 AS INTEGER) + 1, 1)), '')), '') AS payload_digest,
        CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
 FROM g"""
+
+ORACLE["op11_phrase_collocations"] = f"""
+WITH p AS (SELECT doc_id, COALESCE(lang, 'und') AS lang, unnest(string_split_regex({_LOW.format("COALESCE(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+t AS (SELECT lang, CAST(SUM(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, unnest(list_transform(range(1, len(ws) + 1), lambda i: ws[i:i])) AS g FROM w
+      UNION ALL SELECT lang, unnest(list_transform(range(1, len(ws)), lambda i: ws[i:i + 1])) FROM w
+      UNION ALL SELECT lang, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i:i + 2])) FROM w),
+c AS (SELECT lang, g, COUNT(*) AS f FROM g GROUP BY ALL HAVING COUNT(*) >= 10),
+h AS (SELECT lang, g, f, 1 AS cut, g[1:1] AS head, g[2:3] AS tail FROM c WHERE len(g) > 1 UNION ALL SELECT lang, g, f, 2, g[1:2], g[3:3] FROM c WHERE len(g) > 2),
+k AS (SELECT h.lang, h.g, h.f AS a, cut, x.f AS l, y.f AS r, 1000000::HUGEINT * h.f * h.f // (x.f::HUGEINT * y.f) AS s
+      FROM h JOIN c x ON x.lang = h.lang AND x.g = h.head JOIN c y ON y.lang = h.lang AND y.g = h.tail),
+b AS (SELECT lang, g, a, l, r, s FROM k QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY s, cut) = 1),
+o AS (SELECT lang, g, MAX(f) AS f FROM (SELECT lang, g[1:2] AS g, f FROM c WHERE len(g) = 3 UNION ALL SELECT lang, g[2:3], f FROM c WHERE len(g) = 3) GROUP BY ALL),
+z AS (SELECT b.lang, array_to_string(b.g, ' ') AS phrase, a, l, r, CAST(s AS BIGINT) AS score FROM b LEFT JOIN o ON o.lang = b.lang AND o.g = b.g WHERE o.f IS NULL OR 100 * o.f < 50 * a),
+q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z)
+SELECT q.lang, rank, phrase, a, l, r, t.n, score FROM q JOIN t USING (lang) WHERE rank <= 2000"""
