@@ -16,6 +16,7 @@ from brickyard.llm.langid import identify, train, training_rows
 from brickyard.llm.ngram_join import jaccard_components
 from brickyard.llm.phrases import collocations
 from brickyard.llm.sharding import shard_rows
+from brickyard.llm.simhash import simhash_components
 from brickyard.llm.warc import convert, pages_to_arc, read_warc, write_warc
 from brickyard.llm.token_output import fresh_folder, read_blocks, with_crc32, write_token_files
 
@@ -117,6 +118,11 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it stands on these operators, so it can't be imported before them
