@@ -15,6 +15,7 @@ from brickyard.llm.html_extract import extract
 from brickyard.llm.langid import identify, train, training_rows
 from brickyard.llm.ngram_join import jaccard_components
 from brickyard.llm.phrases import collocations
+from brickyard.llm.ranked import ranked_search
 from brickyard.llm.sharding import shard_rows
 from brickyard.llm.simhash import simhash_components
 from brickyard.llm.warc import convert, pages_to_arc, read_warc, write_warc
@@ -123,6 +124,12 @@ def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), fresh_folder(spark, "ranked"))
+    return found.withColumnsRenamed({"item": "item_id", "id": "doc_id"})
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it stands on these operators, so it can't be imported before them
@@ -194,3 +201,16 @@ o AS (SELECT lang, g, MAX(f) AS f FROM (SELECT lang, g[1:2] AS g, f FROM c WHERE
 z AS (SELECT b.lang, array_to_string(b.g, ' ') AS phrase, a, l, r, CAST(s AS BIGINT) AS score FROM b LEFT JOIN o ON o.lang = b.lang AND o.g = b.g WHERE o.f IS NULL OR 100 * o.f < 50 * a),
 q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z)
 SELECT q.lang, rank, phrase, a, l, r, t.n, score FROM q JOIN t USING (lang) WHERE rank <= 2000"""
+
+_TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+ORACLE["op13_ranked_search"] = f"""
+WITH e AS (SELECT doc_id, unnest(regexp_extract_all({_LOW.format("COALESCE(text, '')")}, '{_TERM}')) AS w FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOW.format("COALESCE(text, '')")}, '{_TERM}')) AS w FROM benchmark),
+d AS (SELECT doc_id, COUNT(*) AS n FROM e GROUP BY doc_id),
+g AS (SELECT COUNT(*) AS docs, CAST(SUM(n) AS BIGINT) AS terms FROM d),
+p AS (SELECT w, doc_id, COUNT(*) AS tf FROM e WHERE w IN (SELECT w FROM q) GROUP BY ALL),
+f AS (SELECT w, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * COUNT(*) + 1)::DOUBLE)) AS BIGINT) AS weight FROM p, g GROUP BY w, docs),
+s AS (SELECT item_id, doc_id, CAST(SUM(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms)))) AS BIGINT) AS score
+      FROM q JOIN f USING (w) JOIN p USING (w) JOIN d USING (doc_id) CROSS JOIN g GROUP BY ALL),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 50"""
