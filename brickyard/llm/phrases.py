@@ -52,7 +52,6 @@ RANK_PARTS, WORD_COPIES = 16, 8
 #: Language of rows without one.
 UNKNOWN = "und"
 _ODD = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
-_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Grams:
@@ -166,6 +165,10 @@ class Summary:
             keep = self.counts > cut
             self.keys, self.counts = self.keys[keep], self.counts[keep] - cut
 
+    def survivors(self) -> np.ndarray:
+        """All n-grams that may occur ``least`` times: their counters lack ``off`` at most."""
+        return self.keys[self.counts + self.off >= self.least]
+
 
 def surviving(local: DataFrame, least: int, capacity: int) -> DataFrame:
     """bucket, keys: n-grams of each partition that may occur ``least`` times, among them all that do."""
@@ -180,7 +183,7 @@ def surviving(local: DataFrame, least: int, capacity: int) -> DataFrame:
                     held, size = [], 0
         if held:
             summary.merge(*map(np.concatenate, zip(*held, strict=True)))
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), K.binaries([summary.keys.tobytes()])], ["bucket", "keys"])
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), K.binaries([summary.survivors().tobytes()])], ["bucket", "keys"])
 
     return local.groupBy("bucket").applyInArrow(run, "bucket long, keys binary")
 
@@ -198,7 +201,7 @@ def exact_counts(local: DataFrame, survivors: DataFrame, least: int) -> DataFram
             at = at[here]
             total[at] += np.frombuffer(counts.as_buffer(), np.uint32)[here]
             # of all groups that hold an n-gram a hash picks one, so that no group has to name most of them
-            draw = K.mix(own[here] ^ (np.uint64(grp.as_py()) * _SPREAD)) | np.uint64(1)
+            draw = K.mix(own[here] ^ K.mix(np.array([grp.as_py()], np.uint64))) | np.uint64(1)
             more = draw > best[at]
             best[at[more]], home[at[more]] = draw[more], grp.as_py()
         some = np.flatnonzero(total >= least)
