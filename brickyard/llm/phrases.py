@@ -285,6 +285,7 @@ def collocations(documents: DataFrame, least: int = 10, top: int = 2000, cover:
     pairs = grams.filter("n = 2").select("lang", "w1", "w2", F.col("f").alias("a"), F.pmod(F.xxhash64("w1", "w2"), F.lit(WORD_COPIES)).cast("int").alias("salt"))
     for own, count in (("w1", "l"), ("w2", "r")):
         pairs = pairs.join(words.withColumnsRenamed({"w": own, "fw": count}), ["lang", own, "salt"])
+    pairs = pairs.checkpoint()  # read by both parts of the triples and by the phrases of two
     triples = grams.filter("n = 3").select("lang", "w1", "w2", "w3", F.col("f").alias("a"))
     heads = pairs.select("lang", "w1", "w2", F.col("l").alias("l1"), F.col("a").alias("l2"))
     tails = pairs.select("lang", F.col("w1").alias("w2"), F.col("w2").alias("w3"), F.col("a").alias("r1"), F.col("r").alias("r2"))
