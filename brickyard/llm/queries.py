@@ -19,7 +19,7 @@ from brickyard.llm.ranked import ranked_search
 from brickyard.llm.sharding import shard_rows
 from brickyard.llm.simhash import simhash_components
 from brickyard.llm.warc import convert, pages_to_arc, read_warc, write_warc
-from brickyard.llm.token_output import fresh_folder, read_blocks, with_crc32, write_token_files
+from brickyard.llm.token_output import fresh_folder, read_blocks, write_token_files
 
 #: Shards of the sharding query.
 SHARDS = 24
@@ -80,7 +80,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_folder(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), END_ID, added_tokens=True)
-    return with_crc32(read_blocks(spark, path)).withColumnRenamed("id", "doc_id")
+    return read_blocks(spark, path, crc32=True).withColumnRenamed("id", "doc_id")
 
 
 @query

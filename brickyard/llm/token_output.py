@@ -43,8 +43,15 @@ from brickyard.session import ensure_checkpoint_dir
 
 #: Longest code (the decoding table has 2 ** LIMIT entries); ids between checkpoints; ids per block.
 LIMIT, STRIDE, BLOCK_IDS = 18, 128, 1 << 17
-#: Distinct pieces that a worker remembers.
-CACHE_WORDS = 500_000
+#: Distinct pieces that a worker remembers, by 64-bit hashes (some 30 bytes each); pieces in a line for the library; text bytes looked up at once.
+CACHE_WORDS, LINE_WORDS, BLOCK_BYTES = 2_000_000, 1000, 4 << 20
+#: Stands between the pieces of a line, apart from both.
+MARK = " \x7f "
+#: End of the blocks of precomposed Latin letters; the characters that stand for bytes in the vocabulary: printable
+#: ones for themselves, the rest from U+0100 on.
+LATIN_END = "\u0180"
+_OTHERS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(_OTHERS)}
 MAGIC, VERSION = "BYTK", 1
 
 
@@ -83,6 +90,7 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # of pieces: no literal is among them
+        self.mark, = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         tokens = self.tokenizer.get_added_tokens_decoder() if added else {}
         if any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in tokens.values()):
             raise ValueError("added tokens are found in raw texts, by their bare literals")
@@ -92,34 +100,58 @@ class WordIds:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.keys, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.used = len(self.added)
         self.arena = np.zeros(1 << 16, np.uint16)
         self.arena[:self.used] = list(self.added.values())
-        self.at, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-
-    def _slots(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        new = [w for w in words if w not in known]
-        if new:
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            ids = [e.ids for e in found]
-            sizes = np.array([len(x) for x in ids], np.int64)
-            flat = np.fromiter((i for x in ids for i in x), np.uint16, int(sizes.sum()))
+        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _ids(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of each piece.  Lower-case Latin letters, which the library's normaliser and splitter leave as they
+        are, go straight to its model; the others go through all of it, many in a line between marks."""
+        plain = [w.isalpha() and (w.isascii() or max(w) < LATIN_END and w == w.lower()) for w in words]
+        others = iter(self._others([w for w, p in zip(words, plain, strict=True) if not p]))
+        merge = self.tokenizer.model.tokenize
+        return [np.array([t.id for t in merge(w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_CHARACTERS))], np.uint16) if p else next(others)
+                for w, p in zip(words, plain, strict=True)]
+
+    def _others(self, words: list[str]) -> list[np.ndarray]:
+        lines = [MARK.join(words[i:i + LINE_WORDS]) for i in range(0, len(words), LINE_WORDS)]
+        out: list[np.ndarray] = []
+        for line, found in zip(lines, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False), strict=True):
+            own = words[len(out):len(out) + LINE_WORDS]
+            ids = np.array(found.ids, np.uint16)
+            cut = np.flatnonzero(ids == self.mark)
+            if len(cut) != len(own) - 1 or line.count(MARK.strip()) != len(cut):  # a piece with the mark's character
+                out.extend(np.array(e.ids, np.uint16) for e in self.tokenizer.encode_batch_fast(own, add_special_tokens=False))
+            else:
+                starts, ends = np.append(0, cut + 1).tolist(), np.append(cut, len(ids)).tolist()
+                out.extend(ids[a:b] for a, b in zip(starts, ends, strict=True))
+        return out
+
+    def _slots(self, hashes: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Slot of each piece, given by its hash (ascending, distinct) and where it stands in ``raw``."""
+        here = np.searchsorted(self.keys, hashes)
+        known = here < len(self.keys)
+        known[known] = self.keys[here[known]] == hashes[known]
+        new = np.flatnonzero(~known)
+        if len(new):
+            ids = self._ids([raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.concatenate(ids)
             while self.used + len(flat) > len(self.arena):
                 self.arena = np.concatenate((self.arena, np.zeros_like(self.arena)))
-            first = len(known)
-            while first + len(new) > len(self.at):
-                self.at, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.at, self.size))
             self.arena[self.used:self.used + len(flat)] = flat
-            self.size[first:first + len(new)] = sizes
-            self.at[first:first + len(new)] = self.used + np.cumsum(sizes) - sizes
-            known.update(zip(new, range(first, first + len(new)), strict=True))
+            fresh = len(self.at) + np.arange(len(new))
+            self.at = np.concatenate((self.at, self.used + np.cumsum(sizes) - sizes))
+            self.size = np.concatenate((self.size, sizes))
             self.used += len(flat)
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            self.keys, self.slot = np.insert(self.keys, here[new], hashes[new]), np.insert(self.slot, here[new], fresh)
+            here = np.searchsorted(self.keys, hashes)
+        return self.slot[here]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > CACHE_WORDS:
+        if len(self.keys) > CACHE_WORDS:
             self._forget()
         rows = len(offsets) - 1
         raw = data.tobytes()
@@ -152,8 +184,8 @@ class WordIds:
         if not len(starts):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         raw = raw.lower()  # of bytes: A-Z alone
-        _, sample, which = np.unique(K.span_hashes(data, starts, ends, K.byte_codes(lower=True)), return_index=True, return_inverse=True)
-        slots = self._slots([raw[a:b] for a, b in zip(starts[sample].tolist(), ends[sample].tolist(), strict=True)])
+        hashes, sample, which = np.unique(K.span_hashes(data, starts, ends, K.byte_codes(lower=True)), return_index=True, return_inverse=True)
+        slots = self._slots(hashes, raw, starts[sample], ends[sample])
         return self.at[slots][which], self.size[slots][which]
 
 
@@ -163,21 +195,27 @@ def word_ids(path: str, added: bool = False) -> WordIds:
 
 
 def stage_ids(documents: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False) -> DataFrame:
-    """id, n_tokens, ids: the ids of each text with ``end_id`` behind, as little-endian 16-bit integers."""
+    """id, n_tokens, ids, counts: the ids of each text with ``end_id`` behind, as little-endian 16-bit integers.
+
+    ``counts`` has, in the first row of each block of rows, the ids of the block and how often each occurs.
+    """
     K.prepare(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(tokenizer, added_tokens)
         for batch in batches:
-            for block in K.blocks(batch, "text"):
+            for block in K.blocks(batch, "text", BLOCK_BYTES):
                 ids, bounds = words.encode(*K.text_buffer(block.column("text")))
                 rows = np.arange(1, len(bounds))
                 ids = np.insert(ids, bounds[1:], np.uint16(end_id))
                 bounds[1:] += rows
-                yield pa.RecordBatch.from_arrays([block.column("id"), pa.array(np.diff(bounds)), K.packed(ids, bounds)], ["id", "n_tokens", "ids"])
+                sums = np.bincount(ids, minlength=1)
+                some = np.flatnonzero(sums)
+                counts = K.binaries([np.stack((some, sums[some])).tobytes()] + [None] * (block.num_rows - 1))
+                yield pa.RecordBatch.from_arrays([block.column("id"), pa.array(np.diff(bounds)), K.packed(ids, bounds), counts], ["id", "n_tokens", "ids", "counts"])
 
     source = documents.select(documents[id_col].cast("long").alias("id"), documents[text_col].alias("text"))
-    return source.mapInArrow(run, "id long, n_tokens long, ids binary")
+    return source.mapInArrow(run, "id long, n_tokens long, ids binary, counts binary")
 
 
 def id_counts(staged: DataFrame) -> dict[int, int]:
@@ -185,12 +223,13 @@ def id_counts(staged: DataFrame) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            data, _ = K.text_buffer(batch.column("ids"))
-            sums += np.bincount(np.frombuffer(data.tobytes(), np.uint16), minlength=1 << 16)
+            for raw in batch["counts"]:
+                ids, counts = np.frombuffer(raw.as_buffer(), np.int64).reshape(2, -1)
+                sums[ids] += counts
         some = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(sums[some])], ["token", "n"])
 
-    rows = staged.select("ids").mapInArrow(run, "token int, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    rows = staged.select("counts").filter("counts is not null").mapInArrow(run, "token int, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
     return {r.token: r.n for r in rows}
 
 
@@ -311,8 +350,11 @@ SCHEMA = pa.schema([("magic", pa.string()), ("version", pa.int32()), ("part", pa
                     ("row_ids", pa.binary()), ("row_sizes", pa.binary()), ("checkpoints", pa.binary()), ("bits", pa.binary())])
 
 
-def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """id, start, n_tokens, ids (16-bit little-endian) of every row, decoded from the files below ``path``."""
+def read_blocks(spark: SparkSession, path: str, crc32: bool = False) -> DataFrame:
+    """id, start, n_tokens, ids (16-bit little-endian) of every row, decoded from the files below ``path``.
+
+    With ``crc32`` the ids' place takes ids_crc32, the unsigned crc32 of the ids as little-endian unsigned 32-bit integers.
+    """
     K.prepare(spark)
     lengths = {r.token: r.length for r in spark.read.parquet(f"{path}/code").collect()}  # a vocabulary at most
     stored = spark.read.parquet(f"{path}/blocks")
@@ -334,20 +376,15 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
                 names, size = np.frombuffer(row["row_ids"], np.int64), np.frombuffer(row["row_sizes"], np.int64)
                 bounds = np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))
                 first = before[row["part"]] + row["inside"]
-                yield pa.RecordBatch.from_arrays([pa.array(names, mask=names == NULL_ID), pa.array(first + bounds[:-1]), pa.array(size), K.packed(ids, bounds)],
-                                                 ["id", "start", "n_tokens", "ids"])
-
-    return stored.join(inside, ["part", "block"]).mapInArrow(run, "id long, start long, n_tokens long, ids binary")
-
-
-def with_crc32(rows: DataFrame) -> DataFrame:
-    """Adds ids_crc32: unsigned crc32 of the ids as little-endian unsigned 32-bit integers."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = [zlib.crc32(np.frombuffer(x.as_buffer(), np.uint16).astype("<u4").tobytes()) for x in batch["ids"]]
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["start"], batch["n_tokens"], pa.array(sums, pa.int64())], ["id", "start", "n_tokens", "ids_crc32"])
-
-    return rows.mapInArrow(run, "id long, start long, n_tokens long, ids_crc32 long")
+                if crc32:
+                    wide = memoryview(ids.astype("<u4")).cast("B")
+                    last = pa.array([zlib.crc32(wide[4 * a:4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.int64())
+                else:
+                    last = K.packed(ids, bounds)
+                yield pa.RecordBatch.from_arrays([pa.array(names, mask=names == NULL_ID), pa.array(first + bounds[:-1]), pa.array(size), last], ["id", "start", "n_tokens", out])
+
+    out, kind = ("ids_crc32", "long") if crc32 else ("ids", "binary")
+    return stored.join(inside, ["part", "block"]).mapInArrow(run, f"id long, start long, n_tokens long, {out} {kind}")
 
 
 def write_token_files(documents: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False) -> None:
