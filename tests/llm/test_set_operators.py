@@ -151,7 +151,7 @@ def test_hits_match_brute_force(spark, monkeypatch):
     expected = brute_hits(docs, items)
     frame = docs_of(spark, docs.items())
     assert result(contamination(frame, bench)) == expected
-    monkeypatch.setattr("brickyard.llm.decontam.BLOCK_WINDOWS", 3)  # several scans, no broadcast vocabulary
+    monkeypatch.setattr("brickyard.llm.decontam.SENT_ROWS", 3)  # nothing is broadcast
     assert result(contamination(frame, bench)) == expected
     assert {r.contaminated for r in contamination(frame, bench.limit(0)).collect()} == {False}
     assert contamination(frame.limit(0), bench).count() == 0
