@@ -1,22 +1,27 @@
 """Main text of HTML pages by tag-path ratios.
 
 A page becomes a sequence of text blocks, each with the path of block-level
-tags from the root to it.  Blocks inside elements that are never article text
-(navigation, forms, scripts, page headers and footers, adverts, notices,
-comments: by tag, role, or the words of class and id) are set aside.  For each
-path the remaining blocks give
+tags from the root to it.  Blocks inside elements whose tag or role is never
+article text (navigation, scripts, page headers and footers) are set aside.  The
+words of class and id decide nothing: an element that is a form, or a class of
+which says nothing but advert, notice, comments and the like, is in strong doubt
+(``!`` on its path), one with such a word among others in weak doubt (``?``), and
+doubt lowers the score of a path.  Strong doubt is lifted from an element that
+has most of the page's text in an article, or beside which there is hardly any.
+For each path the blocks give
 
 * the text ratio: characters per block, and
 * the punctuation ratio: punctuation marks per block,
 
 both without link text.  The ratios are laid along the page, smoothed with a
-Gaussian, fused as a product, and compared with the page's own threshold; the
-paths that pass are content paths.  The element that holds most of their text
+Gaussian, fused as a product, lowered by doubt, and compared with the page's own
+threshold; the paths that pass are content paths.  The element that holds most of their text
 (an ``article`` or ``main`` where one does, told by its number and not by its
 tag) is the content root, several outermost ones together where none does.  Its
 blocks are the text, short ones such as headings and list items included, save
-inner articles, sections with such articles, and sections of links, where less
-than half of the text is on content paths.
+those in strong doubt on other paths, and inner articles, sections with such
+articles, and sections of links, where less than half of the text is on content
+paths.
 
 Embedded content (media, drawings, choices, templates) is no text; where its end
 tag is missing, what follows it is.  Formulas are text.
@@ -42,6 +47,8 @@ from brickyard.llm import textkit as K
 
 #: Width of the smoothing in blocks, and the threshold as a part of the page's mean fused ratio.
 SIGMA, THRESHOLD = 1.0, 0.35
+#: What doubt leaves of a path's score; text outside an element, as a part of the text in it, that leaves it in strong doubt.
+WEAK, STRONG, OUTSIDE = 0.6, 0.1, 0.25
 #: An element that holds this part of the content is a candidate for the root.
 SHARE = 0.8
 
@@ -58,7 +65,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var
 math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle merror mpadded mphantom menclose msub msup msubsup munder mover munderover mmultiscripts
 mprescripts none mtable mtr mtd maction""".split())
-NEVER = frozenset("nav footer aside form button menu dialog fieldset head datalist option optgroup".split()) | RAW | EMBEDDED
+NEVER = frozenset("nav footer aside button menu dialog fieldset head datalist option optgroup".split()) | RAW | EMBEDDED
 OPTIONS = frozenset(("option", "optgroup"))
 ROOTS = frozenset(("article", "main"))
 SECTIONS = frozenset(("article", "section"))
@@ -68,6 +75,9 @@ NOISE = frozenset("""ad ads adv advert adverts advertisement advertising adsense
 nav navbar navigation menu breadcrumb breadcrumbs toolbar pager pagination skip masthead footer sidebar rail widget widgets
 related recommended recommendations share sharing social comment comments disqus respond replies reply cookie cookies consent gdpr
 notice notices notification alert popup popover modal overlay newsletter subscribe subscription signup login register paywall disclaimer copyright hidden""".split())
+#: Words that leave a class as telling as the noise word beside them.
+BESIDE = frozenset("""area article bar blog block bottom box button buttons container entry footer form header icon icons inner item items
+left link links list main page panel post posts reader right section site slot top unit user""".split())
 #: What each opening tag closes when it is still open.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "thead": ("tr", "td", "th"), "tbody": ("thead", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th"), "body": ("head",)}
@@ -75,22 +85,26 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",)}
 
 
-def _is_noise(tag: str, rest: str, inside_root: bool) -> bool:
+def _doubt(tag: str, rest: str, inside_root: bool) -> str:
+    """``x``: never text; ``!`` and ``?``: strong and weak doubt; empty: none."""
     if tag in NEVER or tag == "header" and not inside_root:
-        return True
+        return "x"
+    doubt = "!" if tag == "form" else ""
     if not rest or tag in KEPT:
-        return False
+        return doubt
     for name, a, b, c in ATTRIBUTE.findall(rest):
         name, value = name.lower(), a or b or c
         if name in ("class", "id"):
-            words = {w.lower() for w in WORD.findall(value)}
-            if words & NOISE or "header" in words and not inside_root and tag in ("div", "section", "table"):
-                return True
+            for one in value.split():
+                words = {w.lower() for w in WORD.findall(one)}
+                telling = words & NOISE or "header" in words and not inside_root and tag in ("div", "section", "table")
+                if telling:
+                    doubt = "!" if doubt == "!" or words <= NOISE | BESIDE else "?"
         elif name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return "x"
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return "x"
+    return doubt
 
 
 class Block:
@@ -144,7 +158,7 @@ def embedded_ends(page: str) -> dict[int, int]:
 def text_blocks(page: str) -> list[Block]:
     """The page's blocks outside elements that are never article text, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # tag, noise, number of the element
+    stack: list[tuple[str, bool, int, str]] = []  # tag, noise, number of the element, doubt
     kept: list[str] = []
     noise = links = linked = roots = number = 0
     ends: dict[int, int] | None = None  # found when one is met
@@ -155,13 +169,13 @@ def text_blocks(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(kept)).split())
             if text:
                 own = [x for x in stack if x[0] not in INLINE]
-                out.append(Block(tuple(x[0] for x in own), tuple(x[2] for x in own), text, linked))
+                out.append(Block(tuple(x[0] + x[3] for x in own), tuple(x[2] for x in own), text, linked))
             kept.clear()
         linked = 0
 
     def pop() -> None:
         nonlocal noise, links, roots
-        tag, bad, _ = stack.pop()
+        tag, bad, *_ = stack.pop()
         noise -= bad
         links -= tag == "a"
         roots -= tag in ROOTS
@@ -235,11 +249,13 @@ def text_blocks(page: str) -> list[Block]:
                             break
                     elif stack[i][0] in scope or closed == ("p",) and stack[i][0] not in INLINE:
                         break
-        bad = _is_noise(tag, m[3], roots > 0)
+        doubt = _doubt(tag, m[3], roots > 0)
+        # an inline element is no block: strong doubt drops it
+        bad = doubt == "x" or doubt == "!" and tag in INLINE
         number += 1
         if bad and not noise and tag not in INLINE:
             flush()
-        stack.append((tag, bad, number))
+        stack.append((tag, bad, number, "" if bad or tag in INLINE else doubt))
         noise += bad
         links += tag == "a"
         roots += tag in ROOTS
@@ -266,12 +282,45 @@ def smooth(values: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(values, kernel, "full")[reach:-reach] / weight
 
 
+def _trust(path: tuple) -> float:
+    """What doubt leaves of a path's score; strong doubt counts for each element, weak doubt once."""
+    strong = sum(t[-1] == "!" for t in path)
+    return STRONG ** strong * (WEAK if any(t[-1] == "?" for t in path) else 1.0)
+
+
+def lift_doubt(blocks: list[Block]) -> None:
+    """Turn strong doubt into none where an element holds the page's text after all."""
+    doubted = any(t[-1] == "!" for b in blocks for t in b.path)
+    while doubted:
+        doubted = False
+        held: dict[int, list[int]] = defaultdict(lambda: [0, 0])  # free text of an element in strong doubt, and of articles in it
+        free, whole = 0, 0
+        for b in blocks:
+            size = max(0, len(b.text) - b.links)
+            marked = [i for i, t in enumerate(b.path) if t[-1] == "!"]
+            inner = max((i for i, t in enumerate(b.path) if t in ROOTS), default=-1)
+            whole += size
+            free += 0 if marked else size
+            for i in marked:
+                held[b.owners[i]][0] += size
+                held[b.owners[i]][1] += size * (i < inner)
+        lifted = {n for n, (size, inside) in held.items() if 2 * inside >= size > 0 and 2 * size >= whole or size and free <= OUTSIDE * size and 2 * size >= whole}
+        if lifted:
+            # the outermost first: what is in doubt inside it is judged again
+            first = min(lifted)
+            for b in blocks:
+                if first in b.owners:
+                    i = b.owners.index(first)
+                    b.path = (*b.path[:i], b.path[i][:-1], *b.path[i + 1:])
+            doubted = len(held) > 1
+
+
 def content_mask(blocks: list[Block]) -> list[bool]:
     """Blocks on content paths: fused smoothed ratios against the page's threshold."""
     ratios = path_ratios(blocks)
     text = smooth(np.array([ratios[b.path][0] for b in blocks]), SIGMA)
     marks = smooth(np.array([ratios[b.path][1] for b in blocks]), SIGMA)
-    fused = np.sqrt(text * (marks + 0.1))
+    fused = np.sqrt(text * (marks + 0.1)) * [_trust(b.path) for b in blocks]
     sums: dict[tuple, list[float]] = defaultdict(lambda: [0.0, 0])
     for b, x in zip(blocks, fused, strict=True):
         sums[b.path][0] += x
@@ -317,18 +366,23 @@ def set_aside(rooted: list[Block], chosen: set[int], roots: set[int]) -> set[int
     return {n for n, (size, good, links) in sums.items() if 2 * good < size and (n in cards or 2 * links > size)}
 
 
+def _strong(block: Block) -> bool:
+    return any(t[-1] == "!" for t in block.path)
+
+
 def main_text(page: str) -> str:
     """Article text of a page: blocks joined by an empty line."""
     blocks = text_blocks(page)
     if not blocks:
         return ""
+    lift_doubt(blocks)
     chosen = [b for b, good in zip(blocks, content_mask(blocks), strict=True) if good] or blocks
-    whole = sum(len(b.text) for b in chosen)
+    whole, paths = sum(len(b.text) for b in chosen), {b.path for b in chosen}
     if 2 * sum(len(b.text) for b in chosen if any(t in ROOTS for t in b.path)) >= whole:
         roots = content_roots(chosen)
         rooted = [b for b in blocks if roots.intersection(b.owners)]
         aside = set_aside(rooted, set(map(id, chosen)), roots)
-        return "\n\n".join(b.text for b in rooted if not aside.intersection(b.owners))
+        return "\n\n".join(b.text for b in rooted if not aside.intersection(b.owners) and (b.path in paths or not _strong(b)))
     held: dict[int, int] = defaultdict(int)
     depth: dict[int, int] = {}
     for b in chosen:
@@ -339,8 +393,7 @@ def main_text(page: str) -> str:
     # a single block can't be the root of a page that has others: its parent is
     roots = [n for n in roots if not any(b.owners and b.owners[-1] == n and b.path[-1] in ("p", "li", "td", "h1", "h2", "h3") for b in chosen)] or roots
     root = max(roots, key=depth.__getitem__, default=None)
-    paths = {b.path for b in chosen}
-    return "\n\n".join(b.text for b in blocks if (root is None or root in b.owners) and (b.path in paths or 2 * b.links <= len(b.text)))
+    return "\n\n".join(b.text for b in blocks if (root is None or root in b.owners) and (b.path in paths or 2 * b.links <= len(b.text) and not _strong(b)))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -118,6 +118,32 @@ def test_content_paths_choose_the_root_and_judge_inner_articles():
     assert main_text(f"<body><div><h1>T</h1><p>{STORY}<p>{STORY}</div>") == f"T\n\n{story}\n\n{story}"
 
 
+LAYOUTS = ['<div class="content-sidebar-wrap">', '<div class="site has-sidebar">', '<div class="post no-comments">', '<div class="layout no-sidebar">', '<div class="with-nav">',
+           '<div class="widget-area-off">', '<section id="social-policy">', '<form id="aspnetForm">', '<div class="widget"><form class="subscribe">', '<div class="hidden sidebar">']
+BESIDE = ('<nav><a href=x>Home</a></nav>', '<div class="ad">Buy this, now. It is good, cheap, and new.</div><div class="sidebar"><p>Other stories, that you may like, too.</p></div>')
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+@pytest.mark.parametrize("before", ["", *BESIDE])
+@pytest.mark.parametrize("tags", [("", ""), ("<article>", "</article>"), ("<main>", "</main>")])
+def test_class_words_lose_no_article(layout, before, tags):
+    story = STORY.strip()
+    inside = f'<h1>T</h1><p>{STORY}</p><p class="register-of-works">{STORY}</p><div class="alert-free">{STORY}</div><p>{STORY}</p>'
+    page = f"<html><body>{before}{layout}{tags[0]}{inside}{tags[1]}</body></html>"
+    assert main_text(page) == "\n\n".join(["T", *[story] * 4])
+
+
+def test_ratios_and_doubt_decide_what_is_dropped(monkeypatch):
+    story = STORY.strip()
+    noise = '<div class="ad-banner"><p>Buy this, now.</p></div>', '<form><label>Mail</label><p>Sign up, please.</p></form>', f'<div id="comments"><p>{STORY}</p></div>'
+    inside = f"<article><p>{STORY}</p>{noise[0]}<p>{STORY}</p>{noise[1]}<p>{STORY}</p>{noise[2]}</article>"
+    bare = f"<div><div class=post><p>{STORY}</p>{noise[0]}<p>{STORY}</p><p>{STORY}</p></div>{noise[2]}</div>"
+    want = "\n\n".join([story] * 3)
+    assert main_text(inside) == main_text(bare) == want
+    monkeypatch.setattr("brickyard.llm.html_extract.content_mask", lambda blocks: [True] * len(blocks))
+    assert main_text(inside) != want and main_text(bare) != want
+
+
 @pytest.mark.parametrize("tag", ["video", "audio", "object", "canvas", "select", "svg", "template", "noscript"])
 def test_embedded_elements_lose_no_text_behind_them(tag):
     assert main_text(f"<article><p>One, <{tag} id=x> two.<p>Three.</p></article><div class=ad>x</div>") == "One, two.\n\nThree."
