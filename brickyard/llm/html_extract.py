@@ -48,7 +48,7 @@ from brickyard.llm import textkit as K
 #: Width of the smoothing in blocks, and the threshold as a part of the page's mean fused ratio.
 SIGMA, THRESHOLD = 1.0, 0.35
 #: What doubt leaves of a path's score; text outside an element, as a part of the text in it, that leaves it in strong doubt.
-WEAK, STRONG, OUTSIDE = 0.6, 0.1, 0.25
+WEAK, STRONG, OUTSIDE = 0.6, 0.02, 0.25
 #: An element that holds this part of the content is a candidate for the root.
 SHARE = 0.8
 
