@@ -7,6 +7,7 @@ from . import q_metrics  # noqa: F401
 from . import q_decision  # noqa: F401
 from . import q_clean  # noqa: F401
 from . import q_merge  # noqa: F401
+from . import q_load  # noqa: F401
 from . import q_report  # noqa: F401
 from . import q_sources  # noqa: F401
 from . import q_stream_text  # noqa: F401

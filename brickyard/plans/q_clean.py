@@ -250,7 +250,7 @@ def _month_raw_spark():
              .when(k == 3, F.concat(y, F.lit(" Xyz"))).otherwise(F.lit("n/a")))
 
 
-_MN = "CASE lower({n}) " + " ".join(f"WHEN '{m}' THEN '{i + 1:02d}'" for i, m in enumerate(P.MONTH_ABBREVIATIONS)) + " ELSE '01' END"
+_MN = "CASE lower({n}) " + " ".join(f"WHEN '{m}' THEN '{i + 1:02d}'" for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split())) + " ELSE '01' END"
 
 
 @query("parse_month", f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..functions.sqlfunctions import register as register_functions
 from ..operators import decision as D
 from ..operators import metrics as M
 from ..sources import bindings as b
@@ -126,6 +127,25 @@ def q_mortgage_payment(spark, d):
     return D.payments(b.request(spark, d), b.mortgage_product(spark, d))
 
 
+@query("sql_monthly_payment", with_("pay", "request", "mortgage_product") + f"""
+SELECT request_id, pay.monthly_payment,
+       CASE WHEN rate_tenths IS NULL THEN NULL WHEN _loan_c = 0 THEN 0.0 WHEN mortgage_type = 'INTEREST_ONLY' THEN {HU('_loan_c * rate_tenths', '1200000', 6)}
+            WHEN rate_tenths = 0 THEN {HU('_loan_c', '30000', 6)} ELSE {PAY('_loan_c', 'rate_tenths', 'mortgage_type', rounded=False)} END AS monthly_payment_raw
+FROM (SELECT request_id, monthly_payment FROM pay) pay JOIN (SELECT r.request_id, p.mortgage_type, p.rate_tenths, r.asking_price * (100 - r.deposit_pct) AS _loan_c
+               FROM request r LEFT JOIN mortgage_product p USING (mortgage_product_id)) USING (request_id)""")
+def q_sql_monthly_payment(spark, d):
+    """F1 and F2 by their names in SQL."""
+    register_functions(spark)
+    b.request(spark, d).createOrReplaceTempView("payment_request")
+    b.mortgage_product(spark, d).createOrReplaceTempView("payment_product")
+    return spark.sql("""
+        SELECT request_id, CAST(calculate_monthly_payment(loan, rate, 25, mortgage_type) AS DOUBLE) AS monthly_payment,
+               CAST(calculate_monthly_payment_raw(loan, rate, 25, mortgage_type) AS DOUBLE) AS monthly_payment_raw
+        FROM (SELECT request_id, CAST(asking_price * (100 - deposit_pct) AS DECIMAL(18,0)) / 100 AS loan, p.mortgage_type,
+                     CAST(p.rate_tenths AS DECIMAL(9,0)) / 10 AS rate
+              FROM payment_request LEFT JOIN payment_product p USING (mortgage_product_id))""")
+
+
 @query("mortgage_payment_raw", with_("request", "mortgage_product") + f"""
 SELECT request_id, CAST(_loan_c AS DOUBLE) / 100.0 AS loan_amount,
        CASE WHEN rate_tenths IS NOT NULL THEN {PAY('_loan_c', 'rate_tenths', 'mortgage_type', rounded=False)} END AS monthly_payment

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.report import gap_fill
 from ..sources import bindings as b
 from ..sources import readers as RD
 from ..sources.tables import read
 from ..streaming.intake import work_dir
-from .oracle_bindings import with_
+from .oracle_bindings import register, with_
 from .registry import query
 
 _PC_COLS = ["pc_id", "pcds", "doterm", "oseast1m", "osnrth1m", "lsoa11"]
@@ -154,14 +155,42 @@ def q_unpivot_skips(spark, d):
     return RD.wide_index_skips(wide_lines(spark, d), "europe", WIDE_KEEP)
 
 
-@query("source_fallback", with_("rental_index") + """
-SELECT region, reference_month, index_value, 'LONDON' AS source FROM rental_index
-WHERE region = 'LONDON' AND (SELECT COUNT(*) FROM rental_index WHERE region = 'LONDON') >= 24
+# outcodes of the two regional sources, and the rows that each of three loads asks for
+_SOURCES = {"EUROPE": "NATION_7", "ASIA": "NATION_12"}
+_ASKED = {"one": 30, "both": 100, "supplemented": 100_000}
+
+register("hpi_sources", ["hpi_index"], """
+SELECT 1 AS rank, 'EUROPE' AS source, outcode, reference_month, average_price, index_value FROM hpi_index
+WHERE outcode = 'NATION_7' AND month(reference_month) <> 5
+UNION ALL SELECT 2, 'ASIA', outcode, reference_month, average_price, index_value FROM hpi_index WHERE outcode = 'NATION_12' AND month(reference_month) <> 7
+UNION ALL SELECT 2, 'ASIA', outcode, reference_month, average_price + 1, index_value FROM hpi_index
+WHERE outcode = 'NATION_7' AND month(reference_month) IN (2, 5)""")
+
+
+@query("source_fallback", with_("hpi_sources") + """
+, asked AS (SELECT unnest(['one', 'both', 'supplemented']) AS load, unnest([30, 100, 100000]) AS min_rows),
+n AS (SELECT rank, count(*) AS n, sum(count(*)) OVER (ORDER BY rank) AS upto FROM hpi_sources GROUP BY rank),
+taken AS (SELECT a.load, s.* FROM asked a JOIN n ON n.upto - n.n < a.min_rows JOIN hpi_sources s ON s.rank = n.rank),
+kept AS (SELECT * FROM taken QUALIFY row_number() OVER (PARTITION BY load, outcode, reference_month ORDER BY rank DESC) = 1),
+few AS (SELECT load FROM asked WHERE min_rows > (SELECT max(upto) FROM n)),
+base AS (SELECT load, outcode, arg_max(average_price, reference_month) AS b FROM kept WHERE load IN (FROM few) GROUP BY ALL),
+top AS (SELECT load, max(reference_month) AS m0 FROM kept GROUP BY load),
+grid AS (SELECT load, outcode, b, m, CAST(m0 - to_months(CAST(m AS INTEGER)) AS DATE) AS reference_month FROM base JOIN top USING (load), (SELECT unnest(range(0, 36)) AS m))
+SELECT load, outcode, reference_month, average_price, index_value, source FROM kept
 UNION ALL
-SELECT region, reference_month, index_value, 'EUROPE' FROM rental_index
-WHERE region = 'EUROPE' AND (SELECT COUNT(*) FROM rental_index WHERE region = 'LONDON') < 24
-  AND (SELECT COUNT(*) FROM rental_index WHERE region = 'EUROPE') >= 24""")
+SELECT load, outcode, reference_month, CAST(floor(b * pow(1 - 0.03 / 12, CAST(m AS DOUBLE)) + 0.5) AS DOUBLE), CAST(100.0 + (36 - m) * 0.25 AS DOUBLE), 'generated'
+FROM grid g ANTI JOIN kept k ON k.load = g.load AND k.outcode = g.outcode AND k.reference_month = g.reference_month""")
 def q_source_fallback(spark, d):
-    r = b.rental_index(spark, d).select("region", "reference_month", "index_value")
-    return RD.first_sufficient([("LONDON", r.where(F.col("region") == "LONDON")),
-                                ("EUROPE", r.where(F.col("region") == "EUROPE"))], 24)
+    """Three loads of an index: the first source is enough, both are, and neither is."""
+    h = b.hpi_index(spark, d).select("outcode", "reference_month", "average_price", "index_value")
+    month = F.month("reference_month")
+    first = h.where((F.col("outcode") == _SOURCES["EUROPE"]) & (month != 5))
+    second = h.where((F.col("outcode") == _SOURCES["ASIA"]) & (month != 7)).unionByName(
+        h.where((F.col("outcode") == _SOURCES["EUROPE"]) & month.isin(2, 5)).withColumn("average_price", F.col("average_price") + 1))
+    out = None
+    for load, asked in _ASKED.items():
+        made = RD.accumulate([("EUROPE", first), ("ASIA", second)], ["outcode", "reference_month"], asked,
+                             lambda have: gap_fill(have).where("is_generated").drop("is_generated"))
+        own = made.select(F.lit(load).alias("load"), "outcode", "reference_month", "average_price", "index_value", "source")
+        out = own if out is None else out.unionByName(own)
+    return out

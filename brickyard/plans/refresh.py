@@ -1,4 +1,4 @@
-"""Snapshot jobs: metrics refresh (K8, F3), ordered load of all feeds (K11) and the run log.
+"""Snapshot jobs: metrics refresh (K8, F3) and the run log (K9).
 
 Snapshots are written to new folders under the cluster's shared checkpoint
 directory (``spark.checkpoint.dir``) and then exposed as temp views, which is
@@ -10,13 +10,10 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import json
-import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean as C
-from ..operators import merge as G
 from ..operators import metrics as M
 from ..sources import bindings as b
 from ..sources.tables import remember
@@ -49,42 +46,3 @@ def write_runlog(spark: SparkSession, entries: list[dict], out: str) -> None:
              e.get("ts", dt.datetime.now(dt.timezone.utc).isoformat())) for e in entries]
     spark.createDataFrame(rows, "level string, script string, message string, fields string, ts string") \
          .write.mode("append").json(out)
-
-
-def load_all(spark: SparkSession, d: str, out: str | None = None) -> dict[str, str]:
-    """Ordered load (K11): postcodes → (sales ∥ products) → certificates → (hpi ∥ rental ∥ crime) → metrics refresh.
-
-    Each step writes a snapshot folder; the returned dict maps table → path.
-    A run log with row counts and timings is written next to the snapshots.
-    """
-    from . import q_merge
-    out = out or work_dir(spark, "load")
-    log: list[dict] = []
-    paths: dict[str, str] = {}
-
-    def step(name: str, df: DataFrame) -> None:
-        t0 = time.time()
-        p = f"{out}/{name}"
-        df.write.mode("overwrite").parquet(p)
-        paths[name] = p
-        n = spark.read.parquet(p).count()
-        log.append({"script": name, "message": "loaded", "fields": {"rows": n, "ms": int((time.time() - t0) * 1000)}})
-
-    step("location", C.clean_postcodes(b.raw_postcode(spark, d)))
-    step("property", q_merge.properties(spark, d))
-    # attributes of the properties, as the certificate feed updates them
-    step("property_attributes", G.enrich(q_merge.asset_property(spark, d), q_merge.epc_update(spark, d), "property_id", q_merge.EPC_COLUMNS,
-                                         order_col="seq", stamp=b.sale_as_of(spark, d)))
-    step("transaction", q_merge.transactions(spark, d, "address"))
-    step("mortgage_product", b.mortgage_product(spark, d))
-    step("hpi_index", b.hpi_index(spark, d))
-    step("rental_index", b.rental_index(spark, d))
-    step("crime_stat", b.crime_stat(spark, d))
-    from .registry import QUERIES
-    dq = QUERIES["dq_checks"](spark, d)
-    dq.write.mode("overwrite").json(f"{out}/_quality")  # K10: JSON quality report
-    paths["outcode_metrics"] = f"{out}/outcode_metrics"
-    refresh_metrics(spark, d, paths["outcode_metrics"])
-    log.append({"script": "refresh", "message": "metrics refreshed", "fields": {}})
-    write_runlog(spark, log, f"{out}/_runlog")
-    return paths

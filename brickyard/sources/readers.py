@@ -52,15 +52,18 @@ HPI_PREFIX = "ukhpi:"
 
 
 def read_hpi_json(docs: DataFrame, json_col: str, key_col: str) -> DataFrame:
-    """``result.items[]`` → rows; the month is a string *or* ``{"@value": …}``; no month → skipped."""
-    items = docs.select(key_col, F.explode(F.from_json(F.col(json_col), "result STRUCT<items: ARRAY<STRING>>")
-                                           .getField("result").getField("items")).alias("_it"))
-    month_obj = F.get_json_object("_it", f"$['{HPI_PREFIX}refMonth']['@value']")
-    month_str = F.get_json_object("_it", f"$['{HPI_PREFIX}refMonth']")
-    month = F.when(month_obj.isNotNull(), month_obj).when(~month_str.startswith("{"), month_str)
-    num = lambda f: F.get_json_object("_it", f"$['{HPI_PREFIX}{f}']").try_cast("double")
-    return items.where(month.isNotNull()).select(
-        F.col(key_col).alias("outcode"), F.concat(month, F.lit("-01")).try_cast("date").alias("reference_month"),
+    """``result.items[]`` → rows; the month is a string *or* ``{"@value": …}``; no month → skipped.
+
+    A document is parsed once, to a map per item; only a month that is an object is parsed again.
+    """
+    parsed = F.from_json(F.col(json_col), "result STRUCT<items: ARRAY<MAP<STRING, STRING>>>")
+    items = docs.select(key_col, F.explode(parsed.getField("result").getField("items")).alias("_it"))
+    field = lambda f: F.try_element_at("_it", F.lit(f"{HPI_PREFIX}{f}"))
+    text = field("refMonth")
+    month = F.when(text.startswith("{"), F.get_json_object(text, "$['@value']")).otherwise(text)
+    num = lambda f: field(f).try_cast("double")
+    return items.select(key_col, "_it", month.alias("_month")).where(F.col("_month").isNotNull()).select(
+        F.col(key_col).alias("outcode"), F.concat("_month", F.lit("-01")).try_cast("date").alias("reference_month"),
         num("averagePrice").alias("average_price"), num("housePriceIndex").alias("index_value"),
         num("percentageAnnualChange").alias("annual_pct_change"))
 
@@ -147,18 +150,26 @@ def read_features(docs: DataFrame, json_col: str, key_col: str, fallback: DataFr
     return good.unionByName(pts)
 
 
-def first_sufficient(candidates: list[tuple[str, DataFrame]], min_rows: int) -> DataFrame:
-    """First candidate with at least ``min_rows`` rows, tagged with its name.
+def accumulate(candidates: list[tuple[str, DataFrame]], keys: list[str], min_rows: int, supplement=None) -> DataFrame:
+    """Sources added up in order until they have ``min_rows`` rows, then supplemented.
 
-    Each check is a bounded ``limit(min_rows).count()``; when none suffices
-    all candidates are unioned, which the caller supplements with generated
-    rows (G1, ``operators.report.gap_fill``).
+    Each source's rows join those before it; the next one is read only while
+    the sum is below ``min_rows``.  If all together have fewer, ``supplement``
+    makes rows from what there is, and those with a new key are added as
+    ``generated``.  Of rows with one key the latest source's stays, as an upsert
+    of the list would leave it.  The counts are bounded by ``min_rows``.
     """
-    for name, df in candidates:
-        if df.limit(min_rows).count() >= min_rows:
-            return df.withColumn("source", F.lit(name))
-    out = None
-    for name, df in candidates:
-        t = df.withColumn("source", F.lit(name))
-        out = t if out is None else out.unionByName(t)
-    return out
+    taken, total = None, 0
+    for rank, (name, rows) in enumerate(candidates):
+        total += rows.limit(min_rows).count()
+        own = rows.withColumn("source", F.lit(name)).withColumn("_rank", F.lit(rank))
+        taken = own if taken is None else taken.unionByName(own)
+        if total >= min_rows:
+            break
+    values = [c for c in taken.columns if c not in keys and c != "_rank"]
+    kept = (taken.groupBy(*keys).agg(F.max_by(F.struct(*values), "_rank").alias("_v"))
+            .select(*keys, *[F.col("_v")[c].alias(c) for c in values]))
+    if total >= min_rows or supplement is None:
+        return kept
+    made = supplement(kept.drop("source")).join(kept.select(*keys), keys, "left_anti")
+    return kept.unionByName(made.withColumn("source", F.lit("generated")).select(*kept.columns))

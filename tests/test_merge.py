@@ -56,17 +56,6 @@ def test_stamps_like_triggers(spark):
     assert got["b"]["created_at"] == dt.date(2024, 5, 1) and got["b"]["updated_at"] == dt.date(2024, 5, 1)
 
 
-def test_ordered_load_writes_snapshots(spark):
-    from brickyard.plans import catalog  # noqa: F401  (registers the queries used by the load)
-    from brickyard.plans.refresh import load_all
-    paths = load_all(spark, "/root/testdata/sf0.001")
-    for name in ("location", "property", "transaction", "hpi_index", "crime_stat", "outcode_metrics"):
-        assert spark.read.parquet(paths[name]).count() > 0
-    root = paths["location"].rsplit("/", 1)[0]
-    assert spark.read.json(f"{root}/_runlog").count() >= 7
-    assert spark.read.json(f"{root}/_quality").count() == 11
-
-
 def test_null_key_updates_are_all_kept(spark):
     base = spark.createDataFrame([("a", 1)], "k string, n long")
     upd = spark.createDataFrame([(None, 5, 1), (None, 7, 2), ("a", 3, 1)], "k string, n long, seq int")
