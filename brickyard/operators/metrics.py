@@ -117,7 +117,20 @@ def outcode_metrics(sales: DataFrame, hpi: DataFrame, rental: DataFrame, crime:
     """The 10-column metrics table; one row per outcode with sales in the last 12 months."""
     recent = recent_sales(sales, as_of)
     med = percentile_cont(recent, ["outcode"], "sale_price", {"median": "0.5"})
-    mom = price_moments(recent, ["outcode"])
+    return _metrics(med, price_moments(recent, ["outcode"]), hpi, rental, crime, loc, crime_as_of)
+
+
+def metrics_of_histogram(hist: DataFrame, hpi: DataFrame, rental: DataFrame, crime: DataFrame, loc: DataFrame, crime_as_of: dt.date) -> DataFrame:
+    """The same table from kept counts of the window's prices: outcode, price_cents, c."""
+    c = F.col("price_cents").cast("decimal(38,0)")
+    priced = hist.withColumn("sale_price", (F.col("price_cents").cast("decimal(14,0)") / 100).cast("decimal(12,2)"))
+    med = percentile_cont(priced, ["outcode"], "sale_price", {"median": "0.5"}, weight="c")
+    mom = hist.groupBy("outcode").agg(F.sum("c").alias("_n"), F.sum(F.col("price_cents") * F.col("c")).alias("_s1"),
+                                      F.sum((c * F.col("price_cents")).cast("decimal(28,0)") * F.col("c").cast("decimal(18,0)")).cast("decimal(38,0)").alias("_s2"))
+    return _metrics(med, mom, hpi, rental, crime, loc, crime_as_of)
+
+
+def _metrics(med: DataFrame, mom: DataFrame, hpi: DataFrame, rental: DataFrame, crime: DataFrame, loc: DataFrame, crime_as_of: dt.date) -> DataFrame:
     # the latest rent level of the chosen region: a one-row aggregate used as a literal
     rent = scalar(latest_value(rental.where(F.col("region") == RENT_REGION)).select("index_centi"), "index_centi")
     med_e4 = F.round(F.col("median") * 10000).cast("long")

@@ -24,6 +24,47 @@ def log_scale(col: Column) -> Column:
     return F.signum(d) * F.log1p(F.abs(d))
 
 
+def bucketed(hist: DataFrame, keys: list[str], value: Column, nulls_first: bool = False) -> DataFrame:
+    """Add ``_b``: which of ``BUCKETS`` equal ranges between the key's least and largest ``value`` a row is in."""
+    h = hist.withColumn("_bv", value.cast("double"))
+    if keys:
+        stats = h.groupBy(*keys).agg(F.min("_bv").alias("_mn"), F.max("_bv").alias("_mx"))
+        h = h.join(stats, keys)
+    else:  # one global group: its min/max are two scalars, folded into the plan as literals
+        st = h.agg(F.min("_bv").alias("mn"), F.max("_bv").alias("mx")).first()
+        h = h.withColumn("_mn", F.lit(st["mn"]).cast("double")).withColumn("_mx", F.lit(st["mx"]).cast("double"))
+    span = F.col("_mx") - F.col("_mn")
+    b = F.least(F.lit(BUCKETS - 1), F.floor(F.when(span > 0, (F.col("_bv") - F.col("_mn")) * BUCKETS / span)
+                                             .otherwise(F.lit(0.0)))).cast("int")
+    b = F.when(F.col("_bv").isNull(), F.lit(-1 if nulls_first else BUCKETS)).otherwise(b)
+    return h.withColumn("_b", b).drop("_bv", "_mn", "_mx")
+
+
+def _offsets(h: DataFrame, keys: list[str], count_col: str) -> DataFrame:
+    """keys, _b, _sub (rows in the bucket), _off (rows before it), _n (rows of the key); at most ``BUCKETS`` rows per key."""
+    sub = h.groupBy(*keys, "_b").agg(F.sum(count_col).alias("_sub"))
+    wk = Window.partitionBy(*keys) if keys else Window.partitionBy()  # global: one row per bucket (bounded)
+    before = F.sum("_sub").over(wk.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+    return sub.withColumn("_off", F.coalesce(before, F.lit(0))).withColumn("_n", F.sum("_sub").over(wk))
+
+
+def values_at(hist: DataFrame, keys: list[str], ranks) -> DataFrame:
+    """Rows of ``hist`` (keys, _v, _c) that hold asked ranks: keys, _v, _n and the fields of ``ranks(_n)``.
+
+    ``ranks`` makes an array of structs with a 1-based rank ``rk`` from the
+    key's number of rows.  A rank meets its key's bucket counts first and then
+    only the values of the bucket that holds it, by (key, bucket), which is how
+    the running counts inside the buckets are dealt already.
+    """
+    h = bucketed(hist, keys, log_scale(F.col("_v")))
+    off = _offsets(h, keys, "_c")
+    inside = (F.col("_r.rk") > F.col("_off")) & (F.col("_r.rk") <= F.col("_off") + F.col("_sub"))
+    asked = off.select(*keys, "_b", "_off", "_sub", "_n", F.explode(ranks(F.col("_n"))).alias("_r")).where(inside).drop("_sub")
+    local = h.withColumn("_lc", F.sum("_c").over(Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
+    at = F.col("_r.rk") - F.col("_off")
+    return local.join(asked, [*keys, "_b"]).where((at > F.col("_lc") - F.col("_c")) & (at <= F.col("_lc"))).select(*keys, "_v", "_n", "_r.*")
+
+
 def cumulative_counts(hist: DataFrame, keys: list[str], order: list[Column | str], count_col: str,
                       bucket_value: Column | None = None, nulls_first: bool = False,
                       with_totals: bool = False, bucket: Column | None = None):
@@ -44,28 +85,13 @@ def cumulative_counts(hist: DataFrame, keys: list[str], order: list[Column | str
     bv = bucket_value if bucket_value is not None else F.col(order[0]) if isinstance(order[0], str) else None
     if bv is None:
         raise ValueError("bucket_value is required when the first order item is an expression")
-    h = hist.withColumn("_bv", bv.cast("double"))
-    if keys:
-        stats = h.groupBy(*keys).agg(F.min("_bv").alias("_mn"), F.max("_bv").alias("_mx"))
-        h = h.join(stats, keys)
-    else:  # one global group: its min/max are two scalars, folded into the plan as literals
-        st = h.agg(F.min("_bv").alias("mn"), F.max("_bv").alias("mx")).first()
-        h = h.withColumn("_mn", F.lit(st["mn"]).cast("double")).withColumn("_mx", F.lit(st["mx"]).cast("double"))
-    span = F.col("_mx") - F.col("_mn")
-    b = F.least(F.lit(BUCKETS - 1), F.floor(F.when(span > 0, (F.col("_bv") - F.col("_mn")) * BUCKETS / span)
-                                             .otherwise(F.lit(0.0)))).cast("int")
-    b = F.when(F.col("_bv").isNull(), F.lit(-1 if nulls_first else BUCKETS)).otherwise(b)
-    h = h.withColumn("_b", b).drop("_bv", "_mn", "_mx")
+    h = bucketed(hist, keys, bv, nulls_first)
     return _from_buckets(h, keys, order_cols, count_col, with_totals)
 
 
 def _from_buckets(h: DataFrame, keys: list[str], order_cols: list[Column], count_col: str, with_totals: bool):
     """Running counts from per-(key, bucket) subtotals plus a window inside each bucket."""
-    sub = h.groupBy(*keys, "_b").agg(F.sum(count_col).alias("_sub"))
-    wk = Window.partitionBy(*keys) if keys else Window.partitionBy()  # global: one row per bucket (bounded)
-    off = (sub.withColumn("_off", F.coalesce(F.sum("_sub").over(wk.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-              .withColumn("_n", F.sum("_sub").over(wk))
-              .drop("_sub"))
+    off = _offsets(h, keys, count_col).drop("_sub")
     local = h.withColumn("_lc", F.sum(count_col).over(
         Window.partitionBy(*keys, "_b").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)))
     j = local.join(off, [*keys, "_b"])
@@ -76,31 +102,30 @@ def _from_buckets(h: DataFrame, keys: list[str], order_cols: list[Column], count
 
 
 def percentile_cont(df: DataFrame, keys: list[str], value: str, probs: dict[str, str],
-                    count_as: str | None = None) -> DataFrame:
+                    count_as: str | None = None, weight: str | None = None) -> DataFrame:
     """Exact PERCENTILE_CONT for each ``name -> p`` (p given as a decimal string).
 
     ``value`` must be an exact (integer or decimal) column; NULLs are ignored.
     Linear interpolation v_lo + frac·(v_hi − v_lo) is done in decimal, so the
     double result is the correctly rounded exact value.  ``count_as`` also
-    returns the number of non-NULL values per key.
+    returns the number of non-NULL values per key; with ``weight`` a row stands for
+    so many equal ones.
     """
     if not keys:
         return _global_quantiles(df, value, probs, "cont", count_as)
-    v = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
-    hist = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked, totals = cumulative_counts(hist, keys, ["_v"], "_c", bucket_value=log_scale(F.col("_v")), with_totals=True)
-    tgt = totals.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(name).alias("pname"), F.lit(p).cast("decimal(10,6)").alias("p")) for name, p in probs.items()
-    ])).alias("t"), "_n")
-    h = (F.col("_n") - 1).cast("decimal(20,0)") * F.col("t.p")
-    fl = F.floor(h).cast("long")
-    frac = (h - F.floor(h)).cast("decimal(7,6)")
-    ranks = tgt.select(*keys, F.col("t.pname").alias("pname"), frac.alias("_frac"), F.explode(F.array(
-        F.struct(F.lit(0).alias("hi"), (fl + 1).alias("rk")),
-        F.struct(F.lit(1).alias("hi"), F.when(frac > 0, fl + 2).otherwise(fl + 1).alias("rk")),
-    )).alias("r")).select(*keys, "pname", "_frac", F.col("r.hi").alias("hi"), F.col("r.rk").alias("rk"))
-    cond = (F.col("rk") > F.col("_cum") - F.col("_c")) & (F.col("rk") <= F.col("_cum"))
-    hit = ranked.join(ranks, keys).where(cond)
+    v = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"), (F.col(weight) if weight else F.lit(1).cast("long")).alias("_w"))
+    hist = v.groupBy(*keys, "_v").agg(F.sum("_w").alias("_c"))
+
+    def ranks(n: Column) -> Column:
+        out = []
+        for name, p in probs.items():
+            h = (n - 1).cast("decimal(20,0)") * F.lit(p).cast("decimal(10,6)")
+            fl, frac = F.floor(h).cast("long"), (h - F.floor(h)).cast("decimal(7,6)")
+            for hi, rk in ((0, fl + 1), (1, F.when(frac > 0, fl + 2).otherwise(fl + 1))):
+                out.append(F.struct(F.lit(name).alias("pname"), frac.alias("_frac"), F.lit(hi).alias("hi"), rk.alias("rk")))
+        return F.array(*out)
+
+    hit = values_at(hist, keys, ranks)
     aggs, outs = [], []
     for i, n in enumerate(probs):
         is_n = F.col("pname") == n
@@ -127,14 +152,12 @@ def nearest_rank(df: DataFrame, keys: list[str], value: str, probs: dict[str, st
         return _global_quantiles(df, value, probs, "rank")
     v = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     hist = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked, totals = cumulative_counts(hist, keys, ["_v"], "_c", bucket_value=log_scale(F.col("_v")), with_totals=True)
-    tgt = totals.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(n).alias("pname"), F.lit(p).cast("decimal(10,6)").alias("p")) for n, p in probs.items()
-    ])).alias("t"), "_n")
-    rk = F.least(F.floor(F.col("_n").cast("decimal(20,0)") * F.col("t.p")).cast("long"), F.col("_n") - 1) + 1
-    tgt = tgt.select(*keys, F.col("t.pname").alias("pname"), rk.alias("rk"))
-    cond = (F.col("rk") > F.col("_cum") - F.col("_c")) & (F.col("rk") <= F.col("_cum"))
-    hit = ranked.drop("_n").join(tgt, keys).where(cond)
+
+    def ranks(n: Column) -> Column:
+        return F.array(*[F.struct(F.lit(name).alias("pname"), (F.least(F.floor(n.cast("decimal(20,0)") * F.lit(p).cast("decimal(10,6)")).cast("long"), n - 1) + 1).alias("rk"))
+                         for name, p in probs.items()])
+
+    hit = values_at(hist, keys, ranks)
     return hit.groupBy(*keys).agg(*[F.max(F.when(F.col("pname") == n, F.col("_v"))).alias(n) for n in probs])
 
 

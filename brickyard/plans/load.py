@@ -121,15 +121,14 @@ class StepFailed(RuntimeError):
 
 
 def whole_steps(spark: SparkSession, out: str) -> set[str]:
-    """Names in the run log of ``out``."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out}/_runlog")
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return set()
-    return {r.script for r in spark.read.schema("script string").json(f"{out}/_runlog").collect()}
+    """Names of the steps whose line of the run log was committed in ``out``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out}/_runlog/*/_SUCCESS")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return {f.getPath().getParent().getName() for f in found or ()}
 
 
 def run_step(spark: SparkSession, d: str, out: str, step: Step, paths: dict[str, str]) -> None:
-    """Write one table and its line of the run log."""
+    """Write one table and its line of the run log, each into a folder of its own, as steps write at once."""
     from .refresh import write_runlog
     context = spark.sparkContext
     context.setLocalProperty("spark.scheduler.pool", step.name)
@@ -141,7 +140,7 @@ def run_step(spark: SparkSession, d: str, out: str, step: Step, paths: dict[str,
         made = step.make(spark, d, {name: spark.read.parquet(paths[name]) for name in step.inputs})
         made.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in step.counts(made).items()]).write.mode("overwrite").parquet(f"{out}/{step.name}")
         fields = {k: int(v) for k, v in seen.get.items()} | {"ms": int((time.time() - began) * 1000)}
-        write_runlog(spark, [{"script": step.name, "message": "loaded", "fields": fields}], f"{out}/_runlog")
+        write_runlog(spark, [{"script": step.name, "message": "loaded", "fields": fields}], f"{out}/_runlog/{step.name}")
     finally:
         spark.removeTag(tag)
         context.setLocalProperty("spark.scheduler.pool", None)
@@ -174,6 +173,6 @@ def load_all(spark: SparkSession, d: str, out: str | None = None, steps: tuple[S
 
 def run_counts(spark: SparkSession, out: str) -> DataFrame:
     """script, metric, value: what the steps of a load counted while writing."""
-    log = spark.read.schema("script string, fields string").json(f"{out}/_runlog")
+    log = spark.read.schema("script string, fields string").json(f"{out}/_runlog/*")
     pairs = log.select("script", F.explode(F.from_json("fields", "map<string, long>")).alias("metric", "value"))
     return pairs.where("metric <> 'ms'")
