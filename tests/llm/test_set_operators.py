@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from brickyard.llm import ngram_join, warc
+from brickyard.llm import ann, ngram_join, warc
 from brickyard.llm.ann import search
 from brickyard.llm.decontam import contamination, match_windows
 from brickyard.llm.graph import connected_components
@@ -206,6 +206,44 @@ def test_many_equal_vectors_rank_by_id(spark):
     assert [r.vec_id for r in got] == [3 * i for i in range(1, 21)]
 
 
+def test_lists_of_heavy_cells_and_query_blocks_equal_brute_force(spark, monkeypatch):
+    """All queries calibrate and all their neighbours are to be kept, so the result must be exact."""
+    for name, value in (("KEEP", 1.0), ("CALIBRATE", 10_000), ("SHARD_ROWS", 16), ("VISITS", 8)):
+        monkeypatch.setattr(ann, name, value)
+    rng = np.random.default_rng(3)
+    x = np.where(rng.random((400, 1)) < 0.3, 1.0, rng.normal(size=(400, 6)))
+    frame = spark.createDataFrame([(i, v.tolist(), 7) for i, v in enumerate(x)], "vec_id long, embedding array<double>, shard int")
+    got = collections.defaultdict(list)
+    for r in search(frame, F.pmod("id", F.lit(4)) == 0, top=5, centroids=4).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    for q in range(0, 400, 4):
+        exact = (x * x[q]).sum(1)
+        exact[q] = -np.inf
+        assert got[q] == np.lexsort((np.arange(400), -exact))[:5].tolist()
+
+
+def test_a_query_goes_to_shards_of_taken_cells_only(monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_ROWS", 50)
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(16, 8)) * 5, 100, 0) + rng.normal(size=(1600, 8)) * 0.01
+    index = ann.MultiIndex(x, 5, 16)
+    cells = index.cells(x)
+    index.counts.flat[:] = np.bincount(cells, minlength=index.counts.size)
+    index.place()
+    held = index.shards(cells, np.arange(1600))
+    assert np.bincount(held).max() < 80 and set(held) <= set(range(index.n_shards))
+    for q in x[::100]:
+        stop, shards = index.traverse(q, 100)
+        taken = index.sums(q[None], cells)[0] >= stop - ann.SLACK
+        assert set(held[taken]) <= set(shards) and len(shards) < index.n_shards / 3
+
+
+def test_one_component_and_repeated_ids_with_different_vectors(spark):
+    rows = [(0, [2.0]), (1, [-1.0]), (2, [3.0]), (20, [5.0]), (20, [1.0])]
+    got = [tuple(r) for r in search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.pmod("id", F.lit(20)) == 0, top=2).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 20, 10.0), (0, 2, 2, 6.0), (20, 1, 2, 3.0), (20, 2, 0, 2.0)]
+
+
 # ---- 9: sharding
 
 def test_sharding(spark):
