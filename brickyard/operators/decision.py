@@ -15,6 +15,7 @@ from ..functions.dates import months_back, trailing
 from ..functions.exact import half_up, half_up_dec, ratio, stddev_exact
 from ..functions.finance import (gross_yield_pct, js_round, loan_cents, monthly_payment, net_yield_pct)
 from .metrics import QUARTILE_PROBS, recent_sales
+from .ranges import range_quantiles
 from .ranking import ntile, percentile_cont, top_k
 
 VERDICTS = ("UNICORN", "CASH_COW", "GROWTH_PLAY", "AVOID")
@@ -188,6 +189,47 @@ def comparables_stats(assets: DataFrame, requests: DataFrame, as_of: dt.date) ->
                     F.coalesce("comparable_count", F.lit(0)).alias("comparable_count"))
 
 
+def sold_counts(assets: DataFrame, as_of: dt.date, months: int) -> DataFrame:
+    """(outcode, beds, type, area, price) → ``_sold``: the window's sales, counted."""
+    return (assets.where(trailing(F.col("sale_date"), as_of, months) & F.col("price_cents").isNotNull())
+            .groupBy(*COMP_KEY, "price_cents").agg(F.count(F.lit(1)).alias("_sold")))
+
+
+def metric_counts(counts: DataFrame, *keep: str) -> DataFrame:
+    """Two rows per count, price and £/sqft (``_m``), as whole millionths of a pound (``_x``)."""
+    gbp6 = half_up_dec(F.col("price_cents") * 1000, F.col("_sqm") * 10764 * 100, 6)
+    return counts.select(*keep, "_sold", F.explode(F.array(
+        F.struct(F.lit("price").alias("_m"), (F.col("price_cents") * 10000).alias("_x")),
+        F.struct(F.lit("gbp").alias("_m"), F.when(F.col("_sqm") > 0, (gbp6 * 1000000).cast("long")).alias("_x")),
+    )).alias("s")).select(*keep, "s._m", "s._x", "_sold")
+
+
+def comparables_by_range(assets: DataFrame, requests: DataFrame, as_of: dt.date, months: int = 24, band_pct: int = 20) -> DataFrame:
+    """``comparables_stats`` for many requests on few, hot (outcode, beds, type) triples: no request meets single sales.
+
+    Sales are counted by (outcode, beds, type, area, price) and laid into a tree over the
+    floor areas, whose nodes the requests' bands are cut into.  The tree has a fixed price, so where a
+    triple has a few hundred sales ``comparables_stats`` is faster.
+    """
+    triple = COMP_KEY[:3]
+    hist = metric_counts(sold_counts(assets, as_of, months).withColumnRenamed("floor_area_sqm", "_sqm"), *triple, "_sqm")
+    target = F.col("floor_area_sqm")
+    asks = requests.select(*COMP_KEY).where(target.isNotNull()).distinct().select(
+        *COMP_KEY, F.ceil(target * (100 - band_pct) / 100).alias("_lo"), F.floor(target * (100 + band_pct) / 100).alias("_hi"),
+        F.explode(F.array(F.lit("price"), F.lit("gbp"))).alias("_m"))
+    q = range_quantiles(hist, asks.select(*triple, "_m", "_lo", "_hi").distinct(), [*triple, "_m"], "_sqm", "_x", "_sold",
+                        "_lo", "_hi", QUARTILE_PROBS, unit="0.000001", count_as="_cnt")
+    price, gbp = F.col("_m") == "price", F.col("_m") == "gbp"
+    st = q.groupBy(*triple, "_lo", "_hi").agg(
+        *[F.max(F.when(price, F.col(n))).alias(n) for n in QUARTILE_PROBS],
+        F.max(F.when(gbp, F.col("median"))).alias("median_gbp_per_sqft"),
+        F.max(F.when(price, F.col("_cnt"))).alias("comparable_count"))
+    r = requests.select("request_id", *triple, F.ceil(target * (100 - band_pct) / 100).alias("_lo"),
+                        F.floor(target * (100 + band_pct) / 100).alias("_hi")).join(st, [*triple, "_lo", "_hi"], "left")
+    return r.select("request_id", "p25", "median", "p75", "median_gbp_per_sqft",
+                    F.coalesce("comparable_count", F.lit(0)).alias("comparable_count"))
+
+
 def comparables_rows(assets: DataFrame, requests: DataFrame, as_of: dt.date, k: int = 10) -> DataFrame:
     """Ten most recent comparables per request, ties broken on every output column (L1)."""
     pairs = comparable_pairs(assets, requests, as_of).select(

@@ -222,6 +222,11 @@ def q_comparables_stats(spark, d):
     return D.comparables_stats(*_comp(spark, d))
 
 
+@query("comparables_by_range", with_("comp_stats") + "SELECT * FROM comp_stats")
+def q_comparables_by_range(spark, d):
+    return D.comparables_by_range(*_comp(spark, d))
+
+
 @query("comparables_rows", with_("comp_rows") + "SELECT * FROM comp_rows")
 def q_comparables_rows(spark, d):
     return D.comparables_rows(*_comp(spark, d))
