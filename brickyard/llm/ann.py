@@ -43,6 +43,8 @@ CENTROIDS, SAMPLE, KEEP = 64, 12_000, 0.96
 MOST_CENTROIDS, CELL_ROWS = 256, 256
 #: Rows of a shard, visits of a block of its queries, queries that are reranked side by side, and shards of a task.
 SHARD_ROWS, VISITS, SIDE, SHARDS_A_TASK = 4_096, 65_536, 256, 16
+#: Shards up to which their numbers of blocks are broadcast.
+BROADCAST_ROWS = 500_000
 #: Sample queries of the calibration; what equal sums may differ by after rounding.
 CALIBRATE, SLACK = 128, 1e-9
 
@@ -224,6 +226,9 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
     queries = lists.filter(is_query).groupBy("id").agg(F.min("v").alias("v")).repartition(tasks, F.xxhash64(F.lit("route"), "id"))
     routed = queries.mapInArrow(route, f"id long, v {kind}, stop double, shards array<long>").checkpoint()
     visits = routed.select(F.explode("shards").alias("shard")).groupBy("shard").agg(F.ceil(F.count("*") / VISITS).alias("blocks"))
+    # one row per shard, whose number is known; a join on the shard would bring a hot shard's visits into one task
+    if index.n_shards <= BROADCAST_ROWS:
+        visits = F.broadcast(visits)
     block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
     entries = (lists.mapInArrow(deal, f"id long, v {kind}, cell long, shard long").join(visits, "shard")
                .select("shard", block, "cell", F.lit(None).cast("double").alias("stop"), "id", "v"))
