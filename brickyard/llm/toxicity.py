@@ -2,14 +2,30 @@
 
 A word is the sum of hashed embeddings: of the word itself and of its first
 four and five bytes.  Filters of several widths run over the whole text, each
-keeps its maximum, and a logistic layer adds them up.  Training works on a
-bounded sample of labelled texts; only the position that won a filter's maximum
-receives its gradient.  Embeddings start from the features' document log-odds.
-
-Thresholds are calibrated by language on a part of the sample that training
-does not see.  The language is the text's own: a word-likelihood router learnt
-from the sample's language column guesses it, so that column is no input of a
-score.  A score is shifted so that 0.7 means "at the threshold".
+keeps its maximum, and a logistic layer adds them up.  Only the position that
+won a filter's maximum receives its gradient.  Embeddings start from the
+features' document log-odds.
+
+Training reads every usable labelled text, whole.  A hash of the id deals texts
+into shards of about ``SHARD_ROWS`` rows or ``SHARD_BYTES`` bytes; in its order
+every CALIBRATE-th id of a shard sets thresholds and the others train:
+
+1. ``counts``: training texts of each label per feature, and word shares of each
+   language.
+2. ``descend``: each shard descends from the same start, by as many steps as its
+   texts need to be drawn about once, both labels alike.  The changes are
+   averaged (a feature's over the shards that touched it).  Of a label with few
+   texts each text goes to several shards.
+3. ``calibrate``: thresholds by language from all the texts that don't train;
+   logits are counted in steps of 1 / STEP.
+
+Sums over tasks are sums of integers, so that neither the layout of the input
+nor the order of tasks changes a model.
+
+Thresholds are calibrated by language.  The language is the text's own: a
+word-likelihood router learnt from the training texts' language column guesses
+it, so that column is no input of a score.  A score is shifted so that 0.7
+means "at the threshold".
 
 Scoring needs no multiplication per word: the product of every embedding with
 every filter slice is a table, looked up by feature.
@@ -28,20 +44,28 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from brickyard.llm import textkit as K
+from brickyard.session import ensure_checkpoint_dir
 
 #: Hash buckets, embedding size, filter widths and filters of each.
 BUCKETS, SIZE, WIDTHS, FILTERS = 1 << 16, 12, (1, 2, 3), 6
-#: Training sample: about so many texts of each label, chosen by a hash of the id, of at most so many bytes.
-SAMPLE, SAMPLE_BYTES = 2500, 1 << 16
-STEPS, BATCH, RATE = 120, 48, 0.01
+#: Labelled texts that descend together: about so many, or so many bytes; of each label at least about so many.
+SHARD_ROWS, SHARD_BYTES, SHARD_LEAST = 8192, 32 << 20, 256
+#: Steps of a shard at least, texts of a step, step size, words whose activations are held at once.
+STEPS, BATCH, RATE, HOLD = 120, 48, 0.01, 1 << 17
+#: Buckets of a row that carries sums, and units of a fixed-point one.
+PART, UNIT = 1024, 1 << 20
+#: Logits are counted in steps of 1 / STEP.
+STEP = 1024
+#: Rows of labels that are sent to all tasks; more are joined by a shuffle.
+SENT = 500_000
 #: The calibrated threshold sits at this score.
 AT = 0.7
-#: Part of the sample that calibrates; a language with fewer positives there uses the common threshold.
+#: One of so many texts calibrates; a language with fewer of a label there uses the common threshold.
 CALIBRATE, LEAST = 4, 20
 PREFIXES = (4, 5)
 
@@ -131,128 +155,239 @@ def _tables(embed: np.ndarray, filters: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([embed @ f[j] for f in filters for j in range(len(f))], axis=1).astype(np.float32)
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, langs: list[str | None], seed: int = 7) -> Model:
-    """Train on feature arrays of a bounded sample; every CALIBRATE-th text sets thresholds instead."""
+def _start(seen: np.ndarray, total: np.ndarray, seed: int) -> tuple[list[np.ndarray], np.random.Generator]:
+    """Embeddings, filters, bias, dense layer and offset before the first step, and what draws on."""
     rng = np.random.Generator(np.random.PCG64(seed))
-    languages = sorted({x for x in langs if x is not None})
-    none = Model(np.zeros((BUCKETS, sum(WIDTHS) * FILTERS), np.float32), np.zeros(len(WIDTHS) * FILTERS, np.float32), np.zeros(len(WIDTHS) * FILTERS), -30.0,
-                 [], np.zeros((BUCKETS, 0), np.float32), np.zeros(1))
-    held = np.arange(len(texts)) % CALIBRATE == CALIBRATE - 1
-    own = np.flatnonzero(~held)
-    if len(set(labels[own].tolist())) < 2:
-        return none
-    seen = np.zeros((2, BUCKETS))
-    for i in own:
-        seen[labels[i], np.unique(texts[i])] += 1
-    total = np.bincount(labels[own], minlength=2)
     odds = np.log((seen[1] + 0.5) / (total[1] + 1)) - np.log((seen[0] + 0.5) / (total[0] + 1))
     embed = rng.normal(0, 0.05, (BUCKETS, SIZE))
     embed[:, 0] = odds / 3 * seen.sum(0) / (seen.sum(0) + 5)  # rare features prove little
     embed[0] = 0
     filters = [rng.normal(0, 0.1, (w, SIZE, FILTERS)) for w in WIDTHS]
     filters[0][0, 0] = 1
-    bias, dense, offset = np.zeros(len(WIDTHS) * FILTERS), rng.normal(0, 0.1, len(WIDTHS) * FILTERS), 0.0
+    dense = rng.normal(0, 0.1, len(WIDTHS) * FILTERS)
     dense[:FILTERS] = 1 / FILTERS
-    params = [embed, *filters, bias, dense]
-    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-    for step in range(1, STEPS + 1):
-        # both labels alike
-        pick = np.concatenate([rng.choice(own[labels[own] == y], BATCH // 2) for y in (0, 1)])
-        feats = np.concatenate([texts[i] for i in pick])
-        bounds = np.concatenate(([0], np.cumsum([len(texts[i]) for i in pick])))
-        words, inverse = np.unique(feats, return_inverse=True)
-        local = _tables(embed[words], filters)
-        pooled, where = _pool(local, bias.astype(np.float32), inverse.reshape(feats.shape), bounds, argmax=True)
-        p = 1 / (1 + np.exp(-np.clip(pooled @ dense + offset, -30, 30)))
-        error = (p - labels[pick]) / len(pick)
-        back = error[:, None] * dense[None] * (pooled > 0)
-        grads = [np.zeros_like(embed), *[np.zeros_like(f) for f in filters], back.sum(0), pooled.T @ error + 1e-4 * dense]
-        for k, width in enumerate(WIDTHS):
-            r, f = np.nonzero(back[:, k * FILTERS:(k + 1) * FILTERS])
-            g, spot = back[r, k * FILTERS + f], where[r, k * FILTERS + f]
-            for j in range(width):
-                ids = feats[spot + j]
-                word = embed[ids].sum(1)
-                np.add.at(grads[1 + k][j].T, f, g[:, None] * word)
-                for c in range(ids.shape[1]):
-                    np.add.at(grads[0], ids[:, c], g[:, None] * filters[k][j][:, f].T)
-        grads[0][0] = 0
-        touched = np.flatnonzero(grads[0].any(1))
-        for q, g, (m, v) in zip(params, grads, moments, strict=True):
+    return [embed, *filters, np.zeros(len(WIDTHS) * FILTERS), dense, np.zeros(1)], rng
+
+
+def _held_at_once(texts: list[np.ndarray], pick: np.ndarray) -> Iterator[np.ndarray]:
+    """Runs of ``pick`` of about HOLD words (one text at least)."""
+    at, words = 0, 0
+    for i, one in enumerate(pick):
+        if i > at and words + len(texts[one]) > HOLD:
+            yield pick[at:i]
+            at, words = i, 0
+        words += len(texts[one])
+    yield pick[at:]
+
+
+def fit(texts: list[np.ndarray], labels: np.ndarray, start: list[np.ndarray], rng: np.random.Generator) -> list[np.ndarray]:
+    """The parameters after descending from ``start``: texts are drawn, both labels alike in a step, about once each at least."""
+    params = [p.copy() for p in start]
+    embed, filters, (bias, dense, offset) = params[0], params[1:1 + len(WIDTHS)], params[1 + len(WIDTHS):]
+    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params[:-1]]
+    sides = [np.flatnonzero(labels == y) for y in (0, 1)]
+    size = BATCH // 2
+    local, slope = np.zeros(BUCKETS, np.int64), np.zeros_like(embed)
+    for step in range(1, max(STEPS, -(-max(len(x) for x in sides) // size)) + 1):
+        pick = np.concatenate([rng.choice(x, size) for x in sides])
+        grads = [slope, *[np.zeros_like(f) for f in filters], np.zeros_like(bias), 1e-4 * dense]
+        total, met = 0.0, np.zeros(BUCKETS, bool)
+        for part in _held_at_once(texts, pick):
+            feats = np.concatenate([texts[i] for i in part])
+            bounds = np.concatenate(([0], np.cumsum([len(texts[i]) for i in part])))
+            if len(feats):
+                here = np.zeros(BUCKETS, bool)
+                here[feats] = True
+                words = np.flatnonzero(here)
+                local[words] = np.arange(len(words))
+                pooled, where = _pool(_tables(embed[words], filters), bias.astype(np.float32), local[feats], bounds, argmax=True)
+            else:
+                pooled, where = np.zeros((len(part), len(bias)), np.float32), None
+            p = 1 / (1 + np.exp(-np.clip(pooled @ dense + offset[0], -30, 30)))
+            error = (p - labels[part]) / len(pick)
+            total += float(error.sum())
+            back = error[:, None] * dense[None] * (pooled > 0)
+            grads[-2] += back.sum(0)
+            grads[-1] += pooled.T @ error
+            for k, width in enumerate(WIDTHS):
+                r, f = np.nonzero(back[:, k * FILTERS:(k + 1) * FILTERS])
+                if not len(r):
+                    continue
+                g, spot = back[r, k * FILTERS + f], where[r, k * FILTERS + f]
+                for j in range(width):
+                    ids = feats[spot + j]
+                    word = embed[ids].sum(1)
+                    np.add.at(grads[1 + k][j].T, f, g[:, None] * word)
+                    for c in range(ids.shape[1]):
+                        np.add.at(slope, ids[:, c], g[:, None] * filters[k][j][:, f].T)
+                    met[ids] = True
+        met[0] = False
+        slope[0] = 0
+        met = np.flatnonzero(met)
+        touched = met[slope[met].any(1)]
+        for q, g, (m, v) in zip(params, grads, moments):
             rows = touched if q is embed else slice(None)
             m[rows] = 0.9 * m[rows] + 0.1 * g[rows]
             v[rows] = 0.99 * v[rows] + 0.01 * g[rows] ** 2
             q[rows] -= RATE * (m[rows] / (1 - 0.9 ** step)) / (np.sqrt(v[rows] / (1 - 0.99 ** step)) + 1e-8)
-        offset -= RATE * 10 * float(error.sum())
-    router = np.zeros((BUCKETS, len(languages)))
-    for i in own:
-        if langs[i] is not None and len(texts[i]):
-            router[:, languages.index(langs[i])] += np.bincount(texts[i][:, 0], minlength=BUCKETS) / len(texts[i])
-    router = np.log(router + 1e-4) - np.log((router + 1e-4).sum(0))
-    model = Model(_tables(embed, filters), bias.astype(np.float32), dense, offset, languages, router.astype(np.float32), np.zeros(len(languages) + 1))
-    _calibrate(model, [texts[i] for i in np.flatnonzero(held)], labels[held])
-    return model
+        slope[met] = 0
+        offset -= RATE * 10 * total
+    return params
 
 
-def _calibrate(model: Model, texts: list[np.ndarray], labels: np.ndarray) -> None:
-    if not texts:
-        return
-    logits, routed = [], []
-    for at in range(0, len(texts), BATCH):  # activations of a few texts at a time
-        part = texts[at:at + BATCH]
-        feats, bounds = np.concatenate(part), np.concatenate(([0], np.cumsum([len(t) for t in part])))
-        logits.append(model.pool(feats, bounds) @ model.dense + model.offset)
-        routed.append(model.route(feats, bounds))
-    logits, routed = np.concatenate(logits), np.concatenate(routed)
-    common = _threshold(logits, labels)
-    model.thresholds[:] = common
-    for i in range(len(model.languages)):
-        mine = routed == i
-        if labels[mine].sum() >= LEAST and (~labels[mine].astype(bool)).sum() >= LEAST:
-            model.thresholds[i] = _threshold(logits[mine], labels[mine])
-
+def _threshold(logits: np.ndarray, hits: np.ndarray, rows: np.ndarray) -> float:
+    """The middle of the widest gap among the cuts with the best F-measure, which counts precision double.
 
-def _threshold(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The middle of the widest gap among the cuts with the best F-measure, which counts precision double."""
+    ``logits`` are distinct, with ``rows`` texts each, ``hits`` of them toxic.
+    """
     order = np.argsort(-logits, kind="stable")
-    x, y = logits[order], labels[order]
+    x, y, n = logits[order], hits[order], rows[order]
     if not len(x) or not y.any():
         return 0.0
-    hits = np.cumsum(y)
-    f = 1.25 * hits / (np.arange(1, len(x) + 1) + 0.25 * y.sum())
+    f = 1.25 * np.cumsum(y) / (np.cumsum(n) + 0.25 * y.sum())
     after = np.append(x[1:], x[-1] - 2)
-    gap = np.where((f >= f.max() - 1e-12) & (x > after), x - after, -1)
+    gap = np.where(f >= f.max() - 1e-12, x - after, -1)
     i = int(np.argmax(gap))
     return float((x[i] + max(after[i], x[i] - 4)) / 2)
 
 
-def train(documents: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic") -> Model:
-    """Fit on at most SAMPLE usable texts of each label; nothing else reaches the driver."""
-    K.prepare(documents.sparkSession)
-    marks = labels.filter(labels[label_col].isin(0, 1)).select(labels[id_col].alias("label_id"), labels[label_col].cast("int").alias("label"))
-    text, h = documents[text_col], F.pmod(F.xxhash64(documents[id_col]), F.lit(1 << 30))
-    mine = documents.filter(usable & (F.octet_length(text) <= SAMPLE_BYTES))
-    rows = mine.select(documents[id_col].alias("id"), h.alias("h")).join(marks, F.col("id") == F.col("label_id"))
-    keep = F.lit(False)
-    for r in rows.groupBy("label").count().collect():  # a row for each of both labels
-        keep = keep | ((F.col("label") == r.label) & (F.col("h") < int(min(1.0, SAMPLE / r["count"]) * (1 << 30))))
-    # the shares make about SAMPLE of each; the limit holds where one id repeats without end
-    few = rows.filter(keep).select("id", "label", "h").orderBy("h", "id", "label").limit(3 * SAMPLE)
-    chosen = few.collect()
-    picked = documents.sparkSession.createDataFrame(chosen, few.schema) if chosen else few
-    sample = (mine.filter(documents[id_col].isin(list({r.id for r in chosen})))
-              .select(documents[id_col].alias("id"), documents[lang_col].alias("lang"), text.alias("text"))
-              .join(F.broadcast(picked), "id").select("lang", "text", "label", "h").limit(3 * SAMPLE))
+def _sums(rows: DataFrame, keys: list[str]) -> list:
+    """Rows (keys, values): integer vectors added up by key; ``values`` holds 64-bit integers packed."""
+    names = [f.name for f in rows.schema.fields]
+
+    def add(table: pa.Table) -> pa.Table:
+        values = None
+        for raw in table["values"]:
+            one = np.frombuffer(raw.as_buffer(), np.int64)
+            values = one.copy() if values is None else values + one
+        return pa.Table.from_arrays([*[table[k].slice(0, 1) for k in keys], pa.array([values.tobytes()], pa.binary())], names)
 
+    return rows.groupBy(*keys).applyInArrow(add, rows.schema).collect()
+
+
+def counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    """Documents per label and feature, documents per label, and word shares per language of all ``rows``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, str | None], np.ndarray] = {("sizes", None): np.zeros(PART, np.int64)}
         for batch in batches:
             for block in K.blocks(batch, "text"):
                 feats, bounds = features(block["text"])
-                yield pa.RecordBatch.from_arrays([block["lang"], block["label"], block["h"], K.packed(feats.ravel(), bounds * feats.shape[1])], ["lang", "label", "h", "feats"])
+                for i, (label, lang) in enumerate(zip(block["label"].to_pylist(), block["lang"].to_pylist(), strict=True)):
+                    own = feats[bounds[i]:bounds[i + 1]]
+                    held["sizes", None][label] += 1
+                    held.setdefault((str(label), None), np.zeros(BUCKETS, np.int64))[np.unique(own)] += 1
+                    if lang is not None:
+                        share = held.setdefault(("words", lang), np.zeros(BUCKETS, np.int64))
+                        if len(own):
+                            at, n = np.unique(own[:, 0], return_counts=True)
+                            share[at] += np.rint(n * (UNIT / len(own))).astype(np.int64)
+        for (what, lang), values in held.items():
+            parts = [i for i in range(0, len(values), PART) if i == 0 or values[i:i + PART].any()]
+            yield pa.RecordBatch.from_arrays([pa.array([what] * len(parts)), pa.array([lang] * len(parts), pa.string()), pa.array(parts, pa.int32()),
+                                              K.binaries([values[i:i + PART].tobytes() for i in parts])], ["what", "lang", "at", "values"])
+
+    seen, sizes, shares = np.zeros((2, BUCKETS)), np.zeros(PART, np.int64), {}
+    for r in _sums(rows.select("label", "lang", "text").mapInArrow(run, "what string, lang string, at int, values binary"), ["what", "lang", "at"]):
+        values = np.frombuffer(r["values"], np.int64)
+        if r.what == "sizes":
+            sizes = values
+        elif r.what == "words":
+            shares.setdefault(r.lang, np.zeros(BUCKETS))[r.at:r.at + PART] = values / UNIT
+        else:
+            seen[int(r.what), r.at:r.at + PART] = values
+    return seen, sizes[:2], shares
+
+
+def descend(rows: DataFrame, seen: np.ndarray, total: np.ndarray, shards: int, seed: int) -> list[np.ndarray]:
+    """Parameters averaged over the shards of all ``rows``; ``seen`` and ``total`` of them are by label."""
+    copies = [int(min(shards, -(-SHARD_LEAST * shards // int(n)))) for n in total]
+    given = rows.sparkSession.sparkContext.broadcast((seen, total))  # its size is fixed by BUCKETS
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        shard, texts = key[0].as_py(), []
+        table = table.sort_by([(c, "ascending") for c in ("h", "label", "text")])
+        for batch in table.combine_chunks().to_batches():
+            for block in K.blocks(batch, "text"):
+                feats, bounds = features(block["text"])
+                texts.extend(feats[a:b].copy() for a, b in zip(bounds[:-1], bounds[1:], strict=True))
+        labels = table["label"].to_numpy().astype(np.int64)
+        start, rng = _start(*given.value, seed)
+        # with one label there is nothing to tell apart
+        params = fit(texts, labels, start, np.random.Generator(np.random.PCG64([seed, shard])) if shard else rng) if labels.any() and not labels.all() else start
+        moved = [np.rint((p - q) * UNIT).astype(np.int64) for p, q in zip(params, start, strict=True)]
+        embed = np.concatenate((moved[0], moved[0].any(1)[:, None]), axis=1)
+        parts = [i for i in range(0, BUCKETS, PART) if embed[i:i + PART, -1].any()]
+        shared = np.concatenate([*[m.ravel() for m in moved[1:]], [1]])
+        return pa.table({"at": pa.array([*parts, BUCKETS], pa.int32()), "values": K.binaries([*[embed[i:i + PART].tobytes() for i in parts], shared.tobytes()])})
+
+    # the text's own shard and, for a label with few texts, the next ones
+    dealt = (rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.when(F.col("label") == 1, copies[1]).otherwise(copies[0]) - 1)))
+             .select(F.pmod(F.col("shard") + F.col("copy"), F.lit(shards)).cast("int").alias("shard"), "h", "label", F.coalesce("text", F.lit("")).alias("text")))
+    params, _ = _start(seen, total, seed)
+    for r in _sums(dealt.groupBy("shard").applyInArrow(run, "at int, values binary"), ["at"]):
+        values = np.frombuffer(r["values"], np.int64)
+        if r.at < BUCKETS:
+            values = values.reshape(-1, SIZE + 1)
+            params[0][r.at:r.at + PART] += values[:, :-1] / UNIT / np.maximum(values[:, -1:], 1)
+        else:
+            at = 0
+            for q in params[1:]:
+                q += values[at:at + q.size].reshape(q.shape) / UNIT / values[-1]
+                at += q.size
+    return params
+
+
+def calibrate(rows: DataFrame, model: Model) -> None:
+    """Set the model's thresholds from all ``rows``."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
-    found = sorted(sample.mapInArrow(run, "lang string, label int, h long, feats binary").collect(), key=lambda r: (r.h, r.label)) if chosen else []
-    texts = [np.frombuffer(r.feats, np.uint16).reshape(-1, 1 + len(PREFIXES)) for r in found]
-    return fit(texts, np.array([r.label for r in found], np.int64), [r.lang for r in found])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in K.blocks(batch, "text", K.BLOCK_BYTES // 4):
+                feats, bounds = features(block["text"])
+                logits = np.clip(shared.value.pool(feats, bounds) @ shared.value.dense + shared.value.offset, -30, 30)
+                yield pa.RecordBatch.from_arrays([pa.array(shared.value.route(feats, bounds), pa.int32()), pa.array(np.rint(logits * STEP).astype(np.int32)), block["label"]],
+                                                 ["route", "step", "label"])
+
+    # a row per language and step at most
+    found = (rows.select("label", "text").mapInArrow(run, "route int, step int, label int")
+             .groupBy("route", "step").agg(F.sum("label").alias("hits"), F.count(F.lit(1)).alias("rows")).collect())
+    route, step, hits, n = (np.array([r[i] for r in found], np.int64) for i in range(4))
+    at, place = np.unique(step, return_inverse=True)
+    model.thresholds[:] = _threshold(at / STEP, np.bincount(place, hits, len(at)), np.bincount(place, n, len(at)))
+    for i in range(len(model.languages)):
+        mine = route == i
+        if hits[mine].sum() >= LEAST and (n - hits)[mine].sum() >= LEAST:
+            model.thresholds[i] = _threshold(step[mine] / STEP, hits[mine], n[mine])
+
+
+def train(documents: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", seed: int = 7) -> Model:
+    """Fit on all usable labelled texts; sums of a fixed size alone reach the driver."""
+    K.prepare(documents.sparkSession)
+    ensure_checkpoint_dir(documents.sparkSession)
+    marks = labels.filter(labels[label_col].isin(0, 1)).select(labels[id_col].alias("label_id"), labels[label_col].cast("int").alias("label"))
+    text, h = documents[text_col], F.pmod(F.xxhash64(documents[id_col]), F.lit(1 << 30))
+    mine = documents.filter(usable).select(documents[id_col].alias("id"), h.alias("h"), documents[lang_col].alias("lang"), text.alias("text"))
+    none = Model(np.zeros((BUCKETS, sum(WIDTHS) * FILTERS), np.float32), np.zeros(len(WIDTHS) * FILTERS, np.float32), np.zeros(len(WIDTHS) * FILTERS), -30.0,
+                 [], np.zeros((BUCKETS, 0), np.float32), np.zeros(1))
+    found = (mine.select("id", F.octet_length("text").alias("bytes")).join(marks, F.col("id") == F.col("label_id"))
+             .agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first())
+    shards = max(1, -(-found.rows // SHARD_ROWS), -(-found.bytes // SHARD_BYTES))
+    own = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(shards)).cast("int")
+    place = F.row_number().over(Window.partitionBy("shard").orderBy("h", "id"))
+    ids = mine.select("id", "h").distinct().join(marks.select(F.col("label_id").alias("id")).distinct(), "id", "left_semi").withColumn("shard", own)
+    dealt = ids.withColumn("held", place % CALIBRATE == 0).join(marks, F.col("id") == F.col("label_id")).drop("label_id").checkpoint()
+    rows = mine.drop("h").join(F.broadcast(dealt) if found.rows <= SENT else dealt, "id")
+    seen, total, shares = counts(rows.filter("not held"))
+    if not total.all():
+        return none
+    languages = sorted(shares)
+    router = np.stack([shares[x] for x in languages], 1) if languages else np.zeros((BUCKETS, 0))
+    router = np.log(router + 1e-4) - np.log((router + 1e-4).sum(0))
+    embed, *filters, bias, dense, offset = descend(rows.filter("not held"), seen, total, shards, seed)
+    model = Model(_tables(embed, filters), bias.astype(np.float32), dense, float(offset[0]), languages, router.astype(np.float32), np.zeros(len(languages) + 1))
+    calibrate(rows.filter("held"), model)
+    return model
 
 
 def score(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:

@@ -309,6 +309,21 @@ def test_toxicity_keeps_its_measured_rates_by_language(spark):
         assert found.get(lang, 0) >= least and wrong.get(lang, 0) <= most, lang
 
 
+def test_toxicity_learns_from_every_labelled_text(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 64)
+    monkeypatch.setattr(toxicity, "SHARD_LEAST", 8)
+    monkeypatch.setattr(toxicity, "STEPS", 8)
+    # texts of 70,000 bytes whose last word tells
+    rows = [(i, f"word{i % 7} plain " + "x" * 70000 + (" idiot" if i % 4 == 0 else " friend"), "en", int(i % 4 == 0)) for i in range(160)]
+    every = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    model = toxicity.train(every.drop("toxic"), every.select("doc_id", "toxic"), F.col("doc_id") < 150)
+    got = {r.id: r.score >= toxicity.AT for r in toxicity.score(every, model).collect()}
+    assert [got[i] for i in range(160)] == [i % 4 == 0 for i in range(160)]
+    # all rows are counted, whatever their number
+    marked = every.select(F.lit(1).alias("label"), "lang", F.lit("idiot you").alias("text")).crossJoin(spark.range(50))
+    assert toxicity.counts(marked)[1].tolist() == [0, 8000]
+
+
 def test_pooling_takes_the_maximum_over_whole_texts():
     rng = np.random.default_rng(2)
     tables = rng.normal(size=(50, sum(toxicity.WIDTHS) * toxicity.FILTERS)).astype(np.float32)
