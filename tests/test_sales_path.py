@@ -1,6 +1,7 @@
 """The sales feed: real ids, sales sent again, series without overflow, stale state, plan shapes."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,6 +40,18 @@ def test_stream_takes_guid_ids_and_ignores_sales_sent_again(spark):
     assert after[GUID] == (250000.0, dt.date(2024, 3, 1)) and after["{C-2}"] == (5.0, dt.date(2024, 5, 1)) and len(after) == 4
 
 
+def test_a_backlog_of_many_files_takes_few_batches_and_the_first_file_wins(spark):
+    london = spark.createDataFrame([("SE16 7PB",)], "postcode string")
+    root, as_of = S.work_dir(spark, "test-backlog"), dt.date(2024, 6, 30)
+    land(feed(spark, [(GUID, "250000", "2024-03-01", "SE16 7PB")]), f"{root}/in")
+    land(feed(spark, [(GUID, "1", "2023-01-01", "SE16 7PB")]), f"{root}/in")
+    rows = feed(spark, [(f"{{F-{i}}}", "5", "2024-05-01", "SE16 7PB") for i in range(22)])
+    rows.select(to_csv_line(rows, PPD_COLUMNS).alias("value")).repartition(22).write.mode("append").text(f"{root}/in")
+    got = {r["txn_uid"]: r["sale_date"] for r in S.stream_sales(spark, f"{root}/in", london, as_of, f"{root}/store", f"{root}/ck").collect()}
+    assert got[GUID] == dt.date(2024, 3, 1) and len(got) == 23
+    assert len([f for f in os.listdir(f"{root.removeprefix('file:')}/ck/commits") if f.isdigit()]) <= S.SALE_BATCHES
+
+
 def test_two_months_of_events_are_all_counted(spark):
     rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(days=i), "view") for i in range(60)]
     root = S.work_dir(spark, "test-crime")
