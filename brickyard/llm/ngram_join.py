@@ -46,7 +46,7 @@ from brickyard.llm.graph import connected_components
 #: Words per shingle, and the similarity as a fraction of integers.
 WORDS, NEAR, OF = 5, 75, 100
 #: Shingles per block that one task sorts at once, and kept before a block is sent on.
-BLOCK_SHINGLES, FLUSH_SHINGLES = 4_000_000, 1_500_000
+BLOCK_SHINGLES, FLUSH_SHINGLES = 1_000_000, 500_000
 #: Shingles of a tree block; larger groups are joined block by block.
 TREE_SHINGLES = 400_000
 _LOW = np.uint64((1 << 48) - 1)

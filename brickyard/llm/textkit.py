@@ -38,6 +38,9 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     paths = spark.sparkContext.environment
+    # freed arrays go back to the system at once: workers stay for all stages of a job and would keep them
+    for name, value in (("MALLOC_MMAP_THRESHOLD_", str(1 << 20)), ("MALLOC_TRIM_THRESHOLD_", str(1 << 20)), ("MALLOC_ARENA_MAX", "1"), ("ARROW_DEFAULT_MEMORY_POOL", "system")):
+        paths.setdefault(name, value)
     if ROOT not in paths.get("PYTHONPATH", "").split(os.pathsep):
         paths["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, paths.get("PYTHONPATH")) if x)
 
