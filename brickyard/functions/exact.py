@@ -15,7 +15,7 @@ _DEC = "decimal(20,0)"
 
 def cents(col: Column) -> Column:
     """A money column (double or decimal with 2 dp) as integer cents."""
-    return F.round(col.cast("decimal(14,2)") * 100, 0).cast("long")
+    return (col.cast("decimal(14,2)") * 100).cast("long")
 
 
 def half_up(num: Column, den: Column, scale: int, wide: bool = False) -> Column:

@@ -39,9 +39,12 @@ def outcode(col: Column) -> Column:
 
 
 def outcode_split(col: Column) -> Column:
-    """Outcode at ingest: collapse whitespace, split on space, ≥ 2 parts else NULL."""
-    parts = F.split(F.regexp_replace(F.trim(col), r"\s+", " "), " ")
-    return F.when(F.size(parts) >= 2, F.upper(parts.getItem(0)))
+    """Outcode at ingest: what is before the first white space, NULL without any.
+
+    Without patterns, as a filter and each column that uses it evaluate it anew.
+    """
+    t = F.translate(F.trim(col), "\t\n\x0b\f\r", "     ")
+    return F.when(t.contains(" "), F.upper(F.substring_index(t, " ", 1)))
 
 
 def area(col: Column) -> Column:
@@ -89,9 +92,8 @@ def address_line(saon: Column, paon: Column, street: Column) -> Column:
 
 
 def js_parse_float(col: Column) -> Column:
-    """JavaScript parseFloat: longest numeric prefix after leading blanks, else NULL."""
-    m = F.regexp_extract(col, r"^\s*([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?)", 1)
-    return F.when(F.length(m) > 0, m.try_cast("double"))
+    """JavaScript parseFloat: longest numeric prefix after leading blanks, else NULL (the cast of '', so that the pattern runs once)."""
+    return F.regexp_extract(col, r"^\s*([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?)", 1).try_cast("double")
 
 
 def grid_to_latlng(easting: Column, northing: Column) -> tuple[Column, Column]:

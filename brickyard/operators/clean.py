@@ -26,7 +26,8 @@ def clean_postcodes(raw: DataFrame) -> DataFrame:
     pc = F.trim(F.coalesce(F.col("pcds"), F.lit("")))
     oc = outcode_split(pc)
     lat, lng = grid_to_latlng(F.col("oseast1m").try_cast("double"), F.col("osnrth1m").try_cast("double"))
-    keep = (F.length(pc) > 0) & oc.isNotNull() & is_london(oc) & (F.length(F.trim(F.coalesce("doterm", F.lit("")))) == 0)
+    # an empty postcode has no outcode and a missing outcode isn't in London
+    keep = (F.length(F.trim(F.coalesce("doterm", F.lit("")))) == 0) & is_london(oc)
     return raw.where(keep).select(
         "pc_id", F.upper(pc).alias("postcode"), oc.alias("outcode"), F.lit(None).cast("string").alias("borough"),
         F.lit("London").alias("region"), norm_key(F.col("lsoa11")).alias("lsoa_code"),

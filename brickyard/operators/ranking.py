@@ -52,17 +52,18 @@ def values_at(hist: DataFrame, keys: list[str], ranks) -> DataFrame:
     """Rows of ``hist`` (keys, _v, _c) that hold asked ranks: keys, _v, _n and the fields of ``ranks(_n)``.
 
     ``ranks`` makes an array of structs with a 1-based rank ``rk`` from the
-    key's number of rows.  A rank meets its key's bucket counts first and then
-    only the values of the bucket that holds it, by (key, bucket), which is how
-    the running counts inside the buckets are dealt already.
+    key's number of rows.  A rank meets its key's bucket counts first, and only
+    the values of the buckets that hold one are dealt by (key, bucket), sorted
+    and counted; of a large key that is a few of its ``BUCKETS``.
     """
     h = bucketed(hist, keys, log_scale(F.col("_v")))
     off = _offsets(h, keys, "_c")
-    inside = (F.col("_r.rk") > F.col("_off")) & (F.col("_r.rk") <= F.col("_off") + F.col("_sub"))
-    asked = off.select(*keys, "_b", "_off", "_sub", "_n", F.explode(ranks(F.col("_n"))).alias("_r")).where(inside).drop("_sub")
-    local = h.withColumn("_lc", F.sum("_c").over(Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
+    inside = F.filter(ranks(F.col("_n")), lambda r: (r["rk"] > F.col("_off")) & (r["rk"] <= F.col("_off") + F.col("_sub")))
+    asked = off.select(*keys, "_b", "_off", "_n", inside.alias("_rs")).where(F.size("_rs") > 0)  # one row per (key, bucket)
+    local = h.join(asked, [*keys, "_b"]).withColumn("_lc", F.sum("_c").over(
+        Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
     at = F.col("_r.rk") - F.col("_off")
-    return local.join(asked, [*keys, "_b"]).where((at > F.col("_lc") - F.col("_c")) & (at <= F.col("_lc"))).select(*keys, "_v", "_n", "_r.*")
+    return local.withColumn("_r", F.explode("_rs")).where((at > F.col("_lc") - F.col("_c")) & (at <= F.col("_lc"))).select(*keys, "_v", "_n", "_r.*")
 
 
 def cumulative_counts(hist: DataFrame, keys: list[str], order: list[Column | str], count_col: str,

@@ -26,6 +26,7 @@ from ..operators import clean as C
 from ..operators import contracts as K
 from ..operators import merge as G
 from ..operators import metrics as M
+from ..session import ensure_checkpoint_dir
 from ..sources import bindings as b
 from ..sources.tables import scalar
 from ..streaming.intake import work_dir
@@ -48,6 +49,12 @@ def _valid(t: Tables) -> DataFrame:
     return t["checked_sale"].where("reason is null").drop("reason")
 
 
+def _properties(spark: SparkSession, d: str, t: Tables) -> DataFrame:
+    # written once, as the ids take the keys from it and then the rows
+    ensure_checkpoint_dir(spark)
+    return C.assign_ids(C.property_rows(_valid(t)).checkpoint(), "address_key", "property_id")
+
+
 def _transactions(spark: SparkSession, d: str, t: Tables) -> DataFrame:
     v = _valid(t)
     own = v.select("sale_id", C.address_key(v).alias("address_key"), F.trim("sale_price").try_cast("decimal(12,2)").alias("sale_price"),
@@ -102,12 +109,12 @@ STEPS = (
     Step("location", (), lambda spark, d, t: C.clean_postcodes(b.raw_postcode(spark, d))),
     Step("checked_sale", ("location",), _checked_sales, _skips),
     Step("mortgage_product", ("location",), _feed(b.mortgage_product)),
-    Step("property", ("checked_sale",), lambda spark, d, t: C.assign_ids(C.property_rows(_valid(t)), "address_key", "property_id")),
+    Step("property", ("checked_sale",), _properties),
     Step("transaction", ("checked_sale", "property"), _transactions),
     Step("sale", ("transaction",), _feed(b.sale)),
     Step("area", ("location",), _feed(b.location)),
     Step("property_attributes", ("property",), _attributes),
-    Step("hpi_index", ("sale", "mortgage_product"), _feed(b.hpi_index)),
+    Step("hpi_index", ("sale", "mortgage_product"), lambda spark, d, t: b.hpi_of(t["sale"], b.sale_as_of(spark, d))),
     Step("rental_index", ("transaction", "mortgage_product"), _feed(b.rental_index)),
     Step("crime_stat", ("transaction", "mortgage_product"), _feed(b.crime_stat)),
     Step("quality", ("location", "property", "transaction", "mortgage_product", "hpi_index", "rental_index", "crime_stat", "property_attributes"), _quality),

@@ -44,5 +44,5 @@ def write_runlog(spark: SparkSession, entries: list[dict], out: str) -> None:
     """JSON-lines run log: level, script, message, fields, ts (K9)."""
     rows = [(e.get("level", "info"), e.get("script", ""), e.get("message", ""), json.dumps(e.get("fields", {})),
              e.get("ts", dt.datetime.now(dt.timezone.utc).isoformat())) for e in entries]
-    spark.createDataFrame(rows, "level string, script string, message string, fields string, ts string") \
+    spark.createDataFrame(rows, "level string, script string, message string, fields string, ts string").coalesce(1) \
          .write.mode("overwrite").json(out)

@@ -43,14 +43,15 @@ def sale(spark: SparkSession, d: str) -> DataFrame:
     c = read(spark, d, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
     nr = nation_region(spark, d)
     j = o.join(c, o.o_custkey == c.c_custkey).join(nr, F.col("c_nationkey") == F.col("n_nationkey"))
+    price = F.col("o_totalprice").cast("decimal(14,2)")  # of both columns, as most of a row's time goes into it
     return j.select(
         F.col("o_orderkey").alias("sale_id"),
         F.concat_ws("/", "n_name", "c_mktsegment").alias("sector"),
         F.col("n_name").alias("outcode"),
         F.col("r_name").alias("area"),
         F.lit("ALL").alias("region"),
-        F.col("o_totalprice").cast("decimal(12,2)").alias("sale_price"),
-        cents(F.col("o_totalprice")).alias("price_cents"),
+        price.cast("decimal(12,2)").alias("sale_price"),
+        cents(price).alias("price_cents"),
         F.col("o_orderdate").cast("date").alias("sale_date"),
         F.col("o_orderpriority").alias("category"),
     )
@@ -87,11 +88,15 @@ def hpi_index(spark: SparkSession, d: str) -> DataFrame:
 
     ``avg_cents`` / ``apc_centi`` carry the exact integer forms.
     """
-    s = sale(spark, d).select("outcode", F.trunc("sale_date", "MM").alias("reference_month"), "price_cents")
+    return hpi_of(sale(spark, d), sale_as_of(spark, d))
+
+
+def hpi_of(sales: DataFrame, as_of: dt.date | None) -> DataFrame:
+    """The index of ``sales`` (outcode, sale_date, price_cents), whose latest date is ``as_of``."""
+    s = sales.select("outcode", F.trunc("sale_date", "MM").alias("reference_month"), "price_cents")
     monthly = s.groupBy("outcode", "reference_month").agg(
         F.sum("price_cents").alias("_s"), F.count(F.lit(1)).alias("_n"))
     # the newest month counts only once the feed has reached its last day
-    as_of = sale_as_of(spark, d)
     last = as_of + dt.timedelta(days=1) if as_of else None
     complete = monthly.where(F.col("reference_month") < F.trunc(F.lit(last).cast("date"), "MM"))
     w = Window.partitionBy("outcode").orderBy("reference_month")
@@ -228,7 +233,8 @@ def _raw_postcode_expr(k: F.Column) -> F.Column:
 @per_session
 def raw_postcode(spark: SparkSession, d: str) -> DataFrame:
     """Postcode-directory rows as text: pcds, doterm, oseast1m, osnrth1m, lsoa11."""
-    c = read(spark, d, "customer", ["c_custkey"])
+    # a few bytes a row in the file, so that one task would make and clean the text of millions
+    c = read(spark, d, "customer", ["c_custkey"]).repartition("c_custkey")
     k = F.col("c_custkey")
     return c.select(
         k.alias("pc_id"),
@@ -250,10 +256,12 @@ def raw_sale(spark: SparkSession, d: str) -> DataFrame:
                  .when(k % 7 == 0, F.concat(F.lit("ZZ"), (k % 10).cast("string"), F.lit(" 1AA")))
                  .when(k % 5 == 0, F.concat(F.lit(" "), F.lower(pc), F.lit(" ")))
                  .otherwise(pc))
+    digits = F.upper(F.md5(k.cast("string").cast("binary")))
+    groups = [x for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)) for x in (F.lit("-"), F.substring(digits, at, n))]
     return o.select(
         k.alias("sale_id"),
         # ids as the feed has them: braced GUIDs
-        F.concat(F.lit("{"), F.upper(F.regexp_replace(F.md5(k.cast("string").cast("binary")), "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")), F.lit("}")).alias("txn_uid"),
+        F.concat(F.lit("{"), *groups[1:], F.lit("}")).alias("txn_uid"),
         F.when(k % 97 == 0, F.lit("0")).when(k % 89 == 0, F.lit("abc"))
          .otherwise(F.col("o_totalprice").cast("decimal(12,2)").cast("string")).alias("sale_price"),
         F.when(k % 79 == 0, F.lit("2999-01-01")).when(k % 73 == 0, F.lit("bad"))
